@@ -445,7 +445,7 @@ def manifest_schema(spark, d):
     df, spec = extract.extract_pages(rows, table_name="orders", primary_key=["id"])["orders"]
     df = df.drop("links")
     entries = spark.createDataFrame(csvfiles.manifest_rows(df, spec), "position int, name string, type string, nullable boolean, primary_key boolean")
-    return entries.withColumn("n_rows", F.lit(df.count()))
+    return entries.withColumn("n_rows", F.lit(df.count()).cast("bigint"))
 
 
 @query("SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders")
@@ -697,7 +697,7 @@ def catalog_searches(spark, d):
     SELECT CAST(c_custkey AS VARCHAR) AS "internalId", CAST(c_custkey AS VARCHAR) AS "entityId", c_name AS "companyName" FROM customer
 """)
 def search_xml_rows(spark, d):
-    found = search_xml.read_search_pages(spark, land(spark, d, "search_xml"), "m:searchResult")
+    found = search_xml.read_search_pages(spark, land(spark, d, "search_xml"), layout="lines")
     return search_xml.search_rows(found).select("internalId", "entityId", "companyName")
 
 
@@ -706,7 +706,7 @@ def search_xml_rows(spark, d):
            MAX(c_custkey) // 100 + 1 - COUNT(DISTINCT c_custkey // 100) AS pages_missing FROM customer
 """)
 def search_page_count(spark, d):
-    found = search_xml.read_search_pages(spark, land(spark, d, "search_xml"), "m:searchResult")
+    found = search_xml.read_search_pages(spark, land(spark, d, "search_xml"), layout="lines")
     return pagesets.search_completeness(search_xml.search_page_info(found))
 
 
@@ -723,6 +723,12 @@ def _read_folder(uri: str) -> str:
     return "".join(texts)
 
 
+@lru_cache(maxsize=32)
+def _document_block(folder: str, number: int) -> dict[str, str]:
+    lines = _read_folder(f"{folder}/block={number}").splitlines()
+    return {json.loads(line)["id"]: line for line in lines}
+
+
 @query("""
     SELECT o_orderkey AS ordinal, CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status FROM orders
 """)
@@ -744,13 +750,8 @@ def paged_source(spark, d):
 def distributed_details(spark, d):
     folder = land(spark, d, "document_blocks")
 
-    @lru_cache(maxsize=32)
-    def block(number: int) -> dict[str, str]:
-        lines = _read_folder(f"{folder}/block={number}").splitlines()
-        return {json.loads(line)["id"]: line for line in lines}
-
     def fetch(record_id: str) -> str:
-        return block(int(record_id) // 200)[record_id]
+        return _document_block(folder, int(record_id) // 200)[record_id]
 
     collection = pages.read_collection(spark, land(spark, d, "collection"))
     found = remote.fetch_details(collection, fetch, tasks=spark.sparkContext.defaultParallelism)

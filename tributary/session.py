@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
+_shipped: set[str] = set()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -45,3 +48,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = staging_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, once per application."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).parent
+    if not package.is_dir():  # imported from an archive the workers have already
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tributary-")) / "tributary.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for file in sorted(package.rglob("*.py")):
+            target.write(file, file.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from tributary.session import ship_package
+
 # Fixed value: the largest page the record and SQL surfaces return.
 MAX_PAGE_SIZE = 1000
 
@@ -62,6 +64,8 @@ def paged_source(
     size, so page runs are read side by side.
     """
 
+    ship_package(spark)
+
     class Pages(DataSource):
         @classmethod
         def name(cls) -> str:
@@ -83,6 +87,7 @@ def fetch_details(collection: DataFrame, fetch: FetchRecord, tasks: int) -> Data
     Rows without an id keep their own document. Only ids travel to the fetching tasks, and they are dealt
     out evenly; ``ordinal`` keeps the collection order.
     """
+    ship_package(collection.sparkSession)
     without_id = collection.where(F.col("id").isNull()).select("page_no", "ordinal", "id", "raw")
     ids = collection.where(F.col("id").isNotNull()).select("page_no", "ordinal", "id")
 

@@ -13,18 +13,19 @@ from tributary.sources.pages import ROWS_PER_PAGE
 RECORD_LISTS = (("recordList", "record"), ("searchRowList", "searchRow"))
 
 
-def read_search_pages(spark: SparkSession, path: str | list[str], row_tag: str, schema: T.StructType | None = None) -> DataFrame:
-    """One row per ``searchResult`` element; namespace prefixes are dropped below the row tag.
-
-    ``row_tag`` is the element name with its prefix, as written in the files. Every value is text. Giving
-    ``schema`` saves the pass over the files that infers it.
+def read_search_pages(
+    spark: SparkSession, path: str | list[str], *, layout: str = "files", row_tag: str = "searchResult", schema: T.StructType | None = None
+) -> DataFrame:
+    """One row per search result; namespace prefixes are dropped everywhere.
+
+    ``layout="files"``: whole responses, in which the ``row_tag`` element (named without prefix) is found.
+    ``layout="lines"``: one search result element per line. Every value is text. Giving ``schema`` saves the
+    pass over the files that infers it.
     """
-    reader = (
-        spark.read.format("xml")
-        .option("rowTag", row_tag)
-        .option("ignoreNamespace", True)
-        .option("inferSchema", False)
-        .option("attributePrefix", "_")
+    if layout not in ("lines", "files"):
+        raise ExtractError("layout must be 'lines' or 'files'")
+    reader = spark.read.format("xml").options(
+        rowTag=row_tag, ignoreNamespace=True, inferSchema=False, attributePrefix="_", multiLine=layout == "files"
     )
     return (reader.schema(schema) if schema else reader).load(path)
 
