@@ -48,7 +48,9 @@ def profile(documents: DataFrame, *, sample: int | None = None) -> DataFrame:
     ``sample`` restricts the profile (never the data) to the first rows by ordinal.
     """
     if sample is not None:
-        documents = documents.where(F.col("ordinal") < sample)
+        # The ordinal of the last sampled row; what is sorted per task and sent is at most ``sample`` numbers.
+        head = documents.select("ordinal").orderBy("ordinal").limit(sample)
+        documents = documents.where(F.col("ordinal") <= F.lit(head.agg(F.max("ordinal")).first()[0]))
     base = documents.select("ordinal", "doc", F.json_object_keys("raw").alias("keys"))
     exploded = base.lateralJoin(base.sparkSession.tvf.variant_explode_outer(F.col("doc").outer()).alias("member"))
     position = F.least(F.array_position("keys", F.col("member.key")), F.lit((1 << KEY_BITS) - 1))
@@ -157,10 +159,8 @@ def collect_profile(profiled: DataFrame) -> Profile:
 
 def column_union(profiled: DataFrame) -> DataFrame:
     """``column, position``: every key, in order of first appearance (row order, then key order)."""
-    # Rank among at most MAX_COLUMNS rows, one per key.
-    named = profiled.where(F.col("column").isNotNull()).select("column", "first_seen")
-    ordered = named.groupBy().agg(F.array_sort(F.collect_list(F.struct("first_seen", "column"))).alias("all"))
-    return ordered.select(F.posexplode("all").alias("position", "entry")).select("entry.column", "position")
+    names = collect_profile(profiled).names
+    return profiled.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "column string, position int")
 
 
 def column_types(profiled: DataFrame, mode: str = "widen") -> DataFrame:

@@ -36,12 +36,12 @@ def _chain(pages: DataFrame, next_offset: Column) -> DataFrame:
     # A page without a successor has no join key to offer; it is kept aside rather than joined on NULL.
     last = left.where(F.col("next_offset").isNull())
     linked = left.where(F.col("next_offset").isNotNull())
-    right = once.select("page_set", F.col("page_offset").alias("at"), F.col("page_offset").alias("found"), F.col("n_copies").alias("found_copies"))
+    right = once.select("page_set", F.col("page_offset").alias("at"), F.col("page_offset").alias("found"), F.col("next_offset").alias("found_next"), F.col("n_copies").alias("found_copies"))
     joined = linked.join(right, ["page_set", "at"], "full")
     followed = joined.select(
         "page_set",
         F.coalesce("page_offset", "found").alias("page_offset"),
-        "next_offset",
+        F.when(F.col("page_offset").isNull(), F.col("found_next")).otherwise(F.col("next_offset")).alias("next_offset"),
         F.coalesce("n_copies", "found_copies").alias("n_copies"),
         F.when(F.col("page_offset").isNull(), "unreferenced").when(F.col("found").isNull(), "missing_next").alias("problem"),
     )

@@ -98,7 +98,9 @@ def fetch_details(collection: DataFrame, fetch: FetchRecord, tasks: int) -> Data
                 part = batch.iloc[start : start + 200]
                 yield part.assign(raw=[fetch(record_id) for record_id in part["id"]])
 
-    fetched = ids.repartition(tasks).mapInPandas(fetch_all, "page_no bigint, ordinal bigint, id string, raw string")
+    # Ranges of the collection order: even shares, and neighbours stay together for a fetch that caches.
+    shares = ids.repartitionByRange(tasks, "ordinal")
+    fetched = shares.mapInPandas(fetch_all, "page_no bigint, ordinal bigint, id string, raw string")
     return fetched.unionByName(without_id).withColumn("doc", F.parse_json("raw"))
 
 
