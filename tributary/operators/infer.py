@@ -31,13 +31,19 @@ _SCALARS = ("boolean", "integer", "numeric", "string")
 
 def value_type(value: Column) -> Column:
     """Base type of one VARIANT value: a scalar type, ``container`` or ``null``."""
-    kind = F.schema_of_variant(value)
+    return kind_type(F.schema_of_variant(value))
+
+
+def kind_type(kind: Column) -> Column:
+    """The same from the schema text of the value."""
+    number = kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT")
     return (
         F.when(kind.isNull() | (kind == "VOID"), "null")
-        .when(kind == "BOOLEAN", "boolean")
+        .when(kind == "STRING", "string")
         .when(kind == "BIGINT", "integer")
-        .when(kind.rlike("^(DECIMAL|DOUBLE|FLOAT)"), "numeric")
-        .when(kind.rlike("^(OBJECT|ARRAY)"), "container")
+        .when(kind == "BOOLEAN", "boolean")
+        .when(number, "numeric")
+        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), "container")
         .otherwise("string")
     )
 
@@ -54,13 +60,21 @@ def profile(documents: DataFrame, *, sample: int | None = None) -> DataFrame:
     base = documents.select("ordinal", "doc", F.json_object_keys("raw").alias("keys"))
     exploded = base.lateralJoin(base.sparkSession.tvf.variant_explode_outer(F.col("doc").outer()).alias("member"))
     position = F.least(F.array_position("keys", F.col("member.key")), F.lit((1 << KEY_BITS) - 1))
-    value = F.col("member.value")
-    members = exploded.select(
+    described = exploded.select(
         F.col("member.key").alias("column"),
         (F.col("member.pos") == 0).alias("leads"),
         (F.col("ordinal") * (1 << KEY_BITS) + position).alias("seen"),
-        F.coalesce(is_sublist(value), F.lit(False)).alias("sublist"),
-        value_type(value).alias("type"),
+        F.schema_of_variant("member.value").alias("kind"),
+        F.col("member.value").alias("value"),
+    )
+    # The kind is a column of its own, so that it is computed once; only containers are looked into.
+    container = F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")
+    members = described.select(
+        "column",
+        "leads",
+        "seen",
+        F.coalesce(F.when(container, is_sublist(F.col("value"))), F.lit(False)).alias("sublist"),
+        kind_type(F.col("kind")).alias("type"),
     )
     seen, kind, sublist = F.col("seen"), F.col("type"), F.col("sublist")
     firsts = [F.min(F.when(kind == t, seen)).alias(f"first_{t}") for t in _SCALARS]

@@ -39,7 +39,7 @@ def read_landed(spark: SparkSession, path: str | list[str], layout: str = "lines
     """Landed text as ``raw`` with its ``file``; empty lines are skipped, empty files are kept."""
     if layout not in ("lines", "files"):
         raise ExtractError("layout must be 'lines' or 'files'")
-    text = spark.read.option("wholetext", layout == "files").text(path)
+    text = spark.read.text(path, wholetext=layout == "files")
     text = text.select(
         F.col("value").alias("raw"),
         F.col("_metadata.file_path").alias("file"),

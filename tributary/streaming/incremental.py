@@ -15,10 +15,10 @@ from tributary.spec import TableSpec
 
 def landed_stream(spark: SparkSession, folder: str, *, layout: str = "lines", files_per_batch: int | None = None) -> DataFrame:
     """Newly landed text files as a stream of ``raw, file, landed_at``."""
-    reader = spark.readStream.option("wholetext", layout == "files")
+    reader = spark.readStream
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.text(folder).select(
+    return reader.text(folder, wholetext=layout == "files").select(
         F.col("value").alias("raw"),
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_modification_time").alias("landed_at"),
