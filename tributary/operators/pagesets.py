@@ -1,7 +1,7 @@
 """Checks over landed page sets: is every row of every page there, once?
 
-Pages are compared by keyed joins on ``(page_set, offset)``, which are near unique. There is no window
-over a page set, so one very long page set is spread like any other data. Every check works on rows of
+Pages are compared by aggregations on ``(page_set, offset)``, which is near unique. There is no window over
+a page set, so one very long page set is spread like any other data. Every check works on rows of
 ``page_set, page_offset, page_count, has_more, total, next_href`` (and ``items`` for completeness).
 """
 
@@ -26,62 +26,45 @@ def expected_pages(total: Column | str, limit: int) -> Column:
     return F.ceil(F.col(total) / size if isinstance(total, str) else total / size).cast("bigint")
 
 
-def _chain(pages: DataFrame, next_offset: Column) -> DataFrame:
-    """Each page with the page that should follow it.
+def _gaps(pages: DataFrame, next_offset: Column) -> DataFrame:
+    """Faults of a chain, from one aggregation.
 
-    Copies of a page are counted first, so the join is one row to one row.
+    Every page is present at its own offset and wants the page at its next offset. Counting both per
+    offset, before the shuffle, shows what is wanted but not present, present but not wanted, and
+    present more than once.
     """
-    once = pages.groupBy("page_set", "page_offset").agg(F.count("*").alias("n_copies"), F.max(next_offset).alias("next_offset"))
-    left = once.select("page_set", F.col("next_offset").alias("at"), "page_offset", "n_copies", "next_offset")
-    # A page without a successor has no join key to offer; it is kept aside rather than joined on NULL.
-    last = left.where(F.col("next_offset").isNull())
-    linked = left.where(F.col("next_offset").isNotNull())
-    right = once.select("page_set", F.col("page_offset").alias("at"), F.col("page_offset").alias("found"), F.col("next_offset").alias("found_next"), F.col("n_copies").alias("found_copies"))
-    joined = linked.join(right, ["page_set", "at"], "full")
-    followed = joined.select(
-        "page_set",
-        F.coalesce("page_offset", "found").alias("page_offset"),
-        F.when(F.col("page_offset").isNull(), F.col("found_next")).otherwise(F.col("next_offset")).alias("next_offset"),
-        F.coalesce("n_copies", "found_copies").alias("n_copies"),
-        F.when(F.col("page_offset").isNull(), "unreferenced").when(F.col("found").isNull(), "missing_next").alias("problem"),
+    at, wanted_by, following = (F.lit(None).cast("bigint").alias(n) for n in ("at", "wanted_by", "following"))
+    chained = pages.select("page_set", "page_offset", next_offset.alias("next_offset"))
+    present = F.struct(F.col("page_offset").alias("at"), wanted_by, F.col("next_offset").alias("following"), F.lit(1).alias("here"))
+    wants = F.struct(F.col("next_offset").alias("at"), F.col("page_offset").alias("wanted_by"), following, F.lit(0).alias("here"))
+    sightings = chained.select("page_set", F.inline(F.filter(F.array(present, wants), lambda x: x["at"].isNotNull())))
+    offsets = sightings.groupBy("page_set", "at").agg(
+        F.sum("here").alias("copies"), F.min("wanted_by").alias("wanted_by"), F.max("following").alias("following")
     )
-    ends = last.select("page_set", "page_offset", "next_offset", "n_copies", F.lit(None).cast("string").alias("problem"))
-    return followed.unionByName(ends)
-
-
-def _report(chain: DataFrame) -> DataFrame:
-    """One row per page and problem; a page nothing points to is a problem unless it is the first."""
-    problems = chain.select(
+    missing, loose = F.col("copies") == 0, (F.col("copies") > 0) & F.col("wanted_by").isNull() & (F.col("at") > 0)
+    problems = F.array(F.when(missing, "missing_next"), F.when(loose, "unreferenced"), F.when(F.col("copies") > 1, "repeated"))
+    return offsets.select(
         "page_set",
-        "page_offset",
-        "next_offset",
-        F.explode(
-            F.filter(
-                F.array(
-                    F.when(F.col("problem") == "missing_next", "missing_next"),
-                    F.when((F.col("problem") == "unreferenced") & (F.col("page_offset") > 0), "unreferenced"),
-                    F.when(F.col("n_copies") > 1, "repeated"),
-                ),
-                lambda p: p.isNotNull(),
-            )
-        ).alias("problem"),
+        F.when(missing, F.col("wanted_by")).otherwise(F.col("at")).alias("page_offset"),
+        F.when(missing, F.col("at")).otherwise(F.col("following")).alias("next_offset"),
+        F.explode(F.array_compact(problems)).alias("problem"),
     )
-    return problems.distinct()
 
 
 def link_gaps(pages: DataFrame) -> DataFrame:
     """Faults in a chain of next links: ``page_set, page_offset, next_offset, problem``.
 
-    ``missing_next``: the page linked to is not there. ``unreferenced``: no page links here. ``repeated``:
-    landed more than once.
+    ``missing_next``: the page linked to is not there (one row per missing page, with the first page that
+    links to it). ``unreferenced``: no page links here, and it is not the first. ``repeated``: landed more
+    than once.
     """
-    return _report(_chain(pages, next_link_offset()))
+    return _gaps(pages, next_link_offset())
 
 
 def offset_gaps(pages: DataFrame, limit: int) -> DataFrame:
     """The same for pages that only say ``hasMore``: the next page starts one page size further."""
     size = min(limit, MAX_PAGE_SIZE)
-    return _report(_chain(pages, F.when(F.col("has_more"), F.col("page_offset") + size)))
+    return _gaps(pages, F.when(F.col("has_more"), F.col("page_offset") + size))
 
 
 def page_completeness(pages: DataFrame, limit: int | None = None) -> DataFrame:
@@ -142,23 +125,24 @@ def cursor_chain(cursors: DataFrame) -> DataFrame:
     ``last``: no cursor. ``followed``: a page was fetched with this cursor. ``missing``: none was.
     ``repeat``: an earlier page already handed out this cursor, so following it would never end.
     """
-    given = cursors.where(F.col("cursor_out").isNotNull())
-    uses = given.select(F.col("cursor_out").alias("cursor"), F.col("page_no").alias("given_by"), F.lit(None).cast("bigint").alias("fetched")).unionByName(
-        cursors.where(F.col("cursor_in").isNotNull()).select(
-            F.col("cursor_in").alias("cursor"), F.lit(None).cast("bigint").alias("given_by"), F.col("page_no").alias("fetched")
-        )
+    nobody = F.lit(None).cast("bigint")
+    uses = F.array(
+        F.struct(F.col("cursor_out").alias("cursor"), F.col("page_no").alias("given_by"), nobody.alias("fetched")),
+        F.struct(F.col("cursor_in").alias("cursor"), nobody.alias("given_by"), F.col("page_no").alias("fetched")),
     )
     # One row per cursor, whatever the number of pages that share it.
-    known = uses.groupBy("cursor").agg(F.min("given_by").alias("first_given"), F.min("fetched").alias("next_page"))
+    known = (
+        cursors.select(F.inline(F.filter(uses, lambda use: use["cursor"].isNotNull())))
+        .groupBy("cursor")
+        .agg(F.min("given_by").alias("first_given"), F.min("fetched").alias("next_page"))
+    )
+    # Pages without a cursor get a key that matches nothing and differs per page, so they stay spread.
+    key = F.coalesce("cursor_out", F.concat(F.lit("\u0000page "), F.col("page_no").cast("string")))
     status = (
-        F.when(F.col("page_no") > F.col("first_given"), "repeat")
+        F.when(F.col("cursor_out").isNull(), "last")
+        .when(F.col("page_no") > F.col("first_given"), "repeat")
         .when(F.col("next_page").isNull(), "missing")
         .otherwise("followed")
     )
-    followed = given.join(known, F.col("cursor_out") == F.col("cursor"), "left").select(
-        "page_no", "cursor_out", "next_page", status.alias("status")
-    )
-    ends = cursors.where(F.col("cursor_out").isNull()).select(
-        "page_no", "cursor_out", F.lit(None).cast("bigint").alias("next_page"), F.lit("last").alias("status")
-    )
-    return followed.unionByName(ends)
+    joined = cursors.withColumn("key", key).join(known, F.col("key") == F.col("cursor"), "left")
+    return joined.select("page_no", "cursor_out", "next_page", status.alias("status"))

@@ -15,17 +15,19 @@ def latest_details(details: DataFrame) -> DataFrame:
     return details.where(F.col("id").isNotNull()).groupBy("id").agg(F.max_by("raw", order).alias("raw"))
 
 
-def resolve_details(collection: DataFrame, details: DataFrame, *, strict: bool = True) -> DataFrame:
+def resolve_details(collection: DataFrame, details: DataFrame, *, strict: bool = True, copies: bool = True) -> DataFrame:
     """``page_no, ordinal, id, raw, error``: the document of each collection row, in collection order.
 
     A row without an id keeps its own document. A row whose document is missing is an error: the job
-    fails when ``strict``, else the row keeps a NULL document and says so in ``error``.
+    fails when ``strict``, else the row keeps a NULL document and says so in ``error``. ``copies=False``
+    promises that no document landed twice, and saves sorting the documents before their shuffle.
     """
     # Rows without an id can never match. A key of their own spreads them over all partitions, where
     # NULL keys would all meet in one.
     key = F.coalesce("id", F.concat(F.lit("\u0000row "), F.col("ordinal").cast("string")))
     left = collection.select("page_no", "ordinal", "id", F.col("raw").alias("own"), key.alias("key"))
-    right = latest_details(details).select(F.col("id").alias("key"), F.col("raw").alias("found"))
+    found = latest_details(details) if copies else details.where(F.col("id").isNotNull())
+    right = found.select(F.col("id").alias("key"), F.col("raw").alias("found"))
     raw = F.when(F.col("id").isNull(), F.col("own")).otherwise(F.col("found"))
     message = F.concat(F.lit("no document for record "), F.col("id"))
     if strict:
