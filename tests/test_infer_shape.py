@@ -89,7 +89,7 @@ def test_profile_is_a_hash_aggregate_of_fixed_width_counters(docs):
 
 
 def records(df, **options):
-    return extract.extract_records(df, record_type="invoice", **options)
+    return extract.extract_records(df, record_type="receipt", **options)
 
 
 def test_flatten_writes_items_only_and_strips_links(docs, rows):
@@ -97,7 +97,7 @@ def test_flatten_writes_items_only_and_strips_links(docs, rows):
         {"id": "1", "links": [{"rel": "self"}], "item": {"links": [], "items": [{"line": 1, "links": [1]}, {"line": 2}], "totalResults": 2}},
         {"id": "2", "item": {"items": []}, "owner": {"id": "4", "refName": "A", "links": []}, "tags": [1, 2], "empty": []},
     )
-    table = records(df)["invoice"]
+    table = records(df)["receipt"]
     assert table.df.columns == ["id", "item", "owner", "tags", "empty"]
     first, second = rows(table.df, "id")
     assert json.loads(first["item"]) == [{"line": 1}, {"line": 2}] and first["owner"] is None
@@ -106,34 +106,34 @@ def test_flatten_writes_items_only_and_strips_links(docs, rows):
 
 
 def test_nulls_inside_a_sublist_survive(docs):
-    row = records(docs({"id": "1", "item": [{"a": None, "b": 0.0}]}))["invoice"].df.first()
+    row = records(docs({"id": "1", "item": [{"a": None, "b": 0.0}]}))["receipt"].df.first()
     assert json.loads(row.item) == [{"a": None, "b": 0}]
 
 
 def test_flatten_types(docs):
-    table = records(docs({"id": "1", "balance": 100.5, "inactive": False, "days": 4}, {"id": "2", "days": None}))["invoice"]
+    table = records(docs({"id": "1", "balance": 100.5, "inactive": False, "days": 4}, {"id": "2", "days": None}))["receipt"]
     assert dict(table.df.dtypes) == {"id": "string", "balance": "double", "inactive": "boolean", "days": "bigint"}
     assert table.spec.types == {"id": "string", "balance": "numeric", "inactive": "boolean", "days": "integer"}
 
 
 def test_first_mode_declares_but_does_not_truncate(docs, rows):
-    table = records(docs({"v": 1}, {"v": 2.5}), types="first")["invoice"]
+    table = records(docs({"v": 1}, {"v": 2.5}), types="first")["receipt"]
     assert table.spec.types == {"v": "integer"}
     assert [r["v"] for r in rows(table.df, "v")] == ["1", "2.5"]
 
 
 def test_sublist_counts_as_text_for_the_first_type(docs):
     df = docs({"v": [{"a": 1}]}, {"v": 5})
-    assert records(df, types="first")["invoice"].spec.types == {"v": "string"}
+    assert records(df, types="first")["receipt"].spec.types == {"v": "string"}
 
 
 def test_fields_keep_selection_order_and_the_key(docs, rows):
-    table = records(docs({"id": "1", "b": 2, "a": 1, "c": 3}), fields=["a", "b", "nope"], primary_key=["id"])["invoice"]
+    table = records(docs({"id": "1", "b": 2, "a": 1, "c": 3}), fields=["a", "b", "nope"], primary_key=["id"])["receipt"]
     assert table.df.columns == ["a", "b", "id"]
 
 
 def test_fields_absent_in_the_first_row_come_later(docs):
-    assert records(docs({"b": 1}, {"a": 1, "b": 2}), fields=["a", "b"])["invoice"].df.columns == ["b", "a"]
+    assert records(docs({"b": 1}, {"a": 1, "b": 2}), fields=["a", "b"])["receipt"].df.columns == ["b", "a"]
 
 
 def test_project_on_columns(spark):
@@ -143,59 +143,59 @@ def test_project_on_columns(spark):
 
 
 def test_missing_key_column_is_named(docs):
-    with pytest.raises(ExtractError, match="custmer_id.*id.*name"):
-        records(docs({"id": "1", "name": "x"}), primary_key=["custmer_id"])
+    with pytest.raises(ExtractError, match="customer_no.*id.*name"):
+        records(docs({"id": "1", "name": "x"}), primary_key=["customer_no"])
 
 
 def test_child_tables(docs, rows):
     df = docs(
-        {"id": "10", "tranid": "A", "item": {"items": [{"line": 1, "qty": 1}, {"line": 2, "memo": "m"}]}, "bad/name": [{"key": "k"}]},
-        {"id": "11", "tranid": "B", "item": {"items": []}},
+        {"id": "10", "number": "A", "item": {"items": [{"line": 1, "qty": 1}, {"line": 2, "memo": "m"}]}, "bad/name": [{"key": "k"}]},
+        {"id": "11", "number": "B", "item": {"items": []}},
         {"id": "12", "item": {"items": [{"line": 1, "links": [], "qty": 2.5}]}},
     )
     found = records(df, child_tables=True, primary_key=["id"], incremental=True)
-    assert set(found) == {"invoice", "invoice_item", "invoice_bad_name"}
-    assert found["invoice"].df.columns == ["id", "tranid"] and found["invoice"].df.count() == 3
-    item = found["invoice_item"]
+    assert set(found) == {"receipt", "receipt_item", "receipt_bad_name"}
+    assert found["receipt"].df.columns == ["id", "number"] and found["receipt"].df.count() == 3
+    item = found["receipt_item"]
     assert item.df.columns == ["_parent_id", "line", "qty", "memo"]
     assert item.spec.primary_key == ("_parent_id", "line") and item.spec.incremental
     got = rows(item.df, "_parent_id", "line")
     assert [(r["_parent_id"], r["line"], r["qty"], r["memo"]) for r in got] == [("10", 1, 1.0, None), ("10", 2, None, "m"), ("12", 1, 2.5, None)]
-    assert found["invoice_bad_name"].spec.primary_key == ("_parent_id", "key")
+    assert found["receipt_bad_name"].spec.primary_key == ("_parent_id", "key")
 
 
 def test_same_key_may_be_split_or_inline(docs, rows):
     df = docs({"id": "1", "x": [{"line": 1}]}, {"id": "2", "x": {"id": "r"}}, {"id": "3", "x": []}, {"id": "4", "x": "t"})
     found = records(df, child_tables=True)
-    assert [r["x"] for r in rows(found["invoice"].df, "id")] == [None, '{"id":"r"}', "[]", "t"]
-    assert rows(found["invoice_x"].df) == [{"_parent_id": "1", "line": 1}]
+    assert [r["x"] for r in rows(found["receipt"].df, "id")] == [None, '{"id":"r"}', "[]", "t"]
+    assert rows(found["receipt_x"].df) == [{"_parent_id": "1", "line": 1}]
 
 
 def test_parent_columns_count_inline_sightings_only(docs):
     df = docs({"x": [{"line": 1}], "id": "1"}, {"id": "2", "y": 1, "x": 5})
-    assert records(df, child_tables=True)["invoice"].df.columns == ["id", "y", "x"]
+    assert records(df, child_tables=True)["receipt"].df.columns == ["id", "y", "x"]
 
 
 def test_fields_split_only_selected_sublists(docs):
-    df = docs({"id": "10", "tranid": "A", "item": {"items": [{"line": 1}]}, "expense": {"items": [{"line": 1}]}})
-    found = records(df, child_tables=True, fields=["tranid", "item"])
-    assert set(found) == {"invoice", "invoice_item"} and found["invoice"].df.columns == ["tranid"]
+    df = docs({"id": "10", "number": "A", "item": {"items": [{"line": 1}]}, "expense": {"items": [{"line": 1}]}})
+    found = records(df, child_tables=True, fields=["number", "item"])
+    assert set(found) == {"receipt", "receipt_item"} and found["receipt"].df.columns == ["number"]
 
 
 def test_empty_sublists_give_no_table_and_no_column(docs):
     found = records(docs({"id": "1", "item": {"items": []}}), child_tables=True)
-    assert set(found) == {"invoice"} and found["invoice"].df.columns == ["id"]
+    assert set(found) == {"receipt"} and found["receipt"].df.columns == ["id"]
 
 
 def test_own_parent_id_wins(docs, rows):
     found = records(docs({"id": "1", "item": [{"_parent_id": "own", "line": 1}, {"line": 2}]}), child_tables=True)
-    assert [r["_parent_id"] for r in rows(found["invoice_item"].df, "line")] == ["own", "1"]
+    assert [r["_parent_id"] for r in rows(found["receipt_item"].df, "line")] == ["own", "1"]
 
 
 def test_lines_that_are_not_objects_fail(docs):
     found = records(docs({"id": "1", "item": {"items": [{"line": 1}, 2]}}), child_tables=True)
     with pytest.raises(PySparkException, match="not an object"):
-        found["invoice_item"].df.collect()
+        found["receipt_item"].df.collect()
 
 
 @pytest.mark.parametrize(
@@ -215,7 +215,7 @@ def test_incremental_children_need_a_line_key(docs):
     df = docs({"id": "1", "item": [{"amount": 5.0}]})
     with pytest.raises(ExtractError, match="per-line key"):
         records(df, child_tables=True, primary_key=["id"], incremental=True)
-    assert records(df, child_tables=True)["invoice_item"].spec.primary_key == ()
+    assert records(df, child_tables=True)["receipt_item"].spec.primary_key == ()
 
 
 def test_colliding_child_tables(docs):
@@ -224,9 +224,9 @@ def test_colliding_child_tables(docs):
 
 
 def test_no_records(docs):
-    table = records(docs(), primary_key=["id"])["invoice"]
+    table = records(docs(), primary_key=["id"])["receipt"]
     assert table.df.columns == ["id"] and table.df.count() == 0
-    assert records(docs())["invoice"].df.columns == []
+    assert records(docs())["receipt"].df.columns == []
 
 
 def test_preview(spark):
@@ -286,3 +286,20 @@ def test_rows_without_id_are_spread(spark):
         for key, value in previous.items():
             spark.conf.set(key, value)
     assert sum(r["count"] for r in sizes) == 3000 and max(r["count"] for r in sizes) < 1000
+
+
+def test_awkward_sublist_names(docs, rows):
+    df = docs({"id": "1", "ordinal": [{"line": 1}], "we`ird.key": {"items": [{"key": "k"}]}, "two words": [{"id": 5}]})
+    found = records(df, child_tables=True)
+    assert set(found) == {"receipt", "receipt_ordinal", "receipt_we_ird.key", "receipt_two_words"}
+    assert rows(found["receipt_we_ird.key"].df) == [{"_parent_id": "1", "key": "k"}]
+
+
+def test_columns_told_apart_by_case_only(docs):
+    with pytest.raises(ExtractError, match="by case only"):
+        records(docs({"Id": 1, "id": 2}))
+
+
+def test_kept_order_columns_may_not_clash(docs):
+    with pytest.raises(ExtractError, match="or not at all"):
+        records(docs({"id": 1, "ordinal": 2}), keep_order=True)

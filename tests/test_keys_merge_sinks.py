@@ -192,9 +192,9 @@ def test_csv_text(spark, tmp_path):
 
 
 def test_composite_key_is_marked(spark):
-    df = spark.createDataFrame([("1", "4000", 10)], "subsidiary string, account string, amount long")
-    marked = {r[1] for r in csvfiles.manifest_rows(df, TableSpec("b", ("subsidiary", "account"))) if r[4]}
-    assert marked == {"subsidiary", "account"}
+    df = spark.createDataFrame([("1", "k2", 10)], "branch string, ledger string, amount long")
+    marked = {r[1] for r in csvfiles.manifest_rows(df, TableSpec("b", ("branch", "ledger"))) if r[4]}
+    assert marked == {"branch", "ledger"}
 
 
 def test_plain_booleans(spark, tmp_path):

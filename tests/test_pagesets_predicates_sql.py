@@ -98,8 +98,8 @@ def test_cursor_chain(spark):
 @pytest.fixture
 def people(spark):
     data = [
-        (1, "Acme Inc", 10, 1.5, "100", date(2024, 5, 15), datetime(2024, 5, 15, 23, 0), True, ["a", "b"]),
-        (2, "globex", 20, 2.5, "x", date(2024, 5, 16), datetime(2024, 5, 16, 0, 0), False, ["c"]),
+        (1, "Birch Inc", 10, 1.5, "100", date(2024, 5, 15), datetime(2024, 5, 15, 23, 0), True, ["a", "b"]),
+        (2, "cedar", 20, 2.5, "x", date(2024, 5, 16), datetime(2024, 5, 16, 0, 0), False, ["c"]),
         (3, "", 30, 3.5, "7.5", date(2024, 4, 1), datetime(2024, 4, 1, 1, 0), None, []),
         (4, None, None, None, None, None, None, None, None),
     ]
@@ -115,10 +115,10 @@ def ids(df):
 @pytest.mark.parametrize(
     "field,op,value,value2,expected",
     [
-        ("name", "is", "ACME inc", None, {1}), ("name", "isNot", "acme inc", None, {2, 3}), ("name", "contains", "ME", None, {1}),
-        ("name", "doesNotContain", "me", None, {2, 3}), ("name", "startsWith", "GLO", None, {2}), ("name", "doesNotStartWith", "glo", None, {1, 3}),
-        ("name", "empty", None, None, {3, 4}), ("name", "notEmpty", None, None, {1, 2}), ("name", "hasKeywords", "inc acme", None, {1}),
-        ("name", "hasKeywords", "inc globex", None, set()), ("n", "equalTo", 10, None, {1}), ("n", "notEqualTo", 10, None, {2, 3}),
+        ("name", "is", "Birch inc", None, {1}), ("name", "isNot", "birch inc", None, {2, 3}), ("name", "contains", "RC", None, {1}),
+        ("name", "doesNotContain", "rc", None, {2, 3}), ("name", "startsWith", "CED", None, {2}), ("name", "doesNotStartWith", "ced", None, {1, 3}),
+        ("name", "empty", None, None, {3, 4}), ("name", "notEmpty", None, None, {1, 2}), ("name", "hasKeywords", "inc birch", None, {1}),
+        ("name", "hasKeywords", "inc cedar", None, set()), ("n", "equalTo", 10, None, {1}), ("n", "notEqualTo", 10, None, {2, 3}),
         ("n", "lessThan", 20, None, {1}), ("n", "notLessThan", 20, None, {2, 3}), ("n", "greaterThan", 20, None, {3}),
         ("n", "notGreaterThan", 20, None, {1, 2}), ("n", "lessThanOrEqualTo", 20, None, {1, 2}), ("n", "greaterThanOrEqualTo", 20, None, {2, 3}),
         ("n", "notLessThanOrEqualTo", 20, None, {3}), ("n", "notGreaterThanOrEqualTo", 20, None, {1}), ("n", "between", 10, 20, {1, 2}),
@@ -235,7 +235,7 @@ def test_page_of(spark):
 def test_extract_sql(spark, events):
     table = extract.extract_sql(spark, RANGED, "2024-01-01", "2024-03-01", primary_key=["id"], incremental=True)["sql_result"]
     assert table.spec.types == {"id": "integer"} and table.df.count() == 3
-    with pytest.raises(ExtractError, match="two columns of one name"):
+    with pytest.raises(ExtractError, match="or not at all"):
         extract.extract_sql(spark, "SELECT 1 AS a, 2 AS a")
     with pytest.raises(ExtractError, match="not a table name"):
         extract.extract_sql(spark, "SELECT 1 AS a", table_name="../x")

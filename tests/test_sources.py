@@ -118,10 +118,10 @@ def xml(tmp_path):
 
 
 def test_search_rows_of_both_lists(spark, xml, rows):
-    xml(1, "<c:recordList>" + RECORD.format("101", "ACME") + RECORD.format("102", "Globex") + "</c:recordList>")
+    xml(1, "<c:recordList>" + RECORD.format("101", "Birch") + RECORD.format("102", "Cedar") + "</c:recordList>")
     path = xml(2, "<c:searchRowList>" + ROW.format("Third") + "</c:searchRowList>")
     got = rows(search_xml.search_rows(search_xml.read_search_pages(spark, path)), "ordinal")
-    assert [(r["internalId"], r["entityId"], r["extra"]) for r in got] == [("101", "ACME", None), ("102", "Globex", None), (None, "Third", "e")]
+    assert [(r["internalId"], r["entityId"], r["extra"]) for r in got] == [("101", "Birch", None), ("102", "Cedar", None), (None, "Third", "e")]
     info = rows(search_xml.search_page_info(search_xml.read_search_pages(spark, path)), "page_index")
     assert [(i["search_id"], i["page_index"], i["total_pages"], i["total_records"]) for i in info] == [("S1", 1, 2, 3), ("S1", 2, 2, 3)]
 
@@ -147,9 +147,9 @@ def test_pages_without_lists_are_an_error(spark, xml):
 
 
 def test_record_types(spark):
-    body = {"items": [{"name": "customer"}, {"name": "", "links": [{"href": ""}, {"href": "https://h/catalog/invoice/"}]}, {"links": []}, {}]}
+    body = {"items": [{"name": "customer"}, {"name": "", "links": [{"href": ""}, {"href": "https://h/catalog/receipt/"}]}, {"links": []}, {}]}
     got = catalog.record_types(spark.createDataFrame([(json.dumps(body),)], "raw string")).orderBy("position").collect()
-    assert [(r.value, r.label) for r in got] == [("customer", "customer"), ("invoice", "invoice")]
+    assert [(r.value, r.label) for r in got] == [("customer", "customer"), ("receipt", "receipt")]
 
 
 def test_record_fields_in_document_order(spark):
@@ -186,3 +186,10 @@ def test_fetch_details_keeps_rows_without_id(spark, docs, rows):
     collection = docs({"id": "a"}, {"x": 1}, {"id": "b"}).withColumn("id", F.get_json_object("raw", "$.id"))
     got = rows(remote.fetch_details(collection, lambda i: json.dumps({"id": i, "full": True}), tasks=2).drop("doc"), "ordinal")
     assert [json.loads(r["raw"]) for r in got] == [{"id": "a", "full": True}, {"x": 1}, {"id": "b", "full": True}]
+
+
+def test_failed_page_without_rows_is_noticed(spark, xml):
+    xml(1, "<c:recordList>" + RECORD.format("1", "A") + RECORD.format("2", "B") + "</c:recordList>")
+    path = xml(2, "", ok="false")
+    with pytest.raises(PySparkException, match="saved search failed"):
+        search_xml.search_rows(search_xml.read_search_pages(spark, path)).collect()

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-import re
+import string
 from collections.abc import Iterable
 
 from tributary.errors import ExtractError
 
-_UNSAFE = re.compile(r"[^A-Za-z0-9_.-]")
+# The characters a table name is made of.
+SAFE_CHARACTERS = frozenset(string.ascii_letters + string.digits + "_.-")
 
 
 def safe_segment(name: str) -> str:
     """Turn any name into one usable as a path segment; never empty, never dots only."""
-    return _UNSAFE.sub("_", name).strip(".") or "table"
+    spelled = "".join(c if c in SAFE_CHARACTERS else "_" for c in name).strip(".")
+    return spelled if spelled else "table"
 
 
 def child_name(table: str, sublist: str) -> str:

@@ -116,7 +116,7 @@ def parent_rows(documents: DataFrame, profile: Profile, fields: Sequence[str] =
 
 
 def sublist_items(documents: DataFrame, sublists: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """``ordinal, parent_id`` and, per sublist, its items as ``array<string>`` of JSON texts.
+    """``ordinal, parent_id, items_0, items_1 ...``: the items of each sublist as ``array<string>`` of JSON texts.
 
     One text parse serves all sublists. NULL where the value is not a sublist.
     """
@@ -125,20 +125,20 @@ def sublist_items(documents: DataFrame, sublists: Sequence[str], keep: Sequence[
         *keep, "ordinal", "doc", get("doc", "$.id", "string").alias("parent_id"), F.from_json("raw", schema).alias("texts")
     )
     columns = []
-    for name in sublists:
+    for i, name in enumerate(sublists):
         value, text = get("doc", path_of(name)), F.col("texts").getField(name)
         wrapped = F.from_json(text, "items array<string>")["items"]
         items = F.when(is_array(value, path_of("items")), wrapped).otherwise(F.from_json(text, "array<string>"))
-        columns.append(F.when(is_sublist(value), items).alias(name))
+        columns.append(F.when(is_sublist(value), items).alias(f"items_{i}"))
     return texts.select(*keep, "ordinal", "parent_id", *columns)
 
 
-def child_documents(items: DataFrame, sublist: str) -> DataFrame:
-    """One row per line: ``ordinal, line_no, parent_id, raw, doc``.
+def child_documents(items: DataFrame, position: int) -> DataFrame:
+    """One row per line of the sublist at that position: ``ordinal, line_no, parent_id, raw, doc``.
 
     ``ordinal`` orders lines over all records (record, then line), as the column union needs it.
     """
-    rows = items.select("ordinal", "parent_id", F.posexplode(F.col(f"`{sublist}`")).alias("line_no", "raw"))
+    rows = items.select("ordinal", "parent_id", F.posexplode(f"items_{position}").alias("line_no", "raw"))
     position = F.least("line_no", F.lit((1 << KEY_BITS) - 1))
     return rows.select(
         (F.col("ordinal") * (1 << KEY_BITS) + position).alias("ordinal"), "line_no", "parent_id", "raw",

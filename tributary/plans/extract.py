@@ -6,6 +6,7 @@ DataFrames. What reaches the driver is one profile per table (a row per column).
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 from datetime import datetime
 
@@ -39,6 +40,11 @@ def _guard(name: str, primary_key: Sequence[str], incremental: bool) -> None:
 
 
 def _table(df: DataFrame, types: dict[str, str], name: str, primary_key: Sequence[str], incremental: bool) -> Table:
+    spellings = Counter(c.lower() for c in df.columns)
+    clashes = [c for c in df.columns if spellings[c.lower()] > 1]
+    folded = df.sparkSession.conf.get("spark.sql.caseSensitive") != "true"
+    if (clashes and folded) or len(set(df.columns)) < len(df.columns):
+        raise ExtractError(f"table '{name}' would have columns that are told apart by case only, or not at all: {clashes}")
     spec = TableSpec(name, tuple(primary_key), incremental, types)
     if not [c for c in df.columns if c not in BATCH_COLUMNS]:
         empty = zero_row_table(df.sparkSession, spec)
@@ -86,8 +92,8 @@ def extract_records(
         return tables
     # One parse lands all sublists side by side; each child table then reads its own column only.
     items = stage(sublist_items(documents, sublists), "sublists")
-    for sublist in sublists:
-        lines = child_documents(items, sublist)
+    for position, sublist in enumerate(sublists):
+        lines = child_documents(items, position)
         line_profile = collect_profile(profile(lines))
         if not line_profile.n_rows:
             continue
@@ -148,6 +154,4 @@ def extract_sql(
     name = table_name or default_table_name("sql")
     df = run_query(spark, query, date_from, date_to, as_of=as_of)
     types = {f.name: base_type(f.dataType) for f in df.schema.fields}
-    if len(types) != len(df.columns):
-        raise ExtractError("the query returns two columns of one name; give them aliases")
     return {name: _table(df, types, name, primary_key, incremental)}

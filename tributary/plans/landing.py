@@ -54,13 +54,13 @@ def land(spark: SparkSession, sf_dir: str, name: str) -> str:
 def bounded_groups(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
     """Add ``chunk`` so that no ``(keys, chunk)`` group is much larger than ``most`` rows.
 
-    Only over-full groups are cut, by a hash of the whole row; on even data every chunk is 0 and the join
-    is against an empty set.
+    Only over-full groups are cut, by a hash of the whole row; their size is kept in ``group_rows``. On even
+    data every chunk is 0 and the join is against an empty set.
     """
-    full = df.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > most)
+    full = df.groupBy(*keys).agg(F.count("*").alias("group_rows")).where(F.col("group_rows") > most)
     columns = [F.col(c) for c in df.columns]
-    cut = F.pmod(F.xxhash64(*columns), F.ceil(F.col("_n") / most))
-    return df.join(full, list(keys), "left").withColumn("chunk", F.coalesce(cut, F.lit(0)).cast("bigint")).drop("_n")
+    cut = F.pmod(F.xxhash64(*columns), F.ceil(F.col("group_rows") / most))
+    return df.join(full, list(keys), "left").withColumn("chunk", F.coalesce(cut, F.lit(0)).cast("bigint"))
 
 
 def link(rel: str, href: Column) -> Column:
@@ -110,7 +110,11 @@ def _extent(df: DataFrame, key: str) -> tuple[int, int]:
 
 @_lands("documents")
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per order with its lines as a sublist; an order of very many lines gives several."""
+    """One document per order with its lines as a sublist.
+
+    A document carries a bounded number of lines. An order with more gives several documents, each with one
+    page of the sublist: ``totalResults`` counts all lines, ``hasMore`` says there are others.
+    """
     orders = table(spark, sf_dir, "orders")
     item = F.struct(
         F.col("l_linenumber").alias("line"),
@@ -120,7 +124,9 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_partkey", "l_suppkey")
     lines = bounded_groups(lines, ["l_orderkey"], MAX_LINES)
-    sublists = lines.groupBy("l_orderkey", "chunk").agg(F.array_sort(F.collect_list(item)).alias("items"))
+    sublists = lines.groupBy("l_orderkey", "chunk").agg(
+        F.array_sort(F.collect_list(item)).alias("items"), F.max("group_rows").alias("group_rows")
+    )
     joined = orders.join(sublists, orders.o_orderkey == sublists.l_orderkey, "left")
     none = F.array().cast(sublists.schema["items"].dataType)
     items = F.coalesce("items", none)
@@ -139,7 +145,8 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     self_links("customer", F.col("o_custkey")).alias("links"),
                 ).alias("customer"),
                 F.struct(
-                    self_links("order", key).alias("links"), items.alias("items"), F.size(items).alias("totalResults")
+                    self_links("order", key).alias("links"), items.alias("items"), F.coalesce("group_rows", F.size(items)).alias("totalResults"),
+                    F.when(F.col("group_rows").isNotNull(), True).alias("hasMore"),
                 ).alias("item"),
             )
         ).alias("value")

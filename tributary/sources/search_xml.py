@@ -60,9 +60,8 @@ def search_rows(pages: DataFrame) -> DataFrame:
     becomes the column ``value``, and a page whose status says it failed is an error.
     """
     index = F.coalesce(F.col("pageIndex").try_cast("bigint"), F.lit(1)) if _has(pages.schema, "pageIndex") else F.lit(1)
-    if _has(pages.schema, "status"):
-        message = F.lit("the saved search failed: its status says so")
-        index = F.when(F.col("status._isSuccess") == "false", F.raise_error(message).cast("bigint")).otherwise(index)
+    failed = F.col("status._isSuccess") == "false" if _has(pages.schema, "status") else F.lit(False)
+    message = F.lit("the saved search failed: its status says so")
     parts: list[DataFrame] = []
     for list_name, row_name in RECORD_LISTS:
         if not _has(pages.schema, list_name):
@@ -70,10 +69,13 @@ def search_rows(pages: DataFrame) -> DataFrame:
         inner = pages.schema[list_name].dataType
         if not isinstance(inner, T.StructType) or not _has(inner, row_name):
             continue
-        rows = F.col(f"{list_name}.{row_name}")
-        if not isinstance(inner[row_name].dataType, T.ArrayType):
-            rows = F.filter(F.array(rows), lambda row: row.isNotNull())
-        exploded = pages.select(index.alias("page_no"), F.posexplode(rows).alias("pos", "record"))
+        rows, listed = F.col(f"{list_name}.{row_name}"), inner[row_name].dataType
+        if not isinstance(listed, T.ArrayType):
+            # No page holds more than one.
+            rows, listed = F.filter(F.array(rows), lambda row: row.isNotNull()), T.ArrayType(listed)
+        # Part of the exploded value, so that a failed page without rows is noticed too.
+        checked = F.when(failed, F.raise_error(message).cast(listed)).otherwise(rows)
+        exploded = pages.select(index.alias("page_no"), F.posexplode(checked).alias("pos", "record"))
         parts.append(to_row(exploded))
     if not parts:
         raise ExtractError("no record list found in the search result pages")
