@@ -30,7 +30,8 @@ def masked(value, keys):
     [
         ('{"links":[],"id":1}', '{"id":1}'),
         ('{"id":1,"links":[{"rel":"self","href":"a]}"}]}', '{"id":1}'),
-        ('{"a":{"links" : {"x":[1,{"y":2}]}, "b":0.0}}', '{"a":{ "b":0.0}}'),
+        ('{"a":{"links" : {"x":[1,{"y":2}]}, "b":0.0}}', '{"a":{"b":0.0}}'),
+        ('{"a":1,"links":[],"b":2, "links":{}}', '{"a":1,"b":2}'),
         ('{"note":"\\"links\\":[1]","z":["links"]}', '{"note":"\\"links\\":[1]","z":["links"]}'),
         ('{"items":[{"links":3},{"links":null,"line":2}]}', '{"items":[{},{"line":2}]}'),
         ('{"links":1,"links":2}', "{}"),

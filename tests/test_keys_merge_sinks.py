@@ -254,3 +254,16 @@ def test_bounded_groups_cut_only_what_is_too_large(spark):
     assert cut.count() == 9000
     assert cut.groupBy("k", "chunk").count().agg(F.max("count")).first()[0] < 900
     assert cut.where(F.col("k") != 1).agg(F.max("chunk")).first()[0] == 0
+
+
+def test_expire_versions_keeps_what_is_in_use(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = spark.range(50).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v"))
+    tables.write_full(base, path, SPEC, parts=4)
+    for v in (1, 2, 3):
+        tables.write_upsert(spark.createDataFrame([("7", v, 0, 0)], BATCH), path, SPEC)
+    dropped = tables.expire_versions(spark, path, keep=1)
+    assert len(dropped) == 3 and len(contents(spark, path)) == 50 and dict(contents(spark, path))["7"] == 3
+    assert tables.expire_versions(spark, path, keep=1) == []
+    with pytest.raises(ExtractError):
+        tables.expire_versions(spark, path, keep=0)

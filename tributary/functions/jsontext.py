@@ -7,6 +7,7 @@ access goes through VARIANT.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable
 
@@ -30,32 +31,58 @@ def _value_pattern() -> str:
 _VALUE = _value_pattern()
 
 
+def _escaped(key: str) -> str:
+    """A key as it is spelled inside JSON, as a literal pattern."""
+    return re.escape(json.dumps(key, ensure_ascii=False)[1:-1])
+
+
 def _key_token(keys: Iterable[str]) -> str:
-    return '"(?:' + "|".join(re.escape(k) for k in keys) + r')"\s*+:\s*+'
+    """A member name and its colon.
+
+    Inside a string every quote is escaped, so a quote without a backslash before it that is followed by
+    the name, a quote and a colon can only be a member name.
+    """
+    names = "|".join(_escaped(k) for k in keys)
+    return rf'(?<!\\)"(?:{names})"\s*+:\s*+'
 
 
 def drop_keys(text: Column | str, keys: Iterable[str] = ("links",)) -> Column:
-    """Remove every member named in ``keys`` at any depth; all other text stays as it was.
+    """Remove every member named in ``keys`` at any depth; all other text stays as it was."""
+    keys = tuple(keys)
+    return drop_last_members(drop_followed_members(text, keys), keys)
+
+
+def drop_followed_members(text: Column | str, keys: Iterable[str] = ("links",)) -> Column:
+    """Remove the named members that another member follows, with the comma between.
+
+    The patterns start with a literal, which the regex engine finds by skipping ahead. Navigation keys
+    usually come first in their object, so this pass alone mostly does all the work.
+    """
+    text = F.col(text) if isinstance(text, str) else text
+    for key in keys:
+        name = f'"{_escaped(key)}"'
+        text = F.regexp_replace(text, rf"(?s){name}(?<!\\{name})\s*+:\s*+{_VALUE}\s*+,\s*+", "")
+    return text
+
+
+def drop_last_members(text: Column | str, keys: Iterable[str] = ("links",)) -> Column:
+    """Remove the named members wherever they are, with the comma before (or, for the first, after) them.
 
-    Strings are consumed as whole tokens (and put back by ``$1``), so a key name inside a string value
-    is never touched.
+    Texts that do not hold the names any more are passed over.
     """
     text = F.col(text) if isinstance(text, str) else text
     keys = tuple(keys)
     member = _key_token(keys) + _VALUE
-    pattern = r"(?s),\s*+" + member + "|" + member + r"\s*+,?|(" + _STRING + ")"
-    present = F.lit(False)
+    left = F.lit(False)
     for key in keys:
-        present = present | text.contains(f'"{key}"')
-    return F.when(present, F.regexp_replace(text, pattern, "$1")).otherwise(text)
+        left = left | text.contains(f'"{json.dumps(key, ensure_ascii=False)[1:-1]}"')
+    return F.when(left, F.regexp_replace(text, r"(?s),\s*+" + member + "|" + member + r"\s*+,?+", "")).otherwise(text)
 
 
 def mask_keys(text: Column | str, keys: Iterable[str], replacement: str = "REDACTED") -> Column:
     """Replace the value of every member named in ``keys``, at any depth, by a fixed JSON string."""
     text = F.col(text) if isinstance(text, str) else text
-    key = _key_token(keys)
-    pattern = r'(?s)\G((?:[^"]++|(?!' + key + ")" + _STRING + ")*+" + key + ")" + _VALUE
-    return F.regexp_replace(text, pattern, '$1"' + replacement + '"')
+    return F.regexp_replace(text, "(?s)(" + _key_token(keys) + ")" + _VALUE, '$1"' + replacement + '"')
 
 
 def path_of(*keys: str) -> str:

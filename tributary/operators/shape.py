@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import ExtractError
-from tributary.functions.jsontext import drop_keys, get, is_array, is_object, is_sublist, path_of
+from tributary.functions.jsontext import drop_followed_members, drop_last_members, get, is_array, is_object, is_sublist, path_of
 from tributary.operators.infer import KEY_BITS, ColumnInfo, Profile, to_columns
 from tributary.spec import SPARK_TYPE
 
@@ -26,9 +26,11 @@ PREVIEW_CHARS = 2000
 
 def parsed(documents: DataFrame, strip: Sequence[str] = NAVIGATION_KEYS) -> DataFrame:
     """Documents without their navigation keys, at any depth, with ``doc`` parsed from what is left."""
-    raw = drop_keys("raw", strip) if strip else F.col("raw")
-    others = [c for c in documents.columns if c not in ("raw", "doc")]
-    return documents.select(*others, raw.alias("raw")).withColumn("doc", F.parse_json("raw"))
+    texts = documents.drop("doc")
+    if strip:
+        # Two steps rather than one expression, so that the second reads the first's result as a column.
+        texts = texts.withColumn("raw", drop_followed_members("raw", strip)).withColumn("raw", drop_last_members("raw", strip))
+    return texts.withColumn("doc", F.parse_json("raw"))
 
 
 # ---- projection -------------------------------------------------------------------------------------

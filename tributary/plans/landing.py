@@ -116,20 +116,20 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     page of the sublist: ``totalResults`` counts all lines, ``hasMore`` says there are others.
     """
     orders = table(spark, sf_dir, "orders")
-    item = F.struct(
-        F.col("l_linenumber").alias("line"),
-        F.col("l_quantity").alias("qty"),
-        F.col("l_returnflag").alias("flag"),
-        self_links("line", F.col("l_linenumber")).alias("links"),
+    line = F.struct(
+        F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"), "l_partkey", "l_suppkey"
     )
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_partkey", "l_suppkey")
     lines = bounded_groups(lines, ["l_orderkey"], MAX_LINES)
     sublists = lines.groupBy("l_orderkey", "chunk").agg(
-        F.array_sort(F.collect_list(item)).alias("items"), F.max("group_rows").alias("group_rows")
+        F.array_sort(F.collect_list(line)).alias("lines"), F.max("group_rows").alias("group_rows")
     )
     joined = orders.join(sublists, orders.o_orderkey == sublists.l_orderkey, "left")
-    none = F.array().cast(sublists.schema["items"].dataType)
-    items = F.coalesce("items", none)
+    none = F.array().cast(sublists.schema["lines"].dataType)
+    items = F.transform(
+        F.coalesce("lines", none),
+        lambda x: F.struct(self_links("line", x["line"]).alias("links"), x["line"].alias("line"), x["qty"].alias("qty"), x["flag"].alias("flag")),
+    )
     key = F.col("o_orderkey")
     return joined.select(
         F.to_json(
@@ -140,9 +140,9 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.col("o_totalprice").alias("total"),
                 F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
                 F.struct(
+                    self_links("customer", F.col("o_custkey")).alias("links"),
                     F.col("o_custkey").alias("id"),
                     F.concat(F.lit("customer "), F.col("o_custkey")).alias("refName"),
-                    self_links("customer", F.col("o_custkey")).alias("links"),
                 ).alias("customer"),
                 F.struct(
                     self_links("order", key).alias("links"), items.alias("items"), F.coalesce("group_rows", F.size(items)).alias("totalResults"),

@@ -49,14 +49,15 @@ def views(spark: SparkSession, sf_dir: str, *names: str) -> None:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Landed order documents as ``ordinal, raw, doc``, ordered by order number."""
-    texts = spark.read.text(land(spark, sf_dir, "documents")).select(F.col("value").alias("raw"))
-    return with_ordinal(shape.parsed(texts))
+def landed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed order documents as ``ordinal, raw``, ordered by order number."""
+    texts = spark.read.text(land(spark, sf_dir, "documents"))
+    return texts.select(F.from_json("value", "id string")["id"].cast("bigint").alias("ordinal"), F.col("value").alias("raw"))
 
 
-def with_ordinal(docs: DataFrame) -> DataFrame:
-    return docs.select(get("doc", "$.id", "string").cast("bigint").alias("ordinal"), "raw", "doc")
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same without navigation keys, parsed: ``ordinal, raw, doc``."""
+    return shape.parsed(landed_documents(spark, sf_dir))
 
 
 # ---- SQL mode ---------------------------------------------------------------------------------------
@@ -162,7 +163,8 @@ def resolve_details(spark, d):
 
 
 def orders_extracted(spark, d, **options) -> dict[str, Table]:
-    return extract.extract_records(documents(spark, d).select(F.col("ordinal").alias("page_no"), "ordinal", "raw"), record_type="order", **options)
+    landed = landed_documents(spark, d).withColumn("page_no", F.lit(0))
+    return extract.extract_records(landed, record_type="order", **options)
 
 
 @query("""

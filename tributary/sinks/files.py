@@ -43,6 +43,11 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    fs, target = _path(spark, path)
+    fs.delete(target, True)
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     fs, target = _path(spark, path)
     return [s.getPath().getName() for s in fs.listStatus(target)] if fs.exists(target) else []

@@ -20,16 +20,20 @@ from tributary.errors import ExtractError
 from tributary.operators.keys import require_key_columns, require_key_for_incremental, require_table_name
 from tributary.operators.merge import BATCH_ORDER, common_types, conform, latest_rows, without_keys
 from tributary.session import stage
-from tributary.sinks.files import list_names, read_text, write_text
+from tributary.sinks.files import delete, list_names, read_text, write_text
 from tributary.spec import SPARK_TYPE, Table, TableSpec
 
 PART = "_part"
 
 
+def _commit_names(spark: SparkSession, path: str) -> list[str]:
+    return sorted(n for n in list_names(spark, f"{path}/_commits") if n.endswith(".json") and not n.startswith("."))
+
+
 def current_commit(spark: SparkSession, path: str) -> dict | None:
     """The latest commit of a table, or None before the first load."""
-    names = [n for n in list_names(spark, f"{path}/_commits") if n.endswith(".json") and not n.startswith(".")]
-    return json.loads(read_text(spark, f"{path}/_commits/{max(names)}")) if names else None
+    names = _commit_names(spark, path)
+    return json.loads(read_text(spark, f"{path}/_commits/{names[-1]}")) if names else None
 
 
 def read_table(spark: SparkSession, path: str, parts: Sequence[int] | None = None) -> DataFrame:
@@ -123,6 +127,25 @@ def write_upsert(
     return _commit(rows, path, commit["version"] + 1, kept, info)
 
 
+def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Drop all but the last ``keep`` commits, and the folders only the dropped ones name.
+
+    Not for use while a load of the same table is running.
+    """
+    if keep < 1:
+        raise ExtractError("at least the latest version is kept")
+    names = _commit_names(spark, path)
+    used = {f for n in names[-keep:] for f in json.loads(read_text(spark, f"{path}/_commits/{n}"))["parts"].values()}
+    dropped = []
+    for name in names[:-keep]:
+        old = json.loads(read_text(spark, f"{path}/_commits/{name}"))["parts"].values()
+        for folder in set(old) - used - set(dropped):
+            delete(spark, f"{path}/{folder}")
+            dropped.append(folder)
+        delete(spark, f"{path}/_commits/{name}")
+    return sorted(dropped)
+
+
 def write_table(table: Table, path: str, **options) -> dict:
     """Full load or upsert, as the spec says."""
     if table.spec.incremental:
