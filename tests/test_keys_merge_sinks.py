@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tributary.errors import ExtractError
 from tributary.operators import keys, merge
 from tributary.plans import landing
-from tributary.session import shared_folder, stage
+from tributary.session import shared_folder, stage, staging_scope
 from tributary.sinks import csvfiles, tables
 from tributary.spec import Table, TableSpec
 from tributary.streaming.incremental import landed_stream, stream_upsert
@@ -267,3 +267,32 @@ def test_expire_versions_keeps_what_is_in_use(spark, tmp_path):
     assert tables.expire_versions(spark, path, keep=1) == []
     with pytest.raises(ExtractError):
         tables.expire_versions(spark, path, keep=0)
+
+
+def test_staging_scope_cleans_up(spark):
+    kept = stage(spark.range(3), "kept")
+    with staging_scope(spark):
+        inner = stage(spark.range(4), "inner")
+        path = inner.inputFiles()[0].removeprefix("file://")
+        with staging_scope(spark):
+            nested = stage(spark.range(5), "nested").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path) and not os.path.exists(nested)
+    assert not os.path.exists(path) and kept.count() == 3
+
+
+def test_upsert_leaves_nothing_staged(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_full(spark.createDataFrame([("a", 1)], "id string, v int"), path, SPEC)
+    staged = f"{shared_folder(spark)}/tributary".replace("file:", "")
+    before = set(os.listdir(staged)) if os.path.isdir(staged) else set()
+    tables.write_upsert(spark.createDataFrame([("a", 2, 0, 0)], BATCH), path, SPEC)
+    assert set(os.listdir(staged)) - before == set()
+
+
+def test_an_empty_batch_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_upsert(spark.createDataFrame([], BATCH), path, SPEC)
+    assert contents(spark, path) == set()
+    tables.write_upsert(spark.createDataFrame([("a", 2, 0, 0)], BATCH), path, SPEC)
+    tables.write_upsert(spark.createDataFrame([], BATCH), path, SPEC)
+    assert contents(spark, path) == {("a", 2)}

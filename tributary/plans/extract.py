@@ -28,6 +28,7 @@ from tributary.operators.shape import child_documents, child_rows, flatten, pare
 from tributary.plans.sqlmode import run_query
 from tributary.session import stage
 from tributary.sinks.tables import zero_row_table
+from tributary.sources.pages import rows_at_path
 from tributary.sources.search_xml import search_rows
 from tributary.spec import Table, TableSpec, base_type
 
@@ -125,6 +126,15 @@ def extract_pages(
     return {table_name: _table(df, declared, table_name, primary_key, incremental)}
 
 
+def extract_endpoint(
+    pages: DataFrame, *, script_id: str, deploy_id: str, record_path: str = "", table_name: str = "", page_no: str = "page_no", raw: str = "raw", **options
+) -> dict[str, Table]:
+    """Pages of a custom endpoint (``page_no, raw``) as one table; see ``extract_pages`` for the options."""
+    require_arguments("endpoint", script_id=script_id, deploy_id=deploy_id)
+    name = table_name or default_table_name("endpoint", script_id=script_id)
+    return extract_pages(rows_at_path(pages, record_path, page_no=page_no, raw=raw), table_name=name, **options)
+
+
 def extract_search(
     pages: DataFrame, *, search_id: str = "", table_name: str = "", primary_key: Sequence[str] = (), incremental: bool = False, keep_order: bool = False
 ) -> dict[str, Table]:

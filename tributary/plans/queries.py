@@ -305,8 +305,8 @@ def preview_sample(spark, d):
 @query("SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment FROM customer")
 def dotted_path_rows(spark, d):
     landed = spark.read.schema("page_no bigint, body string").json(land(spark, d, "wrapped_pages"))
-    rows = pages.rows_at_path(landed, "data.results", raw="body")
-    return extract.extract_pages(rows, table_name="customers", primary_key=["id"])["customers"].df
+    found = extract.extract_endpoint(landed, script_id="12", deploy_id="1", record_path="data.results", raw="body", primary_key=["id"])
+    return found["endpoint_12"].df
 
 
 def event_envelopes(spark, d) -> DataFrame:

@@ -3,14 +3,20 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tributary.sinks.files import delete
+
 _local_folder: str | None = None
 _shipped: set[str] = set()
+_scopes = threading.local()
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -40,12 +46,27 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/tributary/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def staging_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, on leaving, what this thread staged inside; results must be written by then."""
+    outer, mine = getattr(_scopes, "paths", None), []
+    _scopes.paths = mine
+    try:
+        yield
+    finally:
+        _scopes.paths = outer
+        for path in mine:
+            delete(spark, path)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage with files that outlive any executor, and lets every later reader prune columns.
     """
     path = staging_path(df.sparkSession, label)
+    if getattr(_scopes, "paths", None) is not None:
+        _scopes.paths.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from tributary.errors import ExtractError
 from tributary.operators.keys import require_key_columns, require_key_for_incremental, require_table_name
 from tributary.operators.merge import BATCH_ORDER, common_types, conform, latest_rows, without_keys
-from tributary.session import stage
+from tributary.session import stage, staging_scope
 from tributary.sinks.files import delete, list_names, read_text, write_text
 from tributary.spec import SPARK_TYPE, Table, TableSpec
 
@@ -95,7 +95,8 @@ def write_upsert(
 ) -> dict:
     """Upsert a batch by primary key; in-batch copies of a key are settled by ``order``, last wins.
 
-    A ``load_id`` that the latest commit already carries is not loaded again.
+    A ``load_id`` that the latest commit already carries is not loaded again. ``parts`` counts for the first
+    load: the more parts, the less of a large table a small batch rewrites.
     """
     spark = batch.sparkSession
     require_key_for_incremental(True, spec.primary_key)
@@ -112,19 +113,20 @@ def write_upsert(
     n_parts = commit["n_parts"]
     base_schema = T.StructType.fromJson(commit["schema"])
     types = common_types(base_schema, latest.schema)
-    # The batch is used three times: to find its parts, to filter the base, and to be written.
-    staged = stage(conform(latest, types).withColumn(PART, _part_column(spec.primary_key, n_parts)), "batch")
     retyped = any(types[f.name] != f.dataType for f in base_schema.fields)
-    if retyped:
-        touched = {int(p) for p in commit["parts"]}
-    else:
-        touched = {row[PART] for row in staged.select(PART).distinct().collect()}  # at most n_parts rows
-    base = conform(_read_commit(spark, path, commit, sorted(touched)), types)
-    base = base.withColumn(PART, _part_column(spec.primary_key, n_parts))
-    rows = without_keys(base, staged, spec.primary_key).unionByName(staged)
-    kept = {p: f for p, f in commit["parts"].items() if int(p) not in touched}
     info = {"n_parts": n_parts, "primary_key": list(spec.primary_key), "load_id": load_id}
-    return _commit(rows, path, commit["version"] + 1, kept, info)
+    with staging_scope(spark):
+        # The batch is used three times: to find its parts, to filter the base, and to be written.
+        staged = stage(conform(latest, types).withColumn(PART, _part_column(spec.primary_key, n_parts)), "batch")
+        if retyped:
+            touched = {int(p) for p in commit["parts"]}
+        else:
+            touched = {row[PART] for row in staged.select(PART).distinct().collect()}  # at most n_parts rows
+        base = conform(_read_commit(spark, path, commit, sorted(touched)), types)
+        base = base.withColumn(PART, _part_column(spec.primary_key, n_parts))
+        rows = without_keys(base, staged, spec.primary_key).unionByName(staged)
+        kept = {p: f for p, f in commit["parts"].items() if int(p) not in touched}
+        return _commit(rows, path, commit["version"] + 1, kept, info)
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
