@@ -69,7 +69,14 @@ def sublist_text(doc: str, name: str) -> Column:
     return F.coalesce(wrapped, get(doc, path_of(name), "string"))
 
 
-def flatten(documents: DataFrame, profile: Profile, fields: Sequence[str] = (), primary_key: Sequence[str] = (), types: str = "widen", keep: Sequence[str] = ()) -> tuple[DataFrame, dict[str, str]]:
+def flatten(
+    documents: DataFrame,
+    profile: Profile,
+    fields: Sequence[str] = (),
+    primary_key: Sequence[str] = (),
+    types: str = "widen",
+    keep: Sequence[str] = (),
+) -> tuple[DataFrame, dict[str, str]]:
     """One row per document. Sublists become JSON text, other containers too, scalars keep their type.
 
     ``types="widen"`` gives typed columns. ``types="first"`` declares the type of the first scalar; since
@@ -95,7 +102,14 @@ def split_keys(profile: Profile, fields: Sequence[str] = ()) -> list[str]:
     return [c.name for c in profile.columns if c.n_sublists and (not fields or c.name in fields)]
 
 
-def parent_rows(documents: DataFrame, profile: Profile, fields: Sequence[str] = (), primary_key: Sequence[str] = (), types: str = "widen", keep: Sequence[str] = ()) -> tuple[DataFrame, dict[str, str]]:
+def parent_rows(
+    documents: DataFrame,
+    profile: Profile,
+    fields: Sequence[str] = (),
+    primary_key: Sequence[str] = (),
+    types: str = "widen",
+    keep: Sequence[str] = (),
+) -> tuple[DataFrame, dict[str, str]]:
     """The record without its sublists.
 
     The decision is made per value: where a key holds a sublist in some records and something else in

@@ -12,7 +12,7 @@ import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,14 +52,14 @@ def _read_commit(spark: SparkSession, path: str, commit: dict, parts: Sequence[i
     return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
 
 
-def _part_column(primary_key: Sequence[str], parts: int) -> F.Column:
+def _part_column(primary_key: Sequence[str], parts: int) -> Column:
     # Hash of the text form, so that a key keeps its part when a column changes from integer to numeric.
     if parts == 1 or not primary_key:
         return F.lit(0)
     return F.pmod(F.xxhash64(*[_key_text(k) for k in primary_key]), F.lit(parts)).cast("int")
 
 
-def _key_text(name: str) -> F.Column:
+def _key_text(name: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("\u0000")), r"\.0$", "")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,7 +37,7 @@ def _has(schema: T.StructType, name: str) -> bool:
 def search_page_info(pages: DataFrame) -> DataFrame:
     """``search_id, page_index, total_pages, total_records, is_success`` per page."""
 
-    def number(name: str, default: int | None) -> F.Column:
+    def number(name: str, default: int | None) -> Column:
         value = F.col(name).try_cast("bigint") if _has(pages.schema, name) else F.lit(None).cast("bigint")
         # Absent or zero counts as one page.
         return F.coalesce(F.when(value != 0, value), F.lit(default).cast("bigint"))
