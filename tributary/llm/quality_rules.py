@@ -47,7 +47,7 @@ def _grams(data: np.ndarray, at: np.ndarray, rolling: Rolling, buckets: int):
 def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     """``bucket, corpus, trusted``: n-grams of all documents, and of those whose ``doc_id`` is in ``trusted``."""
     marks = trusted.select("doc_id").where("doc_id IS NOT NULL").distinct().withColumn("is_trusted", F.lit(True))
-    marked = docs.select("doc_id", "text").where("length(text) > 0").join(marks, "doc_id", "left").select("text", F.coalesce("is_trusted", F.lit(False)).alias("is_trusted"))
+    marked = docs.select("doc_id", "text").where("length(text) > 0").join(marks.hint("merge"), "doc_id", "left").select("text", F.coalesce("is_trusted", F.lit(False)).alias("is_trusted"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((2, buckets), np.int64)
