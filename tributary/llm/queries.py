@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tributary.llm import common, quality_rules
+from tributary.llm import bpe, common, quality_rules, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,9 +22,37 @@ def query(function: Query) -> Query:
     return function
 
 
+def tokenizer(name: str) -> str:
+    """File of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query
 def op2_quality_rules(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents")
     trusted = common.read(spark, sf_dir, "labels").where("quality = 1")
     scores = quality_rules.score(docs, quality_rules.fit(docs, trusted))
     return quality_rules.verdicts(scores)
+
+
+@query
+def op4_token_counts(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents")
+    counts = token_counts.histogram(token_counts.lengths(docs, tokenizer("byte_bpe_50k.json")))
+    return token_counts.by_limit(token_counts.suffix_sums(common.Staged(counts, "lengths").df))
+
+
+@query
+def op6_token_files(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents")
+    files = token_files.write(docs, tokenizer("word_bpe_49k.json"), 2, token_files.new_folder(spark))
+    return token_files.with_crc32(token_files.read(files))
+
+
+@query
+def op8_bpe(spark, sf_dir):
+    path = tokenizer("byte_bpe_50k.json")
+    encoded = bpe.encode(common.read(spark, sf_dir, "documents"), path)
+    return bpe.digests(bpe.decode(encoded, path))
