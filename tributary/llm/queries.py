@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, common, quality_rules, token_counts, token_files
+from tributary.llm import bpe, common, decontaminate, quality_rules, token_counts, token_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_decontaminate(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.report(decontaminate.matches(docs, common.read(spark, sf_dir, "benchmark"), keep_text=False))
+
+
 @query
 def op2_quality_rules(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents")
