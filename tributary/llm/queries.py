@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tributary.llm import bpe, common, decontaminate, quality_rules, token_counts, token_files
+from tributary.llm import bpe, common, decontaminate, quality_rules, token_counts, token_files, warc
+from tributary.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,6 +44,12 @@ def op2_quality_rules(spark, sf_dir):
     return quality_rules.verdicts(scores)
 
 
+@query
+def op3_warc(spark, sf_dir):
+    files = warc.write(common.read(spark, sf_dir, "pages"), staging_path(spark, "warc"))
+    return warc.read(files, payloads=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op4_token_counts(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents")
