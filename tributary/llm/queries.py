@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tributary.llm import bpe, common, decontaminate, quality_rules, token_counts, token_files, warc
+from tributary.llm import bpe, classifier, common, decontaminate, quality_rules, token_counts, token_files, warc
 from tributary.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,3 +70,13 @@ def op8_bpe(spark, sf_dir):
     path = tokenizer("byte_bpe_50k.json")
     encoded = bpe.encode(common.read(spark, sf_dir, "documents"), path)
     return bpe.digests(bpe.decode(encoded, path))
+
+
+@query
+def op10_classifier(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents")
+    held_out = common.crc_of("doc_id") % 5 == 0
+    learnt = classifier.labelled(docs.where(~held_out), common.read(spark, sf_dir, "labels"), "quality")
+    scores = classifier.score(docs, classifier.fit(learnt))
+    predicted = (F.col("score") >= classifier.THRESHOLD).cast("int")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
