@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, classifier, common, decontaminate, quality_rules, token_counts, token_files, warc
+from tributary.llm import bpe, classifier, common, decontaminate, quality_rules, suffix_dedup, token_counts, token_files, warc
 from tributary.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -72,6 +72,12 @@ def op8_bpe(spark, sf_dir):
     return bpe.digests(bpe.decode(encoded, path))
 
 
+@query
+def op9_suffix_dedup(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.report(suffix_dedup.removed(docs))
+
+
 @query
 def op10_classifier(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents")
