@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, classifier, common, decontaminate, quality_rules, suffix_dedup, token_counts, token_files, warc
+from tributary.llm import bpe, classifier, common, decontaminate, jaccard, quality_rules, suffix_dedup, token_counts, token_files, warc
 from tributary.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +58,12 @@ def op4_token_counts(spark, sf_dir):
     return token_counts.by_limit(token_counts.suffix_sums(common.Staged(counts, "lengths").df))
 
 
+@query
+def op5_ngram_jaccard(spark, sf_dir):
+    docs = common.read(spark, sf_dir, "documents")
+    return jaccard.classes(docs).select("doc_id", "n_shingles", "component_id")
+
+
 @query
 def op6_token_files(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents")
