@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, classifier, common, decontaminate, jaccard, quality_rules, suffix_dedup, token_counts, token_files, warc
+from tributary.llm import bpe, classifier, common, decontaminate, jaccard, mixing_lm, quality_rules, suffix_dedup, token_counts, token_files, warc
 from tributary.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,6 +71,14 @@ def op6_token_files(spark, sf_dir):
     return token_files.with_crc32(token_files.read(files))
 
 
+@query
+def op7_context_mixing(spark, sf_dir):
+    held_out = common.crc_of("doc_id") % 7 == 2
+    scores = mixing_lm.score(common.read(spark, sf_dir, "documents"), ~held_out)
+    columns = ("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+    return scores.select(*columns)
+
+
 @query
 def op8_bpe(spark, sf_dir):
     path = tokenizer("byte_bpe_50k.json")
