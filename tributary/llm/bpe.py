@@ -217,11 +217,12 @@ def _blocks(ids: np.ndarray, table: np.ndarray, begins: np.ndarray, sizes: np.nd
         yield table[np.repeat(begins[some] - ends + n, n) + np.arange(ends[-1])].tobytes()
 
 
-def digests(decoded: DataFrame) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``doc_id, ids, text``."""
+def digests(decoded: DataFrame, *more: F.Column) -> DataFrame:
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of ``doc_id, ids, text``, and ``more`` of its columns."""
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        *more,
     )

@@ -246,8 +246,7 @@ def clean(matched: DataFrame, max_coverage: float = MAX_COVERAGE) -> DataFrame:
     """
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
     kept = matched.where(n_hit <= max_coverage * F.col("n_words"))
-    kind = kept.drop("n_words", "spans", "items").schema
-    names = kind.names
+    names = [n for n in kept.columns if n not in ("n_words", "spans", "items")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -255,12 +254,12 @@ def clean(matched: DataFrame, max_coverage: float = MAX_COVERAGE) -> DataFrame:
             columns = {n: b.column(n) for n in names}
             if any(spans):
                 columns["text"] = pa.array([_without(t, s) if s else t for t, s in zip(b.column("text").to_pylist(), spans, strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays([columns[n] for n in names], names=names)
+            yield pa.RecordBatch.from_arrays([*(columns[n] for n in names), b.column("spans")], names=[*names, "spans"])
 
-    out = kept.mapInArrow(cut, kind)
+    out = kept.mapInArrow(cut, kept.select(*names, "spans").schema)
     if "n_chars" in names:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(kind["n_chars"].dataType)).select(*names)
-    return out
+        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text")).otherwise(F.col("n_chars")).cast(kept.schema["n_chars"].dataType))
+    return out.select(*names)
 
 
 def _without(text: str, spans: list[dict]) -> str:

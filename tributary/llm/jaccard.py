@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.common import LOWER, Rolling, Staged, as_bytes, mix, parts, pieces, windows, word_spans
@@ -350,7 +350,7 @@ def _joined(found: DataFrame, ties: DataFrame, n: int) -> tuple[DataFrame, DataF
 
 
 def classes(docs: DataFrame) -> DataFrame:
-    """``doc_id, doc_key, n_shingles, component_id`` of every document."""
+    """``doc_id, doc_key, n_shingles, component, component_id`` of every document: a component's key, and its least id."""
     spark = docs.sparkSession
     texts = _texts(docs)
     all_nodes = Staged(nodes(texts), "nodes").df
@@ -369,4 +369,17 @@ def classes(docs: DataFrame) -> DataFrame:
     named = all_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = named.join(least, "label", "left")
-    return out.select("doc_id", "doc_key", F.col("n").alias("n_shingles"), F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+    return out.select("doc_id", "doc_key", F.col("n").alias("n_shingles"), F.col("label").alias("component"), F.when(F.col("label").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Rows of ``docs``, as they are: of each component the one of least id (null last), and all without shingles."""
+    found = Staged(classes(docs), "classes").df
+    best = found.where("component IS NOT NULL").groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "doc_key")).alias("one"))
+    stay = best.select("one.doc_id", "one.doc_key").withColumn("alone", F.lit(False)).unionByName(found.where("component IS NULL").select("doc_id", "doc_key").distinct().withColumn("alone", F.lit(True)))
+    own = docs.select(F.struct(*[F.col(f"`{n}`") for n in docs.columns]).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("doc_key"))
+    same = F.col("s.doc_id").eqNullSafe(F.col("o.doc_id")) & (F.col("s.doc_key") == F.col("o.doc_key"))
+    met = own.alias("o").join(stay.alias("s").hint("merge"), same).select("o.*", "alone")
+    number = F.row_number().over(Window.partitionBy("doc_id", "doc_key").orderBy("alone"))
+    once = met.withColumn("number", number).where("alone OR number = 1")
+    return once.select(*[F.col("row").getField(n).alias(n) for n in docs.columns])

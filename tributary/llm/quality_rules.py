@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tributary.llm.common import BLANKS, Rolling, as_bytes, batch, mix, pieces, rows_of, windows, word_spans
 
@@ -30,7 +31,7 @@ SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True  # fixed value: the symbol characters
 
 _SCORES = pa.schema(
-    [("doc_id", pa.int64()), ("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("n_grams", pa.int64()), ("score", pa.float64())]
+    [("n_words", pa.int64()), ("word_chars", pa.int64()), ("n_symbols", pa.int64()), ("n_dup_lines", pa.int64()), ("n_repeat_words", pa.int64()), ("n_grams", pa.int64()), ("score", pa.float64())]
 )
 _COUNTS = pa.schema([("bucket", pa.int32()), ("corpus", pa.int64()), ("trusted", pa.int64())])
 
@@ -107,12 +108,27 @@ def _dup_lines(data: np.ndarray, at: np.ndarray, rolling: Rolling, word_sums: np
 
 
 def score(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
-    """Per document ``doc_id``, the base counts, ``n_grams`` and ``score`` (0 without n-grams)."""
+    """``docs`` without their text and with the base counts, ``n_grams`` and ``score`` (0 without n-grams) of each row.
+
+    Columns of ``docs`` with these names are replaced.
+    """
+    return _scored(docs.drop(*_SCORES.names), ratio)
+
+
+def kept(docs: DataFrame, ratio: np.ndarray, **limits) -> DataFrame:
+    """Rows of ``docs``, as they are, that the rules keep. ``limits`` are those of ``verdicts``."""
+    names = docs.columns
+    hidden = docs.select(F.struct(*[F.col(f"`{n}`") for n in names]).alias("row"), F.col("text").alias("text"))
+    return verdicts(_scored(hidden, ratio), **limits).where("kept").select(*[F.col("row").getField(n).alias(n) for n in names])
+
+
+def _scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     buckets = len(ratio)
+    names = [n for n in docs.columns if n != "text"]
+    kinds = StructType([*docs.select(*names).schema.fields, *StructType.fromDDL("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, score double").fields])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids = b.column("doc_id")
             for row, end, data, at in pieces(*as_bytes(b.column("text"))):
                 rolling = Rolling(data)
                 _, _, first, words, both, pair_first = _grams(data, at, rolling, buckets)
@@ -122,17 +138,16 @@ def score(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
                 symbol_sums = np.concatenate(([0], np.cumsum(SYMBOLS[data])))
                 total = np.zeros(end - row)
                 for grams, begins in zip(both, (first, pair_first), strict=True):
-                    sums = np.bincount(rows_of(begins), weights=ratio[grams], minlength=end - row)
-                    total += sums
+                    total += np.bincount(rows_of(begins), weights=ratio[grams], minlength=end - row)
                 n_words = np.diff(first)
                 n = n_words + np.diff(pair_first)
-                yield batch(
-                    _SCORES, ids.slice(row, end - row), n_words, np.diff(char_sums[at]), np.diff(symbol_sums[at]),
+                found = batch(
+                    _SCORES, n_words, np.diff(char_sums[at]), np.diff(symbol_sums[at]),
                     _dup_lines(data, at, rolling, word_sums), _repeat_words(words, first), n, total / np.maximum(n, 1),
                 )
+                yield pa.RecordBatch.from_arrays([*(b.column(c).slice(row, end - row) for c in names), *found.columns], names=[*names, *_SCORES.names])
 
-    kinds = "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, score double"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(scored, kinds)
+    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(scored, kinds)
 
 
 def verdicts(scores: DataFrame, min_score: float = MIN_SCORE, min_words: int = MIN_WORDS, max_repeat_percent: int = MAX_REPEAT_PERCENT) -> DataFrame:

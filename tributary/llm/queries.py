@@ -41,7 +41,7 @@ def op1_decontaminate(spark, sf_dir):
 def op2_quality_rules(spark, sf_dir):
     docs = common.read(spark, sf_dir, "documents")
     trusted = common.read(spark, sf_dir, "labels").where("quality = 1")
-    scores = quality_rules.score(docs, quality_rules.fit(docs, trusted))
+    scores = quality_rules.score(docs.select("doc_id", "text"), quality_rules.fit(docs, trusted))
     return quality_rules.verdicts(scores)
 
 

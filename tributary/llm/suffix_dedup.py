@@ -284,8 +284,11 @@ def starts(docs: DataFrame) -> DataFrame:
     return Staged(settled.unionByName(compared), "starts").df
 
 
-def removed(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``doc_key, n_bytes``, ``removed`` (spans of bytes, end excluded) and ``kept`` (the other bytes)."""
+def removed(docs: DataFrame, whole_characters: bool = False) -> DataFrame:
+    """``docs`` with ``doc_key, n_bytes``, ``removed`` (spans of bytes, end excluded) and ``kept`` (the other bytes).
+
+    With ``whole_characters``, a character that a span covers in part is kept whole.
+    """
     found = starts(docs).groupBy("doc_id", "doc_key").agg(F.collect_list(F.struct("first", "last")).alias("ranges"))
     own = keyed(docs).drop("n_bytes", "removed", "kept", "ranges")
     same = F.col("f.doc_id").eqNullSafe(F.col("d.doc_id").cast("long")) & (F.col("f.doc_key") == F.col("d.doc_key"))
@@ -303,12 +306,27 @@ def removed(docs: DataFrame) -> DataFrame:
                 text = data[at[k] : at[k + 1]]
                 own_spans = joined_spans([(r["first"], r["last"] + LENGTH) for r in ranges or ()])
                 spans.append([{"start": a, "end": z} for a, z in own_spans])
-                kept.append(without(text, own_spans))
+                kept.append(without(text, own_spans, whole_characters))
             yield pa.RecordBatch.from_arrays([*(b.column(n) for n in names), pa.array(np.diff(at)), pa.array(spans, span), pa.array(kept, pa.binary())], names=[*names, "n_bytes", "removed", "kept"])
 
     return joined.mapInArrow(cut, kinds)
 
 
+def clean(docs: DataFrame) -> DataFrame:
+    """``docs`` with repeated passages cut from their texts; documents of which nothing but blanks is left go.
+
+    Null and blank texts stay as they were. A column ``n_chars`` follows a text that changed.
+    """
+    names = docs.columns
+    found = removed(docs, whole_characters=True)
+    cut = F.size("removed") > 0
+    left = F.col("kept").cast("string")
+    texts = found.where(~cut | (F.length(F.trim(F.regexp_replace(left, "[\\x09-\\x0D]", " "))) > 0)).withColumn("text", F.when(cut, left).otherwise(F.col("text")))
+    if "n_chars" in names:
+        texts = texts.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return texts.select(*names)
+
+
 def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     out: list[tuple[int, int]] = []
     for a, z in sorted(spans):
