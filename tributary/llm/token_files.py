@@ -149,7 +149,7 @@ def read(files: DataFrame, columns: tuple[str, ...] = ("doc_id", "start", "n_tok
     if first_id is not None:
         files = files.where(F.col("last_id") >= first_id)
     if last_id is not None:
-        files = files.where(F.col("first_id") <= last_id)
+        files = files.where(F.col("first_id").isNull() | (F.col("first_id") <= last_id))  # null ids come first
     kinds = {"doc_id": "long", "start": "long", "n_tokens": "int", "ids": "array<int>"}
     filters = [(op, bound) for op, bound in ((">=", first_id), ("<=", last_id)) if bound is not None]
 
