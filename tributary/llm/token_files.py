@@ -18,6 +18,7 @@ from __future__ import annotations
 import os
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -30,19 +31,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tributary.llm.bpe import byte_alphabet
 from tributary.llm.common import Staged, batch
 from tributary.session import staging_path
 
 KEPT_PIECES = 1 << 19
+KEPT_STEMS = 1 << 18
 FILE_TOKENS = 1 << 26
 GROUP_TOKENS = 1 << 21
 ROWS = 1024
+_ALPHABET = byte_alphabet()
 FILES = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 ROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
 
 class Pieces:
-    """Ids of the pieces between spaces, as the library gives them."""
+    """Ids of the pieces between spaces and line ends, as the library gives them.
+
+    A word with a full stop or comma behind it is asked for without it, and ASCII in lower case, as the library's
+    normaliser and pattern would have it, so that fewer pieces are new.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -52,15 +60,39 @@ class Pieces:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kept: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.tails = {"": b"", **self._asked([".", ","])}
+
+    def _asked(self, stems: list[str]) -> dict[str, bytes]:
+        """Ids of stems. A word of Latin letters is its normal form in lower case and isn't cut, so the model gets it at once."""
+        tokenize, found, others = self.tokenizer.model.tokenize, {}, []
+        for stem in stems:
+            if stem.isalpha() and max(stem) < "\u0100":
+                word = stem.lower()
+                found[stem] = array("i", [t.id for t in tokenize(word if word.isascii() else "".join([_ALPHABET[c] for c in word.encode()]))]).tobytes()
+            else:
+                others.append(stem)
+        for stem, answer in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            found[stem] = array("i", answer.ids).tobytes()
+        return found
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.split(" ") for t in texts]
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self.kept) > KEPT_PIECES:
             self.kept = {}
-        new = list(set(chain.from_iterable(cut)).difference(self.kept))
-        for piece, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.kept[piece] = np.array(found.ids, "<i4").tobytes()
-        kept = self.kept
+        if len(self.stems) > KEPT_STEMS:
+            self.old, self.stems = self.stems, {}
+        parts = []
+        for piece in set(chain.from_iterable(cut)).difference(self.kept):
+            stem, tail = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") and piece[:-1].isalpha() else (piece, "")
+            parts.append((piece, stem.lower() if stem.isascii() and stem.isalpha() else stem, tail))
+        stems, old = self.stems, self.old
+        new = {s for _, s, _ in parts}.difference(stems)
+        stems.update((s, old[s]) for s in new & old.keys())
+        stems.update(self._asked(list(new - old.keys())))
+        kept, tails = self.kept, self.tails
+        kept.update((piece, stems[stem] + tails[tail]) for piece, stem, tail in parts)
         return [b"".join([kept[p] for p in pieces]) for pieces in cut]
 
 
@@ -173,7 +205,7 @@ def read(files: DataFrame, columns: tuple[str, ...] = ("doc_id", "start", "n_tok
                                 table = table.set_column(at, "start", pa.array(table.column("start").to_numpy() + before))
                             yield from table.select(list(columns)).combine_chunks().to_batches()
 
-    dealt = files.select("path", "before").repartition(F.col("path"))
+    dealt = files.select("path", "before").repartition(max(1, files.count()), "path")
     return dealt.mapInArrow(opened, ", ".join(f"{c} {kinds[c]}" for c in columns))
 
 

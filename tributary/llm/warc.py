@@ -229,4 +229,4 @@ def read(files: DataFrame, payloads: bool = True) -> DataFrame:
                 yield pa.RecordBatch.from_pylist(rows, schema=RECORDS)
 
     kinds = "page_id long, record_type string, refers_to long, url string, payload_bytes long, payload_digest string, offset long, payload binary"
-    return files.select("path", "n_records").repartition(F.col("path")).mapInArrow(opened, kinds)
+    return files.select("path", "n_records").repartition(max(1, files.count()), "path").mapInArrow(opened, kinds)
