@@ -248,13 +248,6 @@ def test_stage_uses_the_shared_folder(spark):
     assert df.count() == 5
 
 
-def test_bounded_groups_cut_only_what_is_too_large(spark):
-    df = spark.range(9000).select(F.when(F.col("id") < 3000, F.lit(1)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
-    cut = landing.bounded_groups(df, ["k"], 500)
-    assert cut.count() == 9000
-    assert cut.groupBy("k", "chunk").count().agg(F.max("count")).first()[0] < 900
-    assert cut.where(F.col("k") != 1).agg(F.max("chunk")).first()[0] == 0
-
 
 def test_expire_versions_keeps_what_is_in_use(spark, tmp_path):
     path = str(tmp_path / "t")

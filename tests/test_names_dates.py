@@ -7,20 +7,20 @@ from tributary.functions import dates, names
 
 
 @pytest.mark.parametrize(
-    "name,safe", [("bad/name", "bad_name"), ("..", "table"), ("", "table"), (".a.", "a"), ("ü", "_"), ("a-b_c.d", "a-b_c.d")]
+    "name,safe", [("snow depth?", "snow_depth_"), ("....", "table"), ("", "table"), ("..x..y.", "x..y"), ("mü", "m_"), ("A-9_z.csv", "A-9_z.csv")]
 )
 def test_safe_segment(name, safe):
     assert names.safe_segment(name) == safe
 
 
 def test_child_names():
-    assert names.child_names("invoice", ["item", "bad/name"]) == {"item": "invoice_item", "bad/name": "invoice_bad_name"}
+    assert names.child_names("river", ["gauge", "low water"]) == {"gauge": "river_gauge", "low water": "river_low_water"}
     with pytest.raises(ExtractError, match="share the table name"):
-        names.child_names("t", ["a/b", "a_b"])
+        names.child_names("river", ["low water", "low?water"])
 
 
 def test_default_names():
-    assert names.default_table_name("record", record_type="weird/type") == "weird_type"
+    assert names.default_table_name("record", record_type="tide table") == "tide_table"
     assert names.default_table_name("sql") == "sql_result"
     assert names.default_table_name("saved_search") == "saved_search"
     assert names.default_table_name("saved_search", search_id="s1") == "s1"

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,8 +17,11 @@ from pyspark.sql import functions as F
 # A complete JSON string. Possessive quantifiers keep matching linear and free of recursion.
 _STRING = r'"(?:[^"\\]++|\\.)*+"'
 
-# How many brackets deep the *value* of a removed or masked key may nest.
-_VALUE_DEPTH = 24
+# How many brackets deep the *value* of a removed or masked key may nest. What nests deeper ends in an error.
+_VALUE_DEPTH = 100
+
+# A member that stands behind a whole text, so that text after its first value shows.
+_END = "end of the text"
 
 
 def _value_pattern() -> str:
@@ -36,16 +39,40 @@ def _escaped(key: str) -> str:
     return re.escape(json.dumps(key, ensure_ascii=False)[1:-1])
 
 
-def _key_token(keys: Iterable[str]) -> str:
+def _spelled(key: str) -> str:
+    """A key in any of its spellings: JSON lets every character be written as an escape."""
+
+    def unit(code: int) -> str:
+        return r"\\u" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in f"{code:04x}")
+
+    out = []
+    for c in key:
+        data = c.encode("utf-16-be")
+        escape = "".join(unit(int.from_bytes(data[k : k + 2], "big")) for k in range(0, len(data), 2))
+        out.append(f"(?:{_escaped(c)}|{escape}" + (r"|\\/" if c == "/" else "") + ")")
+    return "".join(out)
+
+
+def _key_token(keys: Iterable[str], spell: Callable[[str], str] = _escaped) -> str:
     """A member name and its colon.
 
     Inside a string every quote is escaped, so a quote without a backslash before it that is followed by
     the name, a quote and a colon can only be a member name.
     """
-    names = "|".join(_escaped(k) for k in keys)
+    names = "|".join(spell(k) for k in keys)
     return rf'(?<!\\)"(?:{names})"\s*+:\s*+'
 
 
+def _has_escapes(text: Column) -> Column:
+    return text.contains("\\u") | text.contains("\\/")
+
+
+def _unless_left(text: Column, wrong: str, what: str) -> Column:
+    """``text``, or an error where the pattern is still in it: a value that nests too deep is not passed over."""
+    message = F.lit(f"a member to be {what} has a value nested over {_VALUE_DEPTH} brackets deep")
+    return F.when(text.rlike("(?s)" + wrong), F.raise_error(message).cast("string")).otherwise(text)
+
+
 def drop_keys(text: Column | str, keys: Iterable[str] = ("links",)) -> Column:
     """Remove every member named in ``keys`` at any depth; all other text stays as it was."""
     keys = tuple(keys)
@@ -72,17 +99,41 @@ def drop_last_members(text: Column | str, keys: Iterable[str] = ("links",)) -> C
     """
     text = F.col(text) if isinstance(text, str) else text
     keys = tuple(keys)
-    member = _key_token(keys) + _VALUE
+
+    def dropped(spell: Callable[[str], str]) -> Column:
+        token = _key_token(keys, spell)
+        member = token + _VALUE
+        return _unless_left(F.regexp_replace(text, r"(?s),\s*+" + member + "|" + member + r"\s*+,?+", ""), token, "removed")
+
     left = F.lit(False)
     for key in keys:
         left = left | text.contains(f'"{json.dumps(key, ensure_ascii=False)[1:-1]}"')
-    return F.when(left, F.regexp_replace(text, r"(?s),\s*+" + member + "|" + member + r"\s*+,?+", "")).otherwise(text)
+    return F.when(_has_escapes(text), dropped(_spelled)).when(left, dropped(_escaped)).otherwise(text)
 
 
 def mask_keys(text: Column | str, keys: Iterable[str], replacement: str = "REDACTED") -> Column:
     """Replace the value of every member named in ``keys``, at any depth, by a fixed JSON string."""
     text = F.col(text) if isinstance(text, str) else text
-    return F.regexp_replace(text, "(?s)(" + _key_token(keys) + ")" + _VALUE, '$1"' + replacement + '"')
+    keys = tuple(keys)
+
+    def masked(spell: Callable[[str], str]) -> Column:
+        token = _key_token(keys, spell)
+        done = F.regexp_replace(text, "(?s)(" + token + ")" + _VALUE, '$1"' + replacement + '"')
+        return _unless_left(done, token + '(?!"' + re.escape(replacement) + '")', "masked")
+
+    return F.when(_has_escapes(text), masked(_spelled)).otherwise(masked(_escaped))
+
+
+def framed(text: Column | str) -> Column:
+    """A text as the first of two members, ``v`` and a mark of its end."""
+    return F.concat(F.lit('{"v":'), F.col(text) if isinstance(text, str) else text, F.lit(f',"{_END}":true}}'))
+
+
+def parse_whole(text: Column | str) -> Column:
+    """The text as VARIANT; NULL unless it is one JSON value with nothing but blanks around it."""
+    doc = F.try_parse_json(framed(text))
+    whole = (F.size(get(doc, "$", "map<string,variant>")) == 2) & get(doc, path_of(_END), "boolean")
+    return F.when(whole, get(doc, "$.v"))
 
 
 def path_of(*keys: str) -> str:

@@ -2,19 +2,18 @@
 
 from __future__ import annotations
 
-import string
+import re
 from collections.abc import Iterable
 
 from tributary.errors import ExtractError
 
-# The characters a table name is made of.
-SAFE_CHARACTERS = frozenset(string.ascii_letters + string.digits + "_.-")
+# Fixed value: the characters a table name is made of.
+SAFE_CHARACTERS = "A-Za-z0-9_.-"
 
 
 def safe_segment(name: str) -> str:
     """Turn any name into one usable as a path segment; never empty, never dots only."""
-    spelled = "".join(c if c in SAFE_CHARACTERS else "_" for c in name).strip(".")
-    return spelled if spelled else "table"
+    return re.sub(f"[^{SAFE_CHARACTERS}]", "_", name).strip(".") or "table"
 
 
 def child_name(table: str, sublist: str) -> str:

@@ -20,10 +20,7 @@ from tributary.spec import SPARK_TYPE
 # Fixed value: rows looked at when a bounded sample is asked for.
 SCHEMA_SAMPLE_SIZE = 1000
 
-# Positions of keys inside a row take the low bits of an order key.
-KEY_BITS = 12
-
-# More distinct keys than this are data, not columns.
+# More distinct keys than this are data, not columns; callers may set another bound.
 MAX_COLUMNS = 20_000
 
 _SCALARS = ("boolean", "integer", "numeric", "string")
@@ -59,11 +56,11 @@ def profile(documents: DataFrame, *, sample: int | None = None) -> DataFrame:
         documents = documents.where(F.col("ordinal") <= F.lit(head.agg(F.max("ordinal")).first()[0]))
     base = documents.select("ordinal", "doc", F.json_object_keys("raw").alias("keys"))
     exploded = base.lateralJoin(base.sparkSession.tvf.variant_explode_outer(F.col("doc").outer()).alias("member"))
-    position = F.least(F.array_position("keys", F.col("member.key")), F.lit((1 << KEY_BITS) - 1))
     described = exploded.select(
         F.col("member.key").alias("column"),
         (F.col("member.pos") == 0).alias("leads"),
-        (F.col("ordinal") * (1 << KEY_BITS) + position).alias("seen"),
+        F.col("ordinal").alias("seen"),
+        F.array_position("keys", F.col("member.key")).alias("position"),
         F.schema_of_variant("member.value").alias("kind"),
         F.col("member.value").alias("value"),
     )
@@ -73,6 +70,7 @@ def profile(documents: DataFrame, *, sample: int | None = None) -> DataFrame:
         "column",
         "leads",
         "seen",
+        "position",
         F.coalesce(F.when(container, is_sublist(F.col("value"))), F.lit(False)).alias("sublist"),
         kind_type(F.col("kind")).alias("type"),
     )
@@ -80,7 +78,9 @@ def profile(documents: DataFrame, *, sample: int | None = None) -> DataFrame:
     firsts = [F.min(F.when(kind == t, seen)).alias(f"first_{t}") for t in _SCALARS]
     return members.groupBy("column").agg(
         F.min(seen).alias("first_seen"),
+        F.min_by("position", seen).alias("first_position"),
         F.min(F.when(~sublist, seen)).alias("first_inline"),
+        F.min_by("position", F.when(~sublist, seen)).alias("inline_position"),
         F.min(F.when(sublist, seen)).alias("first_sublist"),
         *firsts,
         F.count_if(kind != "null").alias("n_values"),
@@ -92,21 +92,17 @@ def profile(documents: DataFrame, *, sample: int | None = None) -> DataFrame:
 
 @dataclass(frozen=True)
 class ColumnInfo:
-    """What the documents say about one key."""
+    """What the documents say about one key. Rows are ordinals, positions are those of the key inside the row."""
 
     name: str
-    first_seen: int
-    first_inline: int | None
+    first_seen: tuple[int, int]
+    first_inline: tuple[int, int] | None
     first_sublist: int | None
     firsts: tuple[tuple[str, int], ...]
     n_values: int
     n_sublists: int
     n_containers: int
 
-    @property
-    def first_row(self) -> int:
-        return self.first_seen >> KEY_BITS
-
     def type(self, mode: str = "widen", *, sublist_text: bool = False) -> str:
         """Base type. ``first``: that of the first scalar. ``widen``: one that holds every scalar.
 
@@ -151,11 +147,11 @@ class Profile:
         return {c.name: c.type(mode) for c in self.columns}
 
 
-def collect_profile(profiled: DataFrame) -> Profile:
-    """Bring a profile to the driver: one row per column, at most ``MAX_COLUMNS``."""
-    rows = profiled.limit(MAX_COLUMNS + 1).collect()
-    if len(rows) > MAX_COLUMNS:
-        raise ExtractError(f"more than {MAX_COLUMNS} distinct keys: the keys of these documents are data")
+def collect_profile(profiled: DataFrame, max_columns: int = MAX_COLUMNS) -> Profile:
+    """Bring a profile to the driver: one row per column. More than ``max_columns`` of them are an error."""
+    rows = profiled.limit(max_columns + 1).collect()
+    if len(rows) > max_columns:
+        raise ExtractError(f"more than {max_columns} distinct keys: the keys of these documents are data")
     infos = []
     for row in rows:
         if row["column"] is None:
@@ -163,7 +159,8 @@ def collect_profile(profiled: DataFrame) -> Profile:
         firsts = tuple((t, row[f"first_{t}"]) for t in _SCALARS if row[f"first_{t}"] is not None)
         infos.append(
             ColumnInfo(
-                row["column"], row["first_seen"], row["first_inline"], row["first_sublist"], firsts,
+                row["column"], (row["first_seen"], row["first_position"]),
+                None if row["first_inline"] is None else (row["first_inline"], row["inline_position"]), row["first_sublist"], firsts,
                 row["n_values"], row["n_sublists"], row["n_containers"],
             )
         )

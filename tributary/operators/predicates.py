@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date, datetime, timedelta
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -80,8 +81,9 @@ def condition(
     kind: str | None = None,
     as_of: date | None = None,
     fiscal_start_month: int = 1,
+    date_format: str | None = None,
 ) -> Column:
-    """The filter as a boolean column of ``df``."""
+    """The filter as a boolean column of ``df``. Dates kept as text need their ``date_format``; what doesn't fit it is NULL."""
     data_type = df.schema[field].dataType
     column = F.col(f"`{field}`")
     if kind is None:
@@ -104,6 +106,10 @@ def condition(
         return _select(column, data_type, name, value)
     if kind == "date":
         period = _period(value, value2, as_of or utc_now(), fiscal_start_month)
+        if isinstance(data_type, T.StringType):
+            if date_format is None:
+                raise ExtractError(f"field '{field}' holds text; date_format says how its dates are written")
+            column, data_type = F.try_to_date(column, date_format), T.DateType()
         return _date(column, data_type, name, period)
     if kind == "text_number":
         column, data_type = column.try_cast("decimal(38,10)"), T.DecimalType(38, 10)
@@ -135,9 +141,14 @@ def _text(column: Column, name: str, value: str) -> Column:
 
 def _number(column: Column, data_type: T.DataType, name: str, value: Any, value2: Any) -> Column:
     def literal(v: Any) -> Column:
-        # A fraction compared with a whole-number column must not be rounded.
-        whole = isinstance(data_type, T.IntegralType) and float(v) != int(v)
-        return F.lit(v) if whole else F.lit(v).cast(data_type)
+        # Of the column's own type where that holds the value exactly (so it reaches the scan), else a wider decimal.
+        if not isinstance(data_type, (T.IntegralType, T.DecimalType)):
+            return F.lit(v).cast(data_type)
+        exact = Decimal(str(v))
+        if not exact.is_finite():
+            return F.lit(float(v))
+        fits = _fits(exact, data_type)
+        return F.lit(exact).cast(data_type) if fits else F.lit(exact)
 
     negated = name.startswith("not")
     core = name[3:4].lower() + name[4:] if negated else name
@@ -157,6 +168,18 @@ def _number(column: Column, data_type: T.DataType, name: str, value: Any, value2
     return ~match if negated else match
 
 
+_WHOLE_BITS = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}
+
+
+def _fits(value: Decimal, data_type: T.DataType) -> bool:
+    """Whether the type holds the value exactly."""
+    if isinstance(data_type, T.DecimalType):
+        step = Decimal(1).scaleb(-data_type.scale)
+        return value % step == 0 and abs(value) < Decimal(10) ** (data_type.precision - data_type.scale)
+    most = 1 << _WHOLE_BITS[type(data_type)]
+    return value == value.to_integral_value() and -most <= value < most
+
+
 def _period(value: Any, value2: Any, as_of: date, fiscal_start_month: int) -> Period:
     def one(v: Any) -> Period:
         if isinstance(v, str):
@@ -191,9 +214,12 @@ def _date(column: Column, data_type: T.DataType, name: str, period: Period) -> C
 def _select(column: Column, data_type: T.DataType, name: str, value: Any) -> Column:
     values: Sequence[Any] = value if isinstance(value, (list, tuple, set)) else [value]
     values = list(values)
+    kind = data_type.elementType if isinstance(data_type, T.ArrayType) else data_type
+    if isinstance(kind, T.StringType):
+        values = [str(v).lower() for v in values]
+        column = F.transform(column, F.lower) if isinstance(data_type, T.ArrayType) else F.lower(column)
     if isinstance(data_type, T.ArrayType):
-        wanted = F.array(*[F.lit(v).cast(data_type.elementType) for v in values])
-        match = F.arrays_overlap(column, wanted)
+        match = F.arrays_overlap(column, F.array(*[F.lit(v).cast(kind) for v in values]))
     else:
         match = column.isin(values)
     return match if name == "anyOf" else ~match

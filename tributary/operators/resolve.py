@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 def latest_details(details: DataFrame) -> DataFrame:
     """One document per id, the most recently landed one.
 
-    An aggregate rather than a window: copies of one id are reduced before they are shuffled.
+    An aggregate rather than a window: copies of one id are reduced before they are shuffled. Of documents landed at
+    the same time, that of the greater file name counts; the text decides inside one file only.
     """
-    order = F.struct("landed_at", "raw")
+    order = F.struct(*[c for c in ("landed_at", "file", "raw") if c in details.columns])
     return details.where(F.col("id").isNotNull()).groupBy("id").agg(F.max_by("raw", order).alias("raw"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tributary.errors import ExtractError
 from tributary.functions.jsontext import drop_followed_members, drop_last_members, get, is_array, is_object, is_sublist, path_of
-from tributary.operators.infer import KEY_BITS, ColumnInfo, Profile, to_columns
+from tributary.operators.infer import ColumnInfo, Profile, to_columns
 from tributary.spec import SPARK_TYPE
 
 # Navigation keys, and the column that points from a line to its record.
@@ -23,6 +23,9 @@ PARENT_ID = "_parent_id"
 
 PREVIEW_CHARS = 2000
 
+# An array has fewer elements.
+MOST_LINES = 1 << 31
+
 
 def parsed(documents: DataFrame, strip: Sequence[str] = NAVIGATION_KEYS) -> DataFrame:
     """Documents without their navigation keys, at any depth, with ``doc`` parsed from what is left."""
@@ -48,7 +51,7 @@ def projected(profile: Profile, fields: Sequence[str] = (), primary_key: Sequenc
     if not fields:
         return sorted(columns, key=lambda c: (first(c), c.name))
     wanted = list(dict.fromkeys([*fields, *primary_key]))
-    return sorted((c for c in columns if c.name in wanted), key=lambda c: (first(c) >> KEY_BITS, wanted.index(c.name)))
+    return sorted((c for c in columns if c.name in wanted), key=lambda c: (first(c)[0], wanted.index(c.name)))
 
 
 def project(table: DataFrame, fields: Sequence[str] = (), primary_key: Sequence[str] = ()) -> DataFrame:
@@ -152,12 +155,13 @@ def sublist_items(documents: DataFrame, sublists: Sequence[str], keep: Sequence[
 def child_documents(items: DataFrame, position: int) -> DataFrame:
     """One row per line of the sublist at that position: ``ordinal, line_no, parent_id, raw, doc``.
 
-    ``ordinal`` orders lines over all records (record, then line), as the column union needs it.
+    ``ordinal`` orders lines over all records (record, then line), as the column union needs it. It is a decimal, wide
+    enough for any record's ordinal and any number of lines.
     """
     rows = items.select("ordinal", "parent_id", F.posexplode(f"items_{position}").alias("line_no", "raw"))
-    position = F.least("line_no", F.lit((1 << KEY_BITS) - 1))
+    record = F.col("ordinal").cast("decimal(20,0)") * F.lit(MOST_LINES).cast("decimal(10,0)")
     return rows.select(
-        (F.col("ordinal") * (1 << KEY_BITS) + position).alias("ordinal"), "line_no", "parent_id", "raw",
+        (record + F.col("line_no")).cast("decimal(38,0)").alias("ordinal"), "line_no", "parent_id", "raw",
         F.parse_json("raw").alias("doc"),
     )
 
@@ -181,9 +185,9 @@ def child_rows(lines: DataFrame, profile: Profile, types: str = "widen", keep: S
 # ---- preview ----------------------------------------------------------------------------------------
 
 
-def preview(table: DataFrame, rows: int = 1) -> DataFrame:
-    """The first characters of a few rows as JSON text."""
+def preview(table: DataFrame, rows: int = 1, order: Sequence[str] = ()) -> DataFrame:
+    """The first characters of a few rows as JSON text: any rows, or the first by ``order`` (columns left out of the text)."""
     if rows < 1:
         raise ExtractError("a preview shows at least one row")
-    sample = table.limit(rows)
+    sample = (table.orderBy(*order) if order else table).limit(rows).drop(*order)
     return sample.select(F.substring(F.to_json(F.struct("*")), 1, PREVIEW_CHARS).alias("sample"))

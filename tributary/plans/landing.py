@@ -6,7 +6,7 @@ that queries exercise the real scans. Each set is written once per session and f
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,6 @@ from tributary.session import staging_path
 PAGE = 1000  # rows per landed page
 EVENT_PAGE, EVENT_SET = 100, 5000  # rows per page and per page set of events
 CURSOR_PAGE = 100
-MAX_LINES = 1000  # lines one document carries
 
 HOST = "https://api.example.com"
 
@@ -51,18 +50,6 @@ def land(spark: SparkSession, sf_dir: str, name: str) -> str:
 # ---- helpers ----------------------------------------------------------------------------------------
 
 
-def bounded_groups(df: DataFrame, keys: Sequence[str], most: int) -> DataFrame:
-    """Add ``chunk`` so that no ``(keys, chunk)`` group is much larger than ``most`` rows.
-
-    Only over-full groups are cut, by a hash of the whole row; their size is kept in ``group_rows``. On even
-    data every chunk is 0 and the join is against an empty set.
-    """
-    full = df.groupBy(*keys).agg(F.count("*").alias("group_rows")).where(F.col("group_rows") > most)
-    columns = [F.col(c) for c in df.columns]
-    cut = F.pmod(F.xxhash64(*columns), F.ceil(F.col("group_rows") / most))
-    return df.join(full, list(keys), "left").withColumn("chunk", F.coalesce(cut, F.lit(0)).cast("bigint"))
-
-
 def link(rel: str, href: Column) -> Column:
     return F.struct(F.lit(rel).alias("rel"), href.alias("href"))
 
@@ -72,11 +59,10 @@ def self_links(kind: str, key: Column) -> Column:
 
 
 def page_groups(df: DataFrame, key: str, size: int, item: Column) -> DataFrame:
-    """``page_no, chunk, items``: rows grouped into pages by ranges of a dense integer key."""
+    """``page_no, items``: rows grouped into pages by ranges of a dense integer key."""
     rows = df.select(F.floor(F.col(key) / size).alias("page_no"), F.col(key).alias("_key"), item.alias("item"))
-    rows = bounded_groups(rows, ["page_no"], 2 * size)
     entries = F.array_sort(F.collect_list(F.struct("_key", "item")))
-    return rows.groupBy("page_no", "chunk").agg(F.transform(entries, lambda e: e["item"]).alias("items"))
+    return rows.groupBy("page_no").agg(F.transform(entries, lambda e: e["item"]).alias("items"))
 
 
 def enveloped(pages: DataFrame, total: int, last_page: int, size: int, url: str) -> Column:
@@ -110,20 +96,13 @@ def _extent(df: DataFrame, key: str) -> tuple[int, int]:
 
 @_lands("documents")
 def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per order with its lines as a sublist.
-
-    A document carries a bounded number of lines. An order with more gives several documents, each with one
-    page of the sublist: ``totalResults`` counts all lines, ``hasMore`` says there are others.
-    """
+    """One document per order with all its lines as a sublist."""
     orders = table(spark, sf_dir, "orders")
     line = F.struct(
         F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"), "l_partkey", "l_suppkey"
     )
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_partkey", "l_suppkey")
-    lines = bounded_groups(lines, ["l_orderkey"], MAX_LINES)
-    sublists = lines.groupBy("l_orderkey", "chunk").agg(
-        F.array_sort(F.collect_list(line)).alias("lines"), F.max("group_rows").alias("group_rows")
-    )
+    sublists = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
     joined = orders.join(sublists, orders.o_orderkey == sublists.l_orderkey, "left")
     none = F.array().cast(sublists.schema["lines"].dataType)
     items = F.transform(
@@ -145,8 +124,7 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.concat(F.lit("customer "), F.col("o_custkey")).alias("refName"),
                 ).alias("customer"),
                 F.struct(
-                    self_links("order", key).alias("links"), items.alias("items"), F.coalesce("group_rows", F.size(items)).alias("totalResults"),
-                    F.when(F.col("group_rows").isNotNull(), True).alias("hasMore"),
+                    self_links("order", key).alias("links"), items.alias("items"), F.size(items).alias("totalResults")
                 ).alias("item"),
             )
         ).alias("value")
@@ -209,8 +187,8 @@ def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id", F.floor(F.col("event_id") / EVENT_SET).alias("set_no"), (F.col("event_id") % EVENT_SET).alias("at")
     )
     totals = events.groupBy("set_no").agg(F.count("*").alias("total"), F.max("at").alias("top"))
-    rows = bounded_groups(events.withColumn("page_no", F.floor(F.col("at") / EVENT_PAGE)), ["set_no", "page_no"], 2 * EVENT_PAGE)
-    grouped = rows.groupBy("set_no", "page_no", "chunk").agg(
+    rows = events.withColumn("page_no", F.floor(F.col("at") / EVENT_PAGE))
+    grouped = rows.groupBy("set_no", "page_no").agg(
         F.transform(F.array_sort(F.collect_list("event_id")), lambda e: F.struct(e.alias("id"))).alias("items")
     )
     pages = grouped.join(totals, "set_no")

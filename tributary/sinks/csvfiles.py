@@ -20,6 +20,8 @@ log = logging.getLogger(__name__)
 def csv_columns(df: DataFrame, compat: bool = False) -> DataFrame:
     """Columns as CSV can hold them: containers as JSON text, everything else as it prints.
 
+    Doubles are written in plain digits from 1e-4 up to 1e16, beyond that as ``1e+16``.
+
     ``compat`` writes booleans as ``True`` and ``False``.
     """
 
@@ -29,11 +31,23 @@ def csv_columns(df: DataFrame, compat: bool = False) -> DataFrame:
             return F.to_json(value).alias(field.name)
         if compat and isinstance(field.dataType, T.BooleanType):
             return F.initcap(value.cast("string")).alias(field.name)
+        if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
+            return _plain_digits(value).alias(field.name)
         return value
 
     return df.select(*[column(f) for f in df.schema.fields])
 
 
+def _plain_digits(value: Column) -> Column:
+    text, size = value.cast("string"), F.abs(value.cast("double"))
+    plain = F.regexp_replace(text.try_cast("decimal(38,21)").cast("string"), r"(\.\d+?)0+$", "$1")
+    parts = F.split(text, "E")
+    power = F.get(parts, F.lit(1)).cast("int")
+    sign = F.when(power < 0, "e-").otherwise("e+")
+    short = F.concat(F.regexp_replace(F.get(parts, F.lit(0)), r"\.0$", ""), sign, F.lpad(F.abs(power).cast("string"), F.greatest(F.lit(2), F.length(F.abs(power).cast("string"))), F.lit("0")))
+    return F.when(~text.contains("E"), text).when((size >= 1e-4) & (size < 1e16), plain).otherwise(short)
+
+
 def manifest(df: DataFrame, spec: TableSpec) -> dict:
     """Manifest of a table: load mode, file format, and per column name, base type and key flag."""
     types = column_base_types(df, spec)

@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import ExtractError
-from tributary.functions.jsontext import all_objects, dotted_path, get, is_object
+from tributary.functions.jsontext import all_objects, dotted_path, framed, get, is_object, parse_whole
 
 # Pages without an offset: ordinal = page number * ROWS_PER_PAGE + position in page.
-ROWS_PER_PAGE = 1 << 20
+ROWS_PER_PAGE = 1 << 31  # an array has fewer elements
 
 # Members of a page envelope.
 ENVELOPE = T.StructType(
@@ -30,9 +30,9 @@ ENVELOPE = T.StructType(
         T.StructField("totalResults", T.LongType()),
         T.StructField("links", T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("rel", "href")]))),
         T.StructField("items", T.ArrayType(T.StringType())),
-        T.StructField("malformed", T.StringType()),
     ]
 )
+_FRAMED = T.StructType([T.StructField("v", ENVELOPE), T.StructField("end of the text", T.BooleanType()), T.StructField("malformed", T.StringType())])
 
 
 def read_landed(spark: SparkSession, path: str | list[str], layout: str = "lines") -> DataFrame:
@@ -55,11 +55,11 @@ def file_number(file: Column | str = "file") -> Column:
 
 
 def split_malformed(landed: DataFrame, surface: str, *, strict: bool = False, raw: str = "raw") -> tuple[DataFrame, DataFrame]:
-    """Parsed rows (with ``doc``) and the quarantine of rows that are not JSON.
+    """Parsed rows (with ``doc``) and the quarantine of rows that are not JSON, or more than one JSON value.
 
     With ``strict`` the first such row fails the job, naming the surface.
     """
-    doc = F.try_parse_json(F.col(raw))
+    doc = parse_whole(raw)
     if strict:
         message = F.lit(f"{surface} returned a response that is not JSON")
         return landed.withColumn("doc", F.coalesce(doc, F.raise_error(message).cast("variant"))), landed.where(F.lit(False))
@@ -76,9 +76,11 @@ def read_envelopes(spark: SparkSession, path: str | list[str], layout: str = "li
 
 
 def envelopes(landed: DataFrame, raw: str = "raw") -> DataFrame:
-    page = F.from_json(F.col(raw), ENVELOPE, {"columnNameOfCorruptRecord": "malformed"})
+    found = F.from_json(framed(raw), _FRAMED, {"columnNameOfCorruptRecord": "malformed"})
+    whole = F.col("found.malformed").isNull() & F.coalesce("found.`end of the text`", F.lit(False))
     others = [c for c in landed.columns if c != raw]
-    return landed.select(*others, F.col(raw).alias("raw"), page.alias("page")).select(
+    framed_pages = landed.select(*others, F.col(raw).alias("raw"), found.alias("found"))
+    return framed_pages.select(*others, "raw", F.col("found.v").alias("page"), F.when(~whole, F.col("raw")).alias("malformed")).select(
         *others,
         F.col("page.offset").alias("page_offset"),
         F.col("page.count").alias("page_count"),
@@ -86,20 +88,26 @@ def envelopes(landed: DataFrame, raw: str = "raw") -> DataFrame:
         F.col("page.totalResults").alias("total"),
         F.get(F.filter("page.links", lambda link: link["rel"] == "next"), F.lit(0))["href"].alias("next_href"),
         F.col("page.items").alias("items"),
-        F.col("page.malformed").alias("malformed"),
+        "malformed",
     )
 
 
 def explode_items(pages: DataFrame, *, strict: bool = True, surface: str = "page set") -> DataFrame:
     """Bronze rows of enveloped pages, in offset order.
 
-    A malformed page fails the job when ``strict``; otherwise it gives no rows (see ``malformed``).
+    A malformed page fails the job when ``strict``; otherwise it gives no rows (see ``malformed``). A page without an offset
+    stands where the number in its file's name says; without that, only a page that says it is the only one may do
+    without, for two such pages would have the same ordinals.
     """
     items = F.col("items")
     if strict:
         message = F.lit(f"{surface} returned a response that is not a JSON page")
         items = F.when(F.col("malformed").isNotNull(), F.raise_error(message).cast("array<string>")).otherwise(items)
-    rows = pages.select(F.coalesce("page_offset", F.lit(0)).alias("page_offset"), F.posexplode(items).alias("pos", "raw"))
+    number = file_number() * ROWS_PER_PAGE if "file" in pages.columns else F.lit(None).cast("bigint")
+    alone = F.when(~F.coalesce("has_more", F.lit(False)) & (F.coalesce("total", F.size("items")) <= F.size("items")), F.lit(0))
+    lost = F.raise_error(F.lit(f"{surface} has a page without an offset")).cast("bigint")
+    offset = F.coalesce("page_offset", number, alone, F.when(F.size("items") > 0, lost))
+    rows = pages.select(offset.alias("page_offset"), F.posexplode(items).alias("pos", "raw"))
     return _bronze(rows, F.col("page_offset"), F.col("page_offset") + F.col("pos"))
 
 
@@ -124,7 +132,8 @@ def read_details(spark: SparkSession, path: str | list[str], *, layout: str = "l
 def details(landed: DataFrame, raw: str = "raw") -> DataFrame:
     record_id = F.from_json(F.col(raw), "id string")["id"]
     order = F.col("landed_at") if "landed_at" in landed.columns else F.lit(None).cast("timestamp")
-    return landed.select(record_id.alias("id"), F.col(raw).alias("raw"), order.alias("landed_at"))
+    file = ["file"] if "file" in landed.columns else []
+    return landed.select(record_id.alias("id"), F.col(raw).alias("raw"), order.alias("landed_at"), *file)
 
 
 def rows_at_path(pages: DataFrame, record_path: str = "", *, page_no: str = "page_no", raw: str = "raw") -> DataFrame:
@@ -149,7 +158,7 @@ def rows_at_path(pages: DataFrame, record_path: str = "", *, page_no: str = "pag
     parsed = pages.select(
         F.col(page_no).cast("bigint").alias("page_no"),
         F.col(raw).alias(raw),
-        F.coalesce(F.try_parse_json(F.col(raw)), F.raise_error(surface).cast("variant")).alias("doc"),
+        F.coalesce(parse_whole(raw), F.raise_error(surface).cast("variant")).alias("doc"),
     )
     nodes = parsed.select("page_no", node.alias("node"), text.alias("text"))
     return _bronze(
