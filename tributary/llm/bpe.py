@@ -19,8 +19,10 @@ from __future__ import annotations
 import codecs
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import pairwise
 from pathlib import Path
 
 import numpy as np
@@ -81,20 +83,24 @@ class Bpe:
         self._parts = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self._young: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
+        self._parts_kept: dict[str, bytes] = {}
 
     def merge(self, data: bytes) -> list[int]:
         """Ids of a stretch that the pattern doesn't cut, held whole."""
-        ids = [self.of_byte[b] for b in data]
-        get = self.rank.get
-        ranks = [get(a << _ID_BITS | b, _NEVER) for a, b in zip(ids, ids[1:], strict=False)]
-        while ranks and (least := min(ranks)) < _NEVER:
+        of_byte, get, result = self.of_byte, self.rank.get, self.result
+        ids = [of_byte[b] for b in data]
+        ranks = [get(a << _ID_BITS | b, _NEVER) for a, b in pairwise(ids)]
+        while ranks:
+            least = min(ranks)
+            if least == _NEVER:
+                break
             i = ranks.index(least)
-            ids[i : i + 2] = [self.result[least]]
-            del ranks[i]
+            ids[i] = own = result[least]
+            del ids[i + 1], ranks[i]
             if i:
-                ranks[i - 1] = get(ids[i - 1] << _ID_BITS | ids[i], _NEVER)
+                ranks[i - 1] = get(ids[i - 1] << _ID_BITS | own, _NEVER)
             if i < len(ranks):
-                ranks[i] = get(ids[i] << _ID_BITS | ids[i + 1], _NEVER)
+                ranks[i] = get(own << _ID_BITS | ids[i + 1], _NEVER)
         return ids
 
     def stream(self, blocks: Iterator[bytes]) -> Iterator[int]:
@@ -115,12 +121,18 @@ class Bpe:
         yield from self.merge(waiting)
 
     def _ids(self, unit: str) -> bytes:
-        """Ids of text between two cuts, as little-endian 32-bit numbers."""
-        ids: list[int] = []
-        for part in SPLIT.findall(unit):
-            data = part.encode()
-            ids += self.merge(data) if len(data) <= 2 * self.lookahead + 256 else self.stream(iter((data,)))
-        return np.array(ids, "<i4").tobytes()
+        """Ids of text between two cuts, as 32-bit numbers."""
+        return b"".join([self._parts_kept.get(p) or self._part(p) for p in SPLIT.findall(unit)])
+
+    def _part(self, part: str) -> bytes:
+        """Ids of a stretch that the pattern doesn't cut, kept for when it comes again."""
+        data = part.encode()
+        found = array("i", self.merge(data) if len(data) <= 2 * self.lookahead + 256 else self.stream(iter((data,)))).tobytes()
+        if len(part) <= 64:
+            if len(self._parts_kept) >= KEPT_UNITS:
+                self._parts_kept = {}
+            self._parts_kept[part] = found
+        return found
 
     def _unit(self, key: str) -> bytes:
         """Ids of a unit, kept for when it comes again. A key that doesn't begin with white space stands after a space."""
@@ -132,9 +144,9 @@ class Bpe:
         return found
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text as little-endian 32-bit numbers. Strings of special tokens become their ids."""
+        """Ids of a text as 32-bit numbers. Strings of special tokens become their ids."""
         if any(s in text for s in self.special):
-            return b"".join(np.array([self.special[p]], "<i4").tobytes() if p in self.special else self.encode(p) for p in self._parts.split(text) if p)
+            return b"".join(array("i", [self.special[p]]).tobytes() if p in self.special else self.encode(p) for p in self._parts.split(text) if p)
         get, unit = self._young.get, self._unit
         if _ODD_SPACE.search(text):
             first, *rest = _UNITS.findall(text)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tributary.llm.bpe import load
 
-RANGE = 4096
+RANGE = 64
 
 
 def lengths(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
