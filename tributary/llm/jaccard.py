@@ -38,7 +38,8 @@ PERCENT = 75
 BLOCK = 4096
 TIE = 0.3
 SAMPLED = 8
-_SHARD_TOKENS = 1 << 21
+_SHARD_TOKENS = 1 << 20
+_ROWS = 2048
 _NODES = pa.schema([("doc_id", pa.int64()), ("doc_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64())])
 _SETS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
 _PACKED = pa.schema([("shard", pa.int32()), *[(n, pa.binary()) for n in ("shingle", "ref", "nodes", "labels", "sizes", "counts")]])
@@ -156,11 +157,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = np.concatenate(([True], token[1:] != token[:-1]))
         group, begin = np.cumsum(first) - 1, np.flatnonzero(first)
         shared = np.logical_or.reduceat((ref < 0) | (label[ref] != label[ref[begin]][group]), begin)[group] & (ref >= 0)
-        pairs = np.unique(np.stack((node[ref[shared]], token[shared].astype(np.int64))), axis=1) if shared.any() else np.zeros((2, 0), np.int64)
-        own, n = np.unique(pairs[0], return_counts=True)
-        where = np.argsort(node[:-1], kind="stable")
-        at = where[np.searchsorted(node[:-1], own, sorter=where)] if len(own) else np.zeros(0, np.int64)
-        out.append((own, size[at], n.astype(np.int64)))
+        own, at, dense = np.unique(node[:-1], return_index=True, return_inverse=True)
+        pairs = np.unique(dense[ref[shared]].astype(np.uint64) << np.uint64(32) | token[shared])
+        n = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(own))
+        out.append((own[n > 0], size[at[n > 0]], n[n > 0]))
     for node, size, n in out:
         if len(node):
             yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(size), pa.array(n)], schema=_COUNTED)
@@ -175,8 +175,9 @@ def _sharing(packed: DataFrame, n_shards: int) -> DataFrame:
 def _pack_texts(n_shards: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(node_of(s), len(s), s) for _, _, data, at in pieces(*as_bytes(b.column("text"))) for s in sets_of(data, at) if len(s)]
-            yield from _pack([(node, node, n, s) for node, n, s in found], n_shards)
+            for k in range(0, b.num_rows, _ROWS):
+                found = [(node_of(s), len(s), s) for _, _, data, at in pieces(*as_bytes(b.column("text").slice(k, _ROWS))) for s in sets_of(data, at) if len(s)]
+                yield from _pack([(node, node, n, s) for node, n, s in found], n_shards)
 
     return emit
 
@@ -184,8 +185,9 @@ def _pack_texts(n_shards: int):
 def _pack_sets(n_shards: int):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = zip(*(b.column(c).to_pylist() for c in ("node", "label", "n", "shingles")), strict=True)
-            yield from _pack([(node, label, n, np.frombuffer(s, np.uint64)) for node, label, n, s in rows], n_shards)
+            for k in range(0, b.num_rows, _ROWS):
+                rows = zip(*(b.column(c).slice(k, _ROWS).to_pylist() for c in ("node", "label", "n", "shingles")), strict=True)
+                yield from _pack([(node, label, n, np.frombuffer(s, np.uint64)) for node, label, n, s in rows], n_shards)
 
     return emit
 
