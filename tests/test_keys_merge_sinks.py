@@ -114,17 +114,54 @@ def test_full_load_replaces(spark, tmp_path):
         tables.read_table(spark, str(tmp_path / "none"))
 
 
-def test_upsert_touches_only_its_parts(spark, tmp_path):
+def test_upsert_writes_its_rows_only(spark, tmp_path):
     path = str(tmp_path / "t")
     base = spark.range(200).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v"))
     first = tables.write_full(base, path, SPEC, parts=16)
     second = tables.write_upsert(spark.createDataFrame([("7", 1, 0, 0), ("7", 2, 0, 1)], BATCH), path, SPEC)
-    changed = [p for p in first["parts"] if first["parts"][p] != second["parts"][p]]
-    assert len(changed) == 1 and len(first["parts"]) == 16
+    assert second["parts"] == first["parts"] and len(first["parts"]) == 16
+    assert [d["rows"] for d in second["deltas"]] == [1]
     got = dict(contents(spark, path))
     assert len(got) == 200 and got["7"] == 2 and got["8"] == 0
 
 
+def files(path):
+    return {os.path.join(d, f): os.path.getsize(os.path.join(d, f)) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_a_batch_of_a_thousand_keys_rewrites_no_file_of_a_default_load(spark, tmp_path):
+    base = spark.range(100_000).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v"))
+    tables.write_tables({"t": Table(base, SPEC)}, str(tmp_path))
+    before = files(tmp_path)
+    batch = spark.range(1000).select((F.col("id") * 97).cast("string").alias("id"), F.lit(1).alias("v"), F.lit(0).alias("page_no"), F.col("id").alias("ordinal"))
+    for _ in range(2):
+        tables.write_upsert(batch, str(tmp_path / "t"), SPEC)
+    after = files(tmp_path)
+    assert before.items() <= after.items()
+    assert sum(after.values()) - sum(before.values()) < 0.1 * sum(before.values())
+    read = tables.read_table(spark, str(tmp_path / "t"))
+    assert (read.count(), read.where("v = 1").count(), read.select("id").distinct().count()) == (100_000, 1000, 100_000)
+
+
+def test_deltas_are_merged_when_they_grow(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_full(spark.range(100).select(F.col("id").cast("string").alias("id"), F.lit(0).alias("v")), path, SPEC)
+    sizes = []
+    for load in range(4):
+        batch = spark.range(10).select((F.col("id") + 10 * load).cast("string").alias("id"), F.lit(load + 1).alias("v"), F.lit(0).alias("page_no"), F.col("id").alias("ordinal"))
+        sizes.append(len(tables.write_upsert(batch, path, SPEC)["deltas"]))
+    assert sizes == [1, 2, 0, 1]
+    assert tables.compact(spark, path)["deltas"] == [] and tables.compact(spark, path)["version"] == 6
+    got = {r.id: r.v for r in tables.read_table(spark, path).collect()}
+    assert got == {str(k): (k // 10 + 1 if k < 40 else 0) for k in range(100)}
+
+
+def test_null_keys_are_replaced_wherever_they_are(spark):
+    base = spark.createDataFrame([(None, k) for k in range(50)] + [("a", 1)], "id string, v int")
+    batch = spark.createDataFrame([(None, -1, 0, 0)], BATCH)
+    assert sorted(merge.upsert(base, batch, ["id"]).collect(), key=str) == sorted([(None, -1), ("a", 1)], key=str)
+
+
 def test_upsert_creates_then_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "t")
     batch = spark.createDataFrame([("a", 1, 0, 0), ("a", 2, 0, 1), ("b", 3, 0, 2)], BATCH)
@@ -255,8 +292,10 @@ def test_expire_versions_keeps_what_is_in_use(spark, tmp_path):
     tables.write_full(base, path, SPEC, parts=4)
     for v in (1, 2, 3):
         tables.write_upsert(spark.createDataFrame([("7", v, 0, 0)], BATCH), path, SPEC)
+    assert tables.expire_versions(spark, path, keep=1) == []  # the last version needs the base and all deltas
+    tables.compact(spark, path)
     dropped = tables.expire_versions(spark, path, keep=1)
-    assert len(dropped) == 3 and len(contents(spark, path)) == 50 and dict(contents(spark, path))["7"] == 3
+    assert len(dropped) == 4 + 3 and len(contents(spark, path)) == 50 and dict(contents(spark, path))["7"] == 3
     assert tables.expire_versions(spark, path, keep=1) == []
     with pytest.raises(ExtractError):
         tables.expire_versions(spark, path, keep=0)

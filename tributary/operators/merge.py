@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.operators.keys import require_key_columns
+from tributary.session import stage
 from tributary.spec import base_type
 
 BATCH_ORDER = ("page_no", "ordinal")
+NULL_SALTS = 64
 
 
 def latest_rows(batch: DataFrame, primary_key: Sequence[str], order: Sequence[str] = BATCH_ORDER) -> DataFrame:
@@ -56,16 +58,27 @@ def conform(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
 
 
 def without_keys(base: DataFrame, batch: DataFrame, primary_key: Sequence[str]) -> DataFrame:
-    """Rows of ``base`` whose key is not in ``batch``; NULL equals NULL. Only keys of the batch travel."""
-    keys = batch.select(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(primary_key)])
-    same = [base[f"`{k}`"].eqNullSafe(keys[f"_key_{i}"]) for i, k in enumerate(primary_key)]
-    return base.join(keys, reduce(lambda a, b: a & b, same), "left_anti")
+    """Rows of ``base`` whose key is not in ``batch``; NULL equals NULL. Only keys of the batch travel.
+
+    Base rows with a NULL in their key are spread over ``NULL_SALTS`` keys, each of which such a key of the batch meets.
+    """
+    any_null = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in primary_key])
+    salts = F.when(any_null, F.sequence(F.lit(0), F.lit(NULL_SALTS - 1))).otherwise(F.array(F.lit(0)))
+    keys = batch.select(*[F.col(f"`{k}`").alias(f"_key_{i}") for i, k in enumerate(primary_key)], F.explode(salts).alias("_salt"))
+    salt = F.when(any_null, F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c, t in base.dtypes if t != "variant"]), F.lit(NULL_SALTS)).cast("int")).otherwise(0)
+    salted = base.withColumn("_base_salt", salt)
+    same = [salted[f"`{k}`"].eqNullSafe(keys[f"_key_{i}"]) for i, k in enumerate(primary_key)]
+    same.append(salted["_base_salt"] == keys["_salt"])
+    return salted.join(keys, reduce(lambda a, b: a & b, same), "left_anti").drop("_base_salt")
 
 
 def upsert(base: DataFrame, batch: DataFrame, primary_key: Sequence[str], order: Sequence[str] = BATCH_ORDER) -> DataFrame:
-    """Rows of the batch replace rows with the same key, the other rows of ``base`` stay."""
+    """Rows of the batch replace rows with the same key, the other rows of ``base`` stay.
+
+    The batch is used twice, so it is reduced once and staged.
+    """
     require_key_columns(base.columns, primary_key)
-    latest = latest_rows(batch, primary_key, order)
+    latest = stage(latest_rows(batch, primary_key, order), "batch")
     types = common_types(base.schema, latest.schema)
     kept = without_keys(conform(base, types), latest, primary_key)
     return kept.unionByName(conform(latest, types))

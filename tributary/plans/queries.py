@@ -414,12 +414,14 @@ def upsert_pk(spark, d):
 
 @query(UPSERTED)
 def upsert_table(spark, d):
-    """The same through a written table: a full load, then an incremental one."""
+    """The same through a written table: a full load as it comes, then incremental ones."""
     base, batch = order_batch(spark, d)
-    path = staging_path(spark, "upsert-table")
-    tables.write_full(base, path, TableSpec("orders", ("o_orderkey",)), parts=8)
-    tables.write_upsert(batch, path, TableSpec("orders", ("o_orderkey",), True))
-    return tables.read_table(spark, path)
+    folder = staging_path(spark, "upsert-table")
+    tables.write_tables({"orders": Table(base, TableSpec("orders", ("o_orderkey",)))}, folder)
+    few, rest = F.col("o_orderkey") % 10 == 0, F.col("o_orderkey") % 10 != 0
+    for some in (batch.where(few), batch.where(rest)):
+        tables.write_tables({"orders": Table(some, TableSpec("orders", ("o_orderkey",), True))}, folder)
+    return tables.read_table(spark, f"{folder}/orders")
 
 
 @query("SELECT l_orderkey, l_linenumber, COUNT(*) AS n_rows FROM lineitem GROUP BY ALL HAVING COUNT(*) > 1")

@@ -1,9 +1,13 @@
 """Typed Parquet tables: full load, primary-key upsert, and loads of several tables.
 
 A load never touches files readers may be using. It writes a new version folder, then records the commit
-as one small file naming, per part, the folder that holds it. Rows are dealt to parts by the hash of
-the primary key, so an upsert reads and rewrites only the parts its batch has keys for; the commit
-carries the other parts over by name.
+as one small file naming the folders that hold the table. An upsert writes its own rows only, as a delta that
+readers merge over the base: its cost follows the batch, not the table. When the deltas hold more than a share of
+the base, or are many, the load that finds them so writes the merged table anew; so on the whole every
+row is rewritten a bounded number of times, however many loads there are.
+
+A commit is made by renaming its file into place if none is there. On stores without such a rename (most object
+stores), let one writer at a time load a table.
 """
 
 from __future__ import annotations
@@ -11,6 +15,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +24,16 @@ from pyspark.sql import types as T
 from tributary.errors import ExtractError
 from tributary.operators.keys import require_key_columns, require_key_for_incremental, require_table_name
 from tributary.operators.merge import BATCH_ORDER, common_types, conform, latest_rows, without_keys
-from tributary.session import stage, staging_scope
+from tributary.session import staging_scope
 from tributary.sinks.files import delete, list_names, read_text, write_text
 from tributary.spec import SPARK_TYPE, Table, TableSpec
 
 PART = "_part"
 
+# Deltas are merged into the base when they have more rows than this share of it, or are more than so many.
+DELTA_SHARE = 0.25
+MOST_DELTAS = 32
+
 
 def _commit_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in list_names(spark, f"{path}/_commits") if n.endswith(".json") and not n.startswith("."))
@@ -46,10 +55,23 @@ def read_table(spark: SparkSession, path: str, parts: Sequence[int] | None = Non
 
 def _read_commit(spark: SparkSession, path: str, commit: dict, parts: Sequence[int] | None = None) -> DataFrame:
     schema = T.StructType.fromJson(commit["schema"])
+    types = {f.name: f.dataType for f in schema.fields}
+    own = T.StructType.fromJson(commit.get("base_schema", commit["schema"]))
     folders = [f for p, f in commit["parts"].items() if parts is None or int(p) in parts]
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{path}/{f}" for f in folders])
+    base = spark.read.schema(own).parquet(*[f"{path}/{f}" for f in folders]) if folders else spark.createDataFrame([], own)
+    base = conform(base, types)
+    if not commit.get("deltas"):
+        return base
+    key = commit["primary_key"]
+    rows = [
+        conform(spark.read.schema(T.StructType.fromJson(d["schema"])).parquet(f"{path}/{d['folder']}"), types).withColumn(PART, F.lit(k))
+        for k, d in enumerate(commit["deltas"])
+    ]
+    changed = rows[0] if len(rows) == 1 else reduce(DataFrame.unionByName, rows)
+    changed = changed.drop(PART) if len(rows) == 1 else latest_rows(changed, key, (PART,))
+    if parts is not None:
+        changed = changed.where(_part_column(key, commit["n_parts"]).isin(list(parts)))
+    return without_keys(base, changed, key).unionByName(changed)
 
 
 def _part_column(primary_key: Sequence[str], parts: int) -> Column:
@@ -74,7 +96,13 @@ def _commit(df: DataFrame, path: str, version: int, kept: Mapping[str, str], inf
     written = [n for n in list_names(spark, f"{path}/{folder}") if n.startswith(f"{PART}=")]
     parts = dict(kept) | {n.split("=", 1)[1]: f"{folder}/{n}" for n in written}
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name != PART])
-    commit = {"version": version, "schema": schema.jsonValue(), "parts": parts, **info}
+    n_rows = spark.read.parquet(*[f"{path}/{f}" for f in parts.values()]).count() if parts else 0
+    commit = {"version": version, "schema": schema.jsonValue(), "parts": parts, "base_rows": n_rows, "deltas": [], **info}
+    return _record(spark, path, commit)
+
+
+def _record(spark: SparkSession, path: str, commit: dict) -> dict:
+    version = commit["version"]
     if not write_text(spark, f"{path}/_commits/{version:08d}.json", json.dumps(commit)):
         raise ExtractError(f"another load committed version {version} of {path} first")
     return commit
@@ -95,8 +123,7 @@ def write_upsert(
 ) -> dict:
     """Upsert a batch by primary key; in-batch copies of a key are settled by ``order``, last wins.
 
-    A ``load_id`` that the latest commit already carries is not loaded again. ``parts`` counts for the first
-    load: the more parts, the less of a large table a small batch rewrites.
+    A ``load_id`` that the latest commit already carries is not loaded again. ``parts`` counts for the first load.
     """
     spark = batch.sparkSession
     require_key_for_incremental(True, spec.primary_key)
@@ -110,23 +137,39 @@ def write_upsert(
         return commit
     if list(spec.primary_key) != commit["primary_key"]:
         raise ExtractError(f"table '{spec.name}' is keyed by {commit['primary_key']}, not by {list(spec.primary_key)}")
-    n_parts = commit["n_parts"]
     base_schema = T.StructType.fromJson(commit["schema"])
     types = common_types(base_schema, latest.schema)
-    retyped = any(types[f.name] != f.dataType for f in base_schema.fields)
-    info = {"n_parts": n_parts, "primary_key": list(spec.primary_key), "load_id": load_id}
+    schema = T.StructType([T.StructField(n, t, True) for n, t in types.items()])
     with staging_scope(spark):
-        # The batch is used three times: to find its parts, to filter the base, and to be written.
-        staged = stage(conform(latest, types).withColumn(PART, _part_column(spec.primary_key, n_parts)), "batch")
-        if retyped:
-            touched = {int(p) for p in commit["parts"]}
-        else:
-            touched = {row[PART] for row in staged.select(PART).distinct().collect()}  # at most n_parts rows
-        base = conform(_read_commit(spark, path, commit, sorted(touched)), types)
-        base = base.withColumn(PART, _part_column(spec.primary_key, n_parts))
-        rows = without_keys(base, staged, spec.primary_key).unionByName(staged)
-        kept = {p: f for p, f in commit["parts"].items() if int(p) not in touched}
-        return _commit(rows, path, commit["version"] + 1, kept, info)
+        folder = f"v{commit['version'] + 1:08d}-{uuid.uuid4().hex[:8]}"
+        conform(latest, types).write.parquet(f"{path}/{folder}")
+        n_rows = spark.read.schema(schema).parquet(f"{path}/{folder}").count()
+        deltas = [*commit.get("deltas", []), {"folder": folder, "schema": schema.jsonValue(), "rows": n_rows}]
+        merged = commit | {
+            "version": commit["version"] + 1, "schema": schema.jsonValue(), "load_id": load_id, "deltas": deltas,
+            "base_schema": commit.get("base_schema", commit["schema"]),
+        }
+        if sum(d["rows"] for d in deltas) <= DELTA_SHARE * commit.get("base_rows", 0) and len(deltas) <= MOST_DELTAS:
+            return _record(spark, path, merged)
+        rows = _read_commit(spark, path, merged).withColumn(PART, _part_column(spec.primary_key, commit["n_parts"]))
+        done = _commit(rows, path, commit["version"] + 1, {}, {k: merged[k] for k in ("n_parts", "primary_key", "load_id")})
+        delete(spark, f"{path}/{folder}")
+        return done
+
+
+def compact(spark: SparkSession, path: str) -> dict:
+    """Merge the deltas of a table into its base now, so that readers need not."""
+    commit = current_commit(spark, path)
+    if commit is None:
+        raise ExtractError(f"no table at {path}")
+    if not commit.get("deltas"):
+        return commit
+    rows = _read_commit(spark, path, commit).withColumn(PART, _part_column(commit["primary_key"], commit["n_parts"]))
+    return _commit(rows, path, commit["version"] + 1, {}, {k: commit[k] for k in ("n_parts", "primary_key", "load_id")})
+
+
+def _folders(commit: dict) -> set[str]:
+    return {*commit["parts"].values(), *(d["folder"] for d in commit.get("deltas", []))}
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
@@ -137,11 +180,11 @@ def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     if keep < 1:
         raise ExtractError("at least the latest version is kept")
     names = _commit_names(spark, path)
-    used = {f for n in names[-keep:] for f in json.loads(read_text(spark, f"{path}/_commits/{n}"))["parts"].values()}
+    used = {f for n in names[-keep:] for f in _folders(json.loads(read_text(spark, f"{path}/_commits/{n}")))}
     dropped = []
     for name in names[:-keep]:
-        old = json.loads(read_text(spark, f"{path}/_commits/{name}"))["parts"].values()
-        for folder in set(old) - used - set(dropped):
+        old = _folders(json.loads(read_text(spark, f"{path}/_commits/{name}")))
+        for folder in old - used - set(dropped):
             delete(spark, f"{path}/{folder}")
             dropped.append(folder)
         delete(spark, f"{path}/_commits/{name}")
