@@ -128,3 +128,27 @@ def test_redact_xml_keeps_tags_and_spans_lines(spark):
 def test_redact_keys(spark):
     text = '{"nonce":{"a":[1]},"x":[{"token_id":null}],"y":"\\"nonce\\":1"}'
     assert json.loads(one(spark, text, redact.redact_keys("t"))) == {"nonce": "REDACTED", "x": [{"token_id": "REDACTED"}], "y": '"nonce":1'}
+
+
+def test_values_nest_deep_and_names_may_be_escaped(spark):
+    deep = "[" * 60 + '{"a":"]"}' + "]" * 60
+    secret = f'{{"token_secret":{deep},"x":{{"tok\\u0065n_id":{deep},"signature\\u0020":1}}}}'
+    assert one(spark, secret, redact.redact_keys("t")) == '{"token_secret":"REDACTED","x":{"tok\\u0065n_id":"REDACTED","signature\\u0020":1}}'
+    links = f'{{"\\u006Cinks":{deep},"a":[{{"b":1,"links":{deep}}}]}}'
+    assert one(spark, links, jsontext.drop_keys("t")) == '{"a":[{"b":1}]}'
+
+
+def test_what_nests_too_deep_is_an_error(spark):
+    deep = "[" * 200 + "]" * 200
+    with pytest.raises(Exception, match="nested over"):
+        one(spark, f'{{"nonce":{deep}}}', redact.redact_keys("t"))
+    with pytest.raises(Exception, match="nested over"):
+        one(spark, f'{{"links":{deep}}}', jsontext.drop_keys("t"))
+
+
+@pytest.mark.parametrize(
+    "text,whole",
+    [('{"a":1}', True), (" [1] \n", True), ("3", True), ("null", True), ('{"a":1}\n{"a":2}', False), ('{"a":1} <html>', False), ('{"a":1},{"b":2}', False), ('1,"x":2', False), ("", False), ('{"a":1', False)],
+)
+def test_only_whole_texts_parse(spark, text, whole):
+    assert one(spark, text, jsontext.parse_whole("t").isNotNull()) == whole

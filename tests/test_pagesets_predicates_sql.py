@@ -247,3 +247,28 @@ def test_extract_pages_and_search(spark, docs):
     assert table.df.first().links == "[]"
     with pytest.raises(ExtractError, match="missing"):
         extract.extract_pages(docs({"id": "1"}), table_name="t", primary_key=["x"])
+
+
+def test_numbers_are_compared_as_they_are(spark):
+    df = spark.sql("SELECT CAST(v AS DECIMAL(10, 2)) AS d, CAST(v AS INT) AS i FROM VALUES (10.01), (10.02), (-3.00) t(v)")
+
+    def found(field, op, *values):
+        return sorted(float(r[field]) for r in predicates.search_filter(df, field, op, *values).collect())
+
+    assert found("d", "equalTo", 10.014) == [] and found("d", "greaterThan", 10.016) == [10.02] and found("d", "equalTo", 10.01) == [10.01]
+    assert found("i", "lessThan", 3_000_000_000) == [-3, 10, 10] and found("i", "greaterThan", -1e12) == [-3, 10, 10] and found("i", "greaterThan", 9.5) == [10, 10]
+    assert found("d", "between", -1e20, 1e20) == [-3.0, 10.01, 10.02]
+
+
+def test_text_dates_need_their_format(spark):
+    df = spark.createDataFrame([("01/12/2024",), ("31/12/2023",), ("soon",), (None,)], "t string")
+    got = predicates.search_filter(df, "t", "onOrAfter", "2024-01-01", kind="date", date_format="dd/MM/yyyy").collect()
+    assert [r.t for r in got] == ["01/12/2024"]
+    with pytest.raises(ExtractError, match="date_format"):
+        predicates.search_filter(df, "t", "on", "2024-01-01", kind="date")
+
+
+def test_selections_compare_without_case(spark):
+    df = spark.createDataFrame([("a", ["X", "y"]), ("B", ["z"])], "t string, l array<string>")
+    assert [r.t for r in predicates.search_filter(df, "t", "anyOf", ["A"]).collect()] == ["a"]
+    assert [r.t for r in predicates.search_filter(df, "l", "noneOf", ["x", "Y"]).collect()] == ["B"]

@@ -193,3 +193,23 @@ def test_failed_page_without_rows_is_noticed(spark, xml):
     path = xml(2, "", ok="false")
     with pytest.raises(PySparkException, match="saved search failed"):
         search_xml.search_rows(search_xml.read_search_pages(spark, path)).collect()
+
+
+def test_pages_of_two_values_are_malformed(spark):
+    page = '{"offset":0,"items":[{"id":"1"}]}'
+    landed = spark.createDataFrame([(page,), (page + page,), (page + " oops",)], "raw string")
+    found = pages.envelopes(landed)
+    assert [r.malformed is None for r in found.collect()] == [True, False, False]
+    good, bad = pages.split_malformed(landed, "x")
+    assert (good.count(), bad.count()) == (1, 2)
+    with pytest.raises(Exception, match="not a JSON page"):
+        pages.explode_items(found).collect()
+
+
+def test_pages_without_an_offset_go_by_their_file(spark):
+    body = '{"items":[{"id":"%s"},{"id":"%s"}],"hasMore":true}'
+    rows = [(body % ("c", "d"), "/x/page-2.json"), (body % ("a", "b"), "/x/page-1.json")]
+    found = pages.explode_items(pages.envelopes(spark.createDataFrame(rows, "raw string, file string")))
+    assert [r.id for r in found.orderBy("ordinal").collect()] == ["a", "b", "c", "d"]
+    with pytest.raises(Exception, match="without an offset"):
+        pages.explode_items(pages.envelopes(spark.createDataFrame([(r[0],) for r in rows], "raw string"))).collect()

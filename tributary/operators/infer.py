@@ -205,6 +205,32 @@ def to_columns(documents: DataFrame, columns: Sequence[str], types: dict[str, st
     return documents.select(*keep, *[typed("doc", c, types.get(c, "string")) for c in columns])
 
 
+# Texts that say a value of another type, so that writing it gives the text again.
+_SAYS = {"boolean": "^(true|false)$", "integer": "^(0|-?[1-9][0-9]{0,17})$", "numeric": r"^-?(0|[1-9][0-9]{0,14})(\.[0-9]{1,15})?$"}
+
+
+def typed_texts(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Text columns with the type that all their values are written in; ids with leading zeros stay text.
+
+    One aggregation of counters over all rows, one row to the driver.
+    """
+    texts = [f.name for f in df.schema.fields if f.dataType.simpleString() == "string" and f.name not in keep]
+    if not texts:
+        return df
+    counts = [F.count(F.col(f"`{n}`")).alias(f"{i} n") for i, n in enumerate(texts)]
+    counts += [F.count_if(F.col(f"`{n}`").rlike(says)).alias(f"{i} {kind}") for i, n in enumerate(texts) for kind, says in _SAYS.items()]
+    seen = df.agg(*counts).first().asDict()
+
+    def column(name: str) -> Column:
+        if name not in texts:
+            return F.col(f"`{name}`")
+        i = texts.index(name)
+        kind = next((k for k in _SAYS if seen[f"{i} n"] and seen[f"{i} {k}"] == seen[f"{i} n"]), "string")
+        return F.col(f"`{name}`").cast(SPARK_TYPE[kind]).alias(name)
+
+    return df.select(*[column(n) for n in df.columns])
+
+
 def align(frames: Iterable[DataFrame]) -> DataFrame:
     """Stack frames with different columns; every row gets every column."""
     frames = iter(frames)

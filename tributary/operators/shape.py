@@ -166,15 +166,22 @@ def child_documents(items: DataFrame, position: int) -> DataFrame:
     )
 
 
-def child_rows(lines: DataFrame, profile: Profile, types: str = "widen", keep: Sequence[str] = ()) -> tuple[DataFrame, dict[str, str]]:
-    """``_parent_id`` and the columns of the lines. A line's own ``_parent_id`` wins over the record's."""
-    declared = {PARENT_ID: "string"} | {c.name: c.type(types) for c in profile.columns}
+def child_rows(
+    lines: DataFrame, profile: Profile, types: str = "widen", keep: Sequence[str] = (), parent_type: str = "string"
+) -> tuple[DataFrame, dict[str, str]]:
+    """``_parent_id`` and the columns of the lines. A line's own ``_parent_id`` wins over the record's.
+
+    ``parent_type`` is the base type of the records' ids; lines with ids of another type make the column text.
+    """
+    declared = {PARENT_ID: parent_type} | {c.name: c.type(types) for c in profile.columns}
     physical = declared if types == "widen" else dict.fromkeys(declared, "string")
     parent_id = F.col("parent_id")
     if PARENT_ID in profile:
         own = get("doc", path_of(PARENT_ID))
         parent_id = F.when(own.isNotNull(), get("doc", path_of(PARENT_ID), "string")).otherwise(parent_id)
-        declared[PARENT_ID] = "string"
+        declared[PARENT_ID] = parent_type if profile[PARENT_ID].type(types) == parent_type else "string"
+    if types == "widen":
+        parent_id = parent_id.cast(SPARK_TYPE[declared[PARENT_ID]])
     message = F.lit("a sublist holds a line that is not an object")
     checked = lines.withColumn("doc", F.when(is_object(F.col("doc")), F.col("doc")).otherwise(F.raise_error(message).cast("variant")))
     names = [c.name for c in profile.columns if c.name != PARENT_ID]

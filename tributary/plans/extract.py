@@ -7,7 +7,7 @@ DataFrames. What reaches the driver is one profile per table (a row per column).
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tributary.errors import ExtractError
 from tributary.functions.names import child_names, default_table_name
-from tributary.operators.infer import collect_profile, profile, to_columns
+from tributary.operators.infer import collect_profile, profile, to_columns, typed_texts
 from tributary.operators.keys import (
     child_primary_key,
     require_arguments,
@@ -99,7 +99,8 @@ def extract_records(
         if not line_profile.n_rows:
             continue
         key = child_primary_key(line_profile, sublist, incremental)
-        rows, child_types = child_rows(lines, line_profile, types, ["ordinal"] if keep_order else [])
+        parent_type = found["id"].type(types) if "id" in found else "string"
+        rows, child_types = child_rows(lines, line_profile, types, ["ordinal"] if keep_order else [], parent_type)
         tables[names[sublist]] = _table(rows, child_types, names[sublist], key, incremental)
     return tables
 
@@ -113,16 +114,22 @@ def extract_pages(
     types: str = "widen",
     sample: int | None = None,
     keep_order: bool = False,
+    columns: Mapping[str, str] | None = None,
 ) -> dict[str, Table]:
     """Bronze rows of a SQL result or a custom endpoint as one table; navigation keys stay.
 
+    Pages are read once: rows are staged before their columns are found. With ``columns`` (base type by name, in order)
+    nothing is looked for and nothing staged; keys that are not among them are left out.
     ``sample`` bounds the rows the columns are read from, for parity checks; it never drops rows.
     """
     _guard(table_name, primary_key, incremental)
-    found = collect_profile(profile(rows, sample=sample))
-    declared = found.types(types)
-    physical = declared if types == "widen" and sample is None else {}
-    df = to_columns(rows, found.names, physical, BATCH_COLUMNS if keep_order else ())
+    if columns is not None:
+        declared = physical = dict(columns)
+    else:
+        rows = stage(rows.drop("doc"), "pages").withColumn("doc", F.parse_json("raw"))
+        declared = collect_profile(profile(rows, sample=sample)).types(types)
+        physical = declared if types == "widen" and sample is None else {}
+    df = to_columns(rows, list(declared), physical, BATCH_COLUMNS if keep_order else ())
     return {table_name: _table(df, declared, table_name, primary_key, incremental)}
 
 
@@ -136,12 +143,26 @@ def extract_endpoint(
 
 
 def extract_search(
-    pages: DataFrame, *, search_id: str = "", table_name: str = "", primary_key: Sequence[str] = (), incremental: bool = False, keep_order: bool = False
+    pages: DataFrame,
+    *,
+    search_id: str,
+    search_record_type: str,
+    table_name: str = "",
+    primary_key: Sequence[str] = (),
+    incremental: bool = False,
+    keep_order: bool = False,
+    types: str = "widen",
 ) -> dict[str, Table]:
-    """Saved-search result pages as one table."""
+    """Saved-search result pages as one table.
+
+    Columns of whole numbers, numbers or truth values throughout become such; ``types="text"`` leaves all as text.
+    """
+    require_arguments("saved_search", saved_search_id=search_id, search_record_type=search_record_type)
     _guard(table_name, primary_key, incremental)
     name = table_name or default_table_name("saved_search", search_id=search_id)
     rows = search_rows(pages)
+    if types == "widen":
+        rows = typed_texts(stage(rows, "search"), BATCH_COLUMNS)
     df = rows if keep_order else rows.drop(*BATCH_COLUMNS)
     types = {f.name: base_type(f.dataType) for f in df.schema.fields if f.name not in BATCH_COLUMNS}
     return {name: _table(df, types, name, primary_key, incremental)}

@@ -90,6 +90,15 @@ def sql_order_limit(spark, d):
     return sqlmode.page_of(orders, [F.desc("o_totalprice"), "o_orderkey"], 100, 50)
 
 
+@query("""
+    SELECT o_orderkey, o_totalprice FROM orders
+    WHERE o_totalprice > 100000 OR (o_totalprice = 100000 AND o_orderkey > 500) ORDER BY o_totalprice, o_orderkey LIMIT 50
+""")
+def sql_page_after(spark, d):
+    orders = table(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return sqlmode.page_after(orders, ["o_totalprice", "o_orderkey"], [100000.0, 500], 50)
+
+
 @query("""
     SELECT l_returnflag, l_linestatus, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty,
            CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price, COUNT(*) AS n_lines
@@ -773,6 +782,14 @@ def search_xml_rows(spark, d):
     return search_xml.search_rows(found).select("internalId", "entityId", "companyName")
 
 
+@query('SELECT c_custkey AS "internalId", c_custkey AS "entityId", c_name AS "companyName" FROM customer')
+def search_xml_types(spark, d):
+    """The same with the types of the values."""
+    found = search_xml.read_search_pages(spark, land(spark, d, "search_xml"), layout="lines")
+    rows = extract.extract_search(found, search_id="s1", search_record_type="customer", primary_key=["internalId"])["s1"].df
+    return rows.select("internalId", "entityId", "companyName")
+
+
 @query("""
     SELECT 'S1' AS search_id, MAX(c_custkey) // 100 + 1 AS pages_expected, COUNT(DISTINCT c_custkey // 100) AS pages_seen,
            MAX(c_custkey) // 100 + 1 - COUNT(DISTINCT c_custkey // 100) AS pages_missing FROM customer

@@ -81,7 +81,23 @@ def validate_query(spark: SparkSession, query: str, args: Mapping[str, Any] | No
     _probe(spark, query, args).schema  # noqa: B018 - analysis is the check
 
 
+def page_after(df: DataFrame, order_by: Sequence[str], last: Sequence[object], limit: int) -> DataFrame:
+    """The page that follows the row with the values ``last`` of the order columns (which are not NULL).
+
+    However deep the page is, tasks sort and keep ``limit`` rows only.
+    """
+    if len(last) != len(order_by):
+        raise ExtractError("a page goes on after one value for each order column")
+    past = F.lit(False)
+    for k in range(len(order_by)):
+        step = F.col(order_by[k]) > F.lit(last[k])
+        for name, value in zip(order_by[:k], last[:k], strict=True):
+            step = step & (F.col(name) == F.lit(value))
+        past = past | step
+    return df.where(past).orderBy(*order_by).limit(limit)
+
+
 def page_of(df: DataFrame, order_by: Sequence[str | Column], limit: int, offset: int = 0) -> DataFrame:
-    """One page of a result. The order should be total, else pages may overlap."""
+    """One page of a result. The order should be total, else pages may overlap. Deep pages: see ``page_after``."""
     ordered = df.orderBy(*order_by)
     return (ordered.offset(offset) if offset else ordered).limit(limit)

@@ -42,11 +42,18 @@ def saved_searches(searches: DataFrame) -> DataFrame:
     )
 
 
+# A schema of more fields is not that of one record type.
+MOST_FIELDS = 20_000
+
+
 def suggest_columns(mode: str, *, type_schema: DataFrame | None = None, query_columns: list[str] | None = None) -> list[str]:
     """Key columns to offer: fields of the record type, or columns of the query; other modes know none."""
     if mode == "record" and type_schema is not None:
         # One schema document: as many rows as the type has fields.
-        return [row["value"] for row in record_fields(type_schema).orderBy("position").collect()]
+        fields = record_fields(type_schema).orderBy("position").limit(MOST_FIELDS + 1).collect()
+        if len(fields) > MOST_FIELDS:
+            raise ExtractError(f"more than {MOST_FIELDS} fields: this is not the schema of one record type")
+        return [row["value"] for row in fields]
     if mode == "sql":
         return list(query_columns or [])
     if mode in ("record", "saved_search", "endpoint"):
