@@ -17,7 +17,8 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         moved = met.where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
         moved = met.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-    return moved.where("a > b").distinct()
+    moved = moved.where("a > b")
+    return moved if large else moved.distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -42,9 +42,10 @@ _SHARD_TOKENS = 1 << 20
 _ROWS = 2048
 _NODES = pa.schema([("doc_id", pa.int64()), ("doc_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64())])
 _SETS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
-_PACKED = pa.schema([("shard", pa.int32()), *[(n, pa.binary()) for n in ("shingle", "ref", "nodes", "labels", "sizes", "counts")]])
-_PACKED_KIND = "shard int, shingle binary, ref binary, nodes binary, labels binary, sizes binary, counts binary"
-_COUNTED = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shared", pa.int64())])
+_PACKED = pa.schema([("shard", pa.int32()), *[(n, pa.binary()) for n in ("shingle", "runs", "nodes", "labels", "sizes", "counts")]])
+_PACKED_KIND = "shard int, shingle binary, runs binary, nodes binary, labels binary, sizes binary, counts binary"
+_COUNTS = pa.schema([("shard", pa.int32()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary())])
+_CHOSEN = pa.schema([("node", pa.int64()), ("n", pa.int64())])
 _NOBODY = np.uint32(0xFFFFFFFF)
 
 
@@ -115,14 +116,14 @@ def _pack(found: list[tuple[int, int, int, np.ndarray]], n_shards: int) -> Itera
     travels = ~counted | first
     tokens, ref = tokens[travels], np.where(counted, _NOBODY, ref)[travels]
     shard = ((tokens & np.uint64(0xFFFFFFFF)) % np.uint64(n_shards)).astype(np.int64)
-    order = np.argsort(shard, kind="stable")
+    order = np.lexsort((ref, shard))  # shingles of nobody come last
     cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
     rows: list[tuple] = []
     for a, z in zip(cuts, [*cuts[1:], len(order)], strict=True):
         part = order[a:z]
-        used, to = np.unique(ref[part], return_inverse=True)
+        used, runs = np.unique(ref[part], return_counts=True)
         real = used[used != _NOBODY]
-        rows.append((int(shard[part[0]]), (tokens[part] >> np.uint64(32)).astype(np.uint32).tobytes(), np.where(ref[part] == _NOBODY, _NOBODY, to.astype(np.uint32)).astype(np.uint32).tobytes(), node[real].tobytes(), label[real].tobytes(), size[real].tobytes(), b""))
+        rows.append((int(shard[part[0]]), (tokens[part] >> np.uint64(32)).astype(np.uint32).tobytes(), runs[: len(real)].astype(np.uint32).tobytes(), node[real].tobytes(), label[real].tobytes(), size[real].tobytes(), b""))
     some = np.flatnonzero(counts)
     to = (mix(node[some].view(np.uint64)) % np.uint64(n_shards)).astype(np.int64)
     for k in np.unique(to):
@@ -131,19 +132,53 @@ def _pack(found: list[tuple[int, int, int, np.ndarray]], n_shards: int) -> Itera
     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), _PACKED, strict=True)], schema=_PACKED)
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How many of a node's shingles here are those of another label, too."""
+def _count(n_shards: int):
+    """How many of each node's shingles in a shard are those of another label, too; packed by the node's own shard."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = _shared_counts(batches)
+        if not found:
+            return
+        node, size, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        to = (mix(node.view(np.uint64)) % np.uint64(n_shards)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
+        rows = []
+        for a, z in zip(cuts, [*cuts[1:], len(order)], strict=True):
+            part = order[a:z]
+            rows.append((int(to[part[0]]), node[part].tobytes(), size[part].tobytes(), n[part].astype(np.int64).tobytes()))
+        if rows:
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), _COUNTS, strict=True)], schema=_COUNTS)
+
+    return counted
+
+
+def _enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Nodes of which enough shingles are shared, from all shards' counts of them."""
+    found = [tuple(np.frombuffer(x, np.int64) for x in row) for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("nodes", "sizes", "counts")), strict=True)]
+    if not found:
+        return
+    node, size, n = (np.concatenate(x) for x in zip(*found, strict=True))
+    own, at, dense = np.unique(node, return_index=True, return_inverse=True)
+    shared = np.zeros(len(own), np.int64)
+    np.add.at(shared, dense, n)
+    keep = 100 * shared >= PERCENT * size[at]
+    yield pa.RecordBatch.from_arrays([pa.array(own[keep]), pa.array(size[at[keep]])], schema=_CHOSEN)
+
+
+def _shared_counts(batches: Iterator[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Nodes, their sizes and how many of their shingles are shared, as found in a shard."""
     tokens, refs, nodes_, labels, sizes, known = [], [], [], [], [], []
     base = 0
     for b in batches:
-        for shingle, ref, node, label, size, counts in zip(*(b.column(k).to_pylist() for k in range(1, 7)), strict=True):
+        for shingle, runs, node, label, size, counts in zip(*(b.column(k).to_pylist() for k in range(1, 7)), strict=True):
             node = np.frombuffer(node, np.int64)
             if counts:
                 known.append((node, np.frombuffer(size, np.int64), np.frombuffer(counts, np.int64)))
                 continue
-            ref = np.frombuffer(ref, np.uint32).astype(np.int64)
-            tokens.append(np.frombuffer(shingle, np.uint32))
-            refs.append(np.where(ref == int(_NOBODY), -1, ref + base))
+            runs, shingle = np.frombuffer(runs, np.uint32), np.frombuffer(shingle, np.uint32)
+            tokens.append(shingle)
+            refs.append(np.repeat(np.append(np.arange(base, base + len(node)), -1), np.append(runs, len(shingle) - runs.sum(dtype=np.int64)).astype(np.int64)))
             nodes_.append(node)
             labels.append(np.frombuffer(label, np.int64))
             sizes.append(np.frombuffer(size, np.int64))
@@ -161,15 +196,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs = np.unique(dense[ref[shared]].astype(np.uint64) << np.uint64(32) | token[shared])
         n = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(own))
         out.append((own[n > 0], size[at[n > 0]], n[n > 0]))
-    for node, size, n in out:
-        if len(node):
-            yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(size), pa.array(n)], schema=_COUNTED)
+    return out
 
 
 def _sharing(packed: DataFrame, n_shards: int) -> DataFrame:
     """``node, n`` of nodes that share enough of their shingles with other labels to have a partner there."""
-    counted = packed.repartition(n_shards, "shard").mapInArrow(_count, "node long, n long, shared long")
-    return counted.groupBy("node").agg(F.first("n").alias("n"), F.sum("shared").alias("shared")).where(100 * F.col("shared") >= PERCENT * F.col("n")).select("node", "n")
+    counted = packed.repartition(n_shards, "shard").mapInArrow(_count(n_shards), "shard int, nodes binary, sizes binary, counts binary")
+    return counted.repartition(n_shards, "shard").mapInArrow(_enough, "node long, n long")
 
 
 def _pack_texts(n_shards: int):
