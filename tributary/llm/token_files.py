@@ -35,11 +35,11 @@ from tributary.llm.bpe import byte_alphabet
 from tributary.llm.common import Staged, batch
 from tributary.session import staging_path
 
-KEPT_PIECES = 1 << 19
+KEPT_PIECES = 1 << 18
 KEPT_STEMS = 1 << 18
 FILE_TOKENS = 1 << 26
 GROUP_TOKENS = 1 << 21
-ROWS = 1024
+ROWS = 512
 _ALPHABET = byte_alphabet()
 FILES = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 ROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -79,12 +79,11 @@ class Pieces:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.kept) > KEPT_PIECES:
-            self.kept = {}
         if len(self.stems) > KEPT_STEMS:
             self.old, self.stems = self.stems, {}
         parts = []
-        for piece in set(chain.from_iterable(cut)).difference(self.kept):
+        own = set(chain.from_iterable(cut))
+        for piece in own.difference(self.kept):
             stem, tail = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") and piece[:-1].isalpha() else (piece, "")
             parts.append((piece, stem.lower() if stem.isascii() and stem.isalpha() else stem, tail))
         stems, old = self.stems, self.old
@@ -93,7 +92,10 @@ class Pieces:
         stems.update(self._asked(list(new - old.keys())))
         kept, tails = self.kept, self.tails
         kept.update((piece, stems[stem] + tails[tail]) for piece, stem, tail in parts)
-        return [b"".join([kept[p] for p in pieces]) for pieces in cut]
+        out = [b"".join([kept[p] for p in pieces]) for pieces in cut]
+        if len(kept) > KEPT_PIECES:  # frequent ones are among the last
+            self.kept = {p: kept[p] for p in own}
+        return out
 
 
 @lru_cache(maxsize=2)
