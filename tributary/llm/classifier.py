@@ -147,7 +147,7 @@ def fit(training: DataFrame, columns: int = COLUMNS, sample: int = SAMPLE, cost:
 
     chosen = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(int(total.sum()))) < sample)
     rows, labels = [], []
-    for b in chosen.mapInArrow(columns_of, "doc_id long, label int, found array<int>").orderBy("doc_id").toArrow().to_batches():
+    for b in chosen.mapInArrow(columns_of, "doc_id long, label int, found array<int>").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow().to_batches():
         first = b.column("found").offsets.to_numpy()
         found = b.column("found").values.to_numpy()
         rows += [found[a:z] for a, z in zip(first[:-1], first[1:], strict=True)]
