@@ -268,3 +268,19 @@ def test_codes_are_a_distribution():
     assert (10 ** mixing_lm.log10_codes(mixing_lm.Stream(tokens, np.array([0, n]), contexts), tables)).sum() == pytest.approx(1.0)
 
 
+
+
+def test_context_counts_are_those_of_the_whole_corpus():
+    """Every context's counts are exact however many contexts there are: 3 million would share 2^20 slots."""
+    rnd = np.random.default_rng(1)
+    n = 3_000_000
+    contexts = np.concatenate((np.arange(n, dtype=np.uint64), np.zeros(500, np.uint64)))
+    tokens = rnd.integers(0, 1 << 63, n + 500, dtype=np.uint64)
+    s = mixing_lm.Stream(tokens, np.array([0, n + 500]), np.stack([mixing_lm.mix(contexts)] * mixing_lm.CONTEXTS))
+    found = mixing_lm.asked(mixing_lm.keys_of(s)[2:3], np.ones(n + 500))
+    counts = mixing_lm.path_counts(found.keys, found.n)[found.place[0]]
+    assert (counts[1:n] == 1).all()
+    code = mixing_lm.codes(tokens[[0, *range(n, n + 500)]])
+    for depth in (0, 1, 5, mixing_lm.BITS):
+        node = code >> (mixing_lm.BITS - depth)
+        assert counts[[0, *range(n, n + 500)], depth].tolist() == [(node == x).sum() for x in node]
