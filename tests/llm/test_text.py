@@ -284,3 +284,19 @@ def test_context_counts_are_those_of_the_whole_corpus():
     for depth in (0, 1, 5, mixing_lm.BITS):
         node = code >> (mixing_lm.BITS - depth)
         assert counts[[0, *range(n, n + 500)], depth].tolist() == [(node == x).sum() for x in node]
+
+
+def test_unseen_words_cost_what_their_bytes_do(table):
+    """A long run without blanks is not the most fluent text of all, and letters that words have are cheaper than others."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefgh") for _ in range(rnd.randint(2, 9))) for _ in range(900)]
+    seen = [" ".join(rnd.choice(words) for _ in range(80)) for _ in range(60)]
+    run = "".join(rnd.choice("abcdefgh") for _ in range(3000))
+    odd = "".join(chr(rnd.randint(0x4E00, 0x9FFF)) for _ in range(1000))
+    found = {r.doc_id: r.bits_per_byte for r in mixing_lm.score(table(*seen, run, odd), F.col("doc_id") < 60).collect()}
+    assert 2.5 < found[60] < 4.5 and found[61] > 6
+    assert max(found[k] for k in range(60)) < found[60]
+
+
+def test_modelled_bits_follow_the_vocabulary():
+    assert [mixing_lm.levels_of(n) for n in (0, 200, 300, 60_000, 70_000, 1 << 24)] == [1, 1, 2, 2, 3, 4]
