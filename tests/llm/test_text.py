@@ -300,3 +300,40 @@ def test_unseen_words_cost_what_their_bytes_do(table):
 
 def test_modelled_bits_follow_the_vocabulary():
     assert [mixing_lm.levels_of(n) for n in (0, 200, 300, 60_000, 70_000, 1 << 24)] == [1, 1, 2, 2, 3, 4]
+
+
+def test_learnt_mixture_beats_each_context_on_text_not_learnt():
+    rnd = random.Random(11)
+    words = [f"w{k}" for k in range(200)]
+    after = {w: rnd.sample(words, 3) for w in words}
+
+    def text():
+        own = [rnd.choice(words)]
+        for _ in range(60):
+            own.append(rnd.choice(after[own[-1]]) if rnd.random() < 0.8 else rnd.choice(words))
+        return " ".join(own)
+
+    s = mixing_lm.stream(*common.as_bytes(pa.array([text() for _ in range(600)])))
+    code, keys = mixing_lm.codes(s.tokens), mixing_lm.keys_of(s)
+    learns = np.arange(len(code)) < s.first[500]
+    found = mixing_lm.asked(keys, learns)
+    counts = mixing_lm.path_counts(found.keys, found.n)
+
+    def given(counts):
+        logits, seen = mixing_lm.path_logits(found.keys, counts)
+        return logits[found.place], mixing_lm._gate(seen)[found.place[mixing_lm.GATED]]
+
+    logits, gate = given(np.maximum(counts - 1, 0))
+    learner = mixing_lm.Learner()
+    for k in range(0, s.first[500], mixing_lm.LEARN):
+        some = slice(k, min(k + mixing_lm.LEARN, s.first[500]))
+        learner.read(code[some], logits[:, some], gate[some])
+    logits, gate = given(counts)
+    plain = np.zeros((mixing_lm.BITS, 33))
+
+    def total(weights):
+        return mixing_lm.log10_bits(code[~learns], logits[:, ~learns], gate[~learns], weights, plain).sum()
+
+    singles = [total(np.eye(mixing_lm.CONTEXTS)[[k] * (mixing_lm.BITS * mixing_lm.GATES)]) for k in range(mixing_lm.CONTEXTS)]
+    start = total(np.full(learner.weights.shape, 0.4))
+    assert total(learner.weights) > max(*singles, start)
