@@ -35,7 +35,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages of test items; documents that are mostly test items go."""
     items = common.read(common.start(spark), sf_dir, "benchmark")
-    return decontaminate.clean(decontaminate.matches(docs, items))
+    return decontaminate.without_items(docs, items)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

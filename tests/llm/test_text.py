@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tests.llm.conftest import corpus
-from tributary.llm import bpe, classifier, common, decontaminate, mixing_lm, quality_rules, token_counts, token_files
+from tributary.llm import bpe, classifier, common, decontaminate, mixing_lm, quality_rules, suffix_dedup, token_counts, token_files
 
 BYTE, WORD = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("word_bpe_49k.json")
 
@@ -337,3 +337,16 @@ def test_learnt_mixture_beats_each_context_on_text_not_learnt():
     singles = [total(np.eye(mixing_lm.CONTEXTS)[[k] * (mixing_lm.BITS * mixing_lm.GATES)]) for k in range(mixing_lm.CONTEXTS)]
     start = total(np.full(learner.weights.shape, 0.4))
     assert total(learner.weights) > max(*singles, start)
+
+
+def test_columns_named_like_the_operators_come_back_as_they_were(table, spark):
+    more = ", n_words string, spans string, items string, ranges string, n_bytes string, removed string, kept string, doc_key string, row string"
+    passage = " ".join(f"p{k}" for k in range(90))
+    docs = table("one two three four five six seven eight nine ten and more " + "other words " * 6, "a begin " + passage, "b front " + passage, None, more=more, value="own")
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    for out, texts in ((suffix_dedup.clean(docs), {1: "a begin", 2: "b front"}), (decontaminate.without_items(docs, items), {0: "and more"})):
+        assert out.columns == docs.columns and [f.dataType for f in out.schema] == [f.dataType for f in docs.schema]
+        rows = {r.doc_id: r for r in out.collect()}
+        assert len(rows) == 4 and all(r[n] == "own" for r in rows.values() for n in docs.columns[5:])
+        for k, text in texts.items():
+            assert rows[k].text.strip().startswith(text) and passage not in rows[k].text and rows[k].n_chars == len(rows[k].text)

@@ -83,6 +83,17 @@ def crc_of(column: str) -> F.Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id, text, n_chars`` (if there is one) and the others as one struct ``row``, so that none clashes with what is added."""
+    beside = [n for n in ("doc_id", "text", "n_chars") if n in docs.columns]
+    return docs.select(*beside, F.struct(*(docs[f"`{n}`"].alias(n) for n in docs.columns if n not in ("text", "n_chars"))).alias("row"))
+
+
+def unpacked(texts: DataFrame, names: list[str]) -> DataFrame:
+    """The columns of ``names``, as they were before ``packed``."""
+    return texts.select(*(F.col(n) if n in ("text", "n_chars") else F.col("row").getField(n).alias(n) for n in names))
+
+
 # ---- texts as bytes ---------------------------------------------------------------------------------------
 
 

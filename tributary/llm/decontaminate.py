@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tributary.llm.common import word_spans
+from tributary.llm.common import packed, unpacked, word_spans
 
 WINDOW = 10
 MAX_COVERAGE = 0.5
@@ -262,6 +262,11 @@ def clean(matched: DataFrame, max_coverage: float = MAX_COVERAGE) -> DataFrame:
     return out.select(*names)
 
 
+def without_items(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """``docs``, with all their columns, cleaned of ``items``."""
+    return unpacked(clean(matches(packed(docs), items)), docs.columns)
+
+
 def _without(text: str, spans: list[dict]) -> str:
     data = np.frombuffer(text.encode(), np.uint8)
     starts, ends, _ = word_spans(_FOLDED[data], np.array([0, len(data)]), _SEPARATORS)

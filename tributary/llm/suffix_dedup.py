@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tributary.llm.common import Rolling, Staged, as_bytes, mix, parts, pieces
+from tributary.llm.common import Rolling, Staged, as_bytes, mix, packed, parts, pieces, unpacked
 
 LENGTH = 200
 ANCHOR = 64
@@ -317,14 +317,13 @@ def clean(docs: DataFrame) -> DataFrame:
 
     Null and blank texts stay as they were. A column ``n_chars`` follows a text that changed.
     """
-    names = docs.columns
-    found = removed(docs, whole_characters=True)
+    found = removed(packed(docs), whole_characters=True)
     cut = F.size("removed") > 0
     left = F.col("kept").cast("string")
     texts = found.where(~cut | (F.length(F.trim(F.regexp_replace(left, "[\\x09-\\x0D]", " "))) > 0)).withColumn("text", F.when(cut, left).otherwise(F.col("text")))
-    if "n_chars" in names:
+    if "n_chars" in docs.columns:
         texts = texts.withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return texts.select(*names)
+    return unpacked(texts, docs.columns)
 
 
 def joined_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
