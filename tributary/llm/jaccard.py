@@ -140,6 +140,8 @@ def _count(n_shards: int):
         if not found:
             return
         node, size, n = (np.concatenate(x) for x in zip(*found, strict=True))
+        if not len(node):  # nothing in this shard is shared
+            return
         to = (mix(node.view(np.uint64)) % np.uint64(n_shards)).astype(np.int64)
         order = np.argsort(to, kind="stable")
         cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
