@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, classifier, common, decontaminate, jaccard, mixing_lm, quality_rules, suffix_dedup, token_counts, token_files, warc
+from tributary.llm import bpe, classifier, common, decontaminate, jaccard, mixing_lm, quality_rules, sharding, suffix_dedup, token_counts, token_files, warc
 from tributary.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +100,41 @@ def op10_classifier(spark, sf_dir):
     scores = classifier.score(docs, classifier.fit(learnt))
     predicted = (F.col("score") >= classifier.THRESHOLD).cast("int")
     return scores.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op13_sharding(spark, sf_dir):
+    return sharding.assign(common.read(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_sharding"] = """
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+groups AS (SELECT t, sha256(t) AS k, count(*) AS n, count(*) * (strlen(t) + 8) AS b FROM docs GROUP BY t),
+ranked AS (SELECT *, row_number() OVER by_size - 1 AS i, sum(b) OVER () - sum(b) OVER by_size + b AS rest FROM groups WINDOW by_size AS (ORDER BY b DESC, k)),
+alone AS (SELECT coalesce(min(i) FILTER (WHERE i = 23 OR b * (24 - i) <= rest), count(*)) AS m FROM ranked),
+ends AS (SELECT k, n, sum(b) OVER (ORDER BY k) AS e FROM ranked, alone WHERE i >= m),
+rest AS (SELECT coalesce(list(e ORDER BY e), []) AS es, coalesce(max(e), 0) AS total, any_value(24 - m) AS shards FROM alone LEFT JOIN ends ON true),
+search AS (
+  SELECT 0::HUGEINT AS low, total::HUGEINT AS high FROM rest
+  UNION ALL
+  SELECT CASE WHEN fits THEN low ELSE middle END, CASE WHEN fits THEN middle ELSE high END FROM (
+    SELECT low, high, middle, list_reduce(range(shards::BIGINT), lambda p, x: coalesce(list_max(list_filter(es, lambda y: y <= p + middle)), p)::HUGEINT, 0::HUGEINT) = total AS fits
+    FROM (SELECT *, (low + high) // 2 AS middle FROM search WHERE high - low > 1), rest)),
+capacity AS (SELECT min(high) AS c FROM search),
+filled AS (
+  SELECT 0 AS j, 0::HUGEINT AS p
+  UNION ALL
+  SELECT j + 1, list_max(list_filter(es, lambda y: y <= p + c)) FROM filled, rest, capacity WHERE p < total),
+homes AS (
+  SELECT k, i AS shard FROM ranked, alone WHERE i < m
+  UNION ALL
+  SELECT k, m + (SELECT count(*) - 1 FROM filled WHERE p < e) FROM ends, alone),
+byte_table AS (
+  SELECT list(list_reduce(range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS crc FROM range(256) AS bytes(b)),
+crcs AS (
+  SELECT k, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(t)), '..'), lambda h: ('0x' || h)::BIGINT), lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) AS text_crc32
+  FROM groups, byte_table)
+SELECT doc_id, strlen(t) + 8 AS size, text_crc32, 'bytes' AS law, shard::INTEGER AS shard,
+  row_number() OVER (PARTITION BY shard ORDER BY k, doc_id NULLS FIRST) - 1 AS slot, NULL::INTEGER AS grown_shard
+FROM docs JOIN homes ON sha256(t) = k JOIN crcs USING (k)
+"""
