@@ -1,13 +1,16 @@
 """Vector codes, token alignment and shards against plain versions."""
 
 import hashlib
+import itertools
+import math
 import random
 import zlib
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import corpus
-from tributary.llm import sharding
+from tributary.llm import sharding, vector_codes
 
 
 def plain_shards(docs: list[tuple], n: int) -> dict:
@@ -68,3 +71,79 @@ def test_shards_of_odd_tables(spark, table):
     assert sorted((r.doc_id, r.size, r.slot) for r in few)[0][1] == 8 and len({r.shard for r in few if r.doc_id != 3}) == 1
     long = sharding.assign(table("x" * 3_000_000, *["y" * k for k in range(60)])).collect()
     assert [r.slot for r in long if r.doc_id == 0] == [0] and max(r.shard for r in long) == 23
+
+
+# ---- vector codes -------------------------------------------------------------------------------------------------
+
+
+def plain_codes(rows: list[tuple], parts: int, entries: int, rounds: int) -> tuple[dict, dict, str]:
+    whole = [(i, v, label) for i, v, label in rows if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    size = len(whole[0][1]) // parts
+    cut = [[tuple(math.floor(256 * x) for x in v[a : a + size]) for a in range(0, parts * size, size)] for _, v, _ in whole]
+    first = sorted(range(len(whole)), key=lambda k: (whole[k][0] is None, whole[k][0] or 0, whole[k][1]))[:entries]
+    books = [[cut[k][p] for k in first] for p in range(parts)]
+
+    def nearest(p, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, c, strict=True)), e) for e, c in enumerate(books[p]))
+
+    for _ in range(rounds):
+        for p in range(parts):
+            mine: dict[int, list] = {}
+            for x in cut:
+                mine.setdefault(nearest(p, x[p])[1], []).append(x[p])
+            books[p] = [tuple(sum(v) // len(mine[e]) for v in zip(*mine[e], strict=True)) if e in mine else c for e, c in enumerate(books[p])]
+    found, by_label = [], {}
+    for (i, _, label), x in zip(whole, cut, strict=True):
+        best = [nearest(p, x[p]) for p in range(parts)]
+        error = sum(d for d, _ in best)
+        by_label[label] = by_label.get(label, 0) + error
+        found.append((i, "".join(f"{e:02x}" for _, e in best), error, label))
+    digest = hashlib.sha256(",".join(str(v) for book in books for c in book for v in c).encode()).hexdigest()
+    return found, by_label, digest
+
+
+@pytest.mark.parametrize(("seed", "n", "length", "scale"), [(1, 300, 16, 1.0), (2, 90, 48, 0.3), (3, 40, 32, 90000.0), (4, 700, 16, 0.01)])
+def test_vector_codes(spark, monkeypatch, seed, n, length, scale):
+    monkeypatch.setattr(vector_codes, "BROADCAST_LABELS", seed)
+    rnd = random.Random(seed)
+    middles = [[rnd.gauss(0, scale) for _ in range(length)] for _ in range(9)]
+    rows = [(rnd.choice([k, k, k, 5, None]), [x + rnd.gauss(0, scale / 9) for x in rnd.choice(middles)], rnd.choice([1, 1, 1, None, 2, 3])) for k in range(n)]
+    rows += rows[:20] + [(3, None, 1), (4, [0.5] * (length - 1) + [None], 1), (5, [float("nan")] * length, 2), (6, [1.0] * (length - 1) + [float("-inf")], None)]
+    rnd.shuffle(rows)
+    table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id int, embedding array<double>, label int, code string").repartition(3)
+    codes = vector_codes.Codes(table)
+    wanted, by_label, digest = plain_codes(rows, 16, 64, 2)
+    found = vector_codes.report(codes).collect()
+    key = lambda r: tuple(map(str, r))
+    assert sorted(((r.vec_id, r.code, r.error, r.label_error, r.codebooks_sha256) for r in found), key=key) == sorted(((i, c, e, by_label[label], digest) for i, c, e, label in wanted), key=key)
+    one = codes.decoded(codes.encoded().where("vec_id = 5")).collect()[0]
+    assert len(one.vector) == length and all(float(256 * x).is_integer() for x in one.vector)
+
+
+def test_vector_codes_of_odd_tables(spark):
+    kind = "vec_id long, embedding array<float>, label string"
+    assert vector_codes.report(vector_codes.Codes(spark.createDataFrame([], kind))).count() == 0
+    assert vector_codes.report(vector_codes.Codes(spark.createDataFrame([(1, None, "a"), (2, [None] * 16, None)], kind))).count() == 0
+    with pytest.raises(ValueError, match="equal parts"):
+        vector_codes.Codes(spark.createDataFrame([(1, [1.0] * 15, "a")], kind))
+    with pytest.raises(ValueError, match="too large"):
+        vector_codes.Codes(spark.createDataFrame([(1, [1e30] * 16, "a")], kind))
+
+
+@pytest.mark.parametrize(("axes", "bits"), [(1, 4), (2, 4), (3, 3), (4, 2)])
+def test_curve_goes_step_by_step(axes, bits):
+    cells = np.array(list(itertools.product(range(1 << bits), repeat=axes)), np.int64)
+    places = vector_codes.curve_places(cells)
+    assert sorted(places.tolist()) == list(range(len(cells)))
+    assert (np.abs(np.diff(cells[np.argsort(places)], axis=0)).sum(axis=1) == 1).all()
+
+
+def test_shortlists_lose_nothing():
+    rnd = np.random.default_rng(3)
+    points = np.concatenate([rnd.normal(m, 9, (500, 4)) for m in rnd.integers(-400, 400, (20, 4))]).astype(np.int64)
+    entries = points[:: len(points) // 63]
+    part, sizes = vector_codes.Part(points), []
+    for blocks, entry, _ in part.assigned(entries, sizes):
+        wanted = ((part.blocks[blocks][:, :, None] - entries) ** 2).sum(axis=3).argmin(axis=2)
+        assert (wanted == entry.reshape(len(blocks), -1)).all()
+    assert np.mean(sizes) < 16

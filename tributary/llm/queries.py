@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, classifier, common, decontaminate, jaccard, mixing_lm, quality_rules, sharding, suffix_dedup, token_counts, token_files, warc
+from tributary.llm import bpe, classifier, common, decontaminate, jaccard, mixing_lm, quality_rules, sharding, suffix_dedup, token_counts, token_files, vector_codes, warc
 from tributary.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +102,35 @@ def op10_classifier(spark, sf_dir):
     return scores.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
 
 
+@query
+def op11_vector_codes(spark, sf_dir):
+    return vector_codes.report(vector_codes.Codes(common.read(spark, sf_dir, "embeddings")))
+
+
+ORACLES["op11_vector_codes"] = """
+WITH whole AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v, len(embedding) // 16 AS d, row_number() OVER (ORDER BY vec_id) - 1 AS k
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+points AS (SELECT vec_id, label, p, d, k, list_slice(v, p * d + 1, p * d + d) AS x FROM whole, range(16) AS parts(p)),
+book0 AS (SELECT p, k AS e, x AS c FROM points WHERE k < 64),
+""" + "".join(f"""
+near{n} AS (
+  SELECT vec_id, p, any_value(label) AS label, any_value(x) AS x, min({{'apart': apart, 'e': e}}) AS best FROM (
+    SELECT vec_id, label, p, x, e, list_sum(list_transform(range(1, d + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS apart FROM points JOIN book{n} USING (p))
+  GROUP BY vec_id, p),
+mean{n} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, best.e AS e, i, floor(sum(x[i]) / count(*))::BIGINT AS m FROM near{n}, LATERAL unnest(range(1, len(x) + 1)) AS places(i) GROUP BY ALL)
+  GROUP BY p, e),
+book{n + 1} AS (SELECT p, e, coalesce(mean{n}.c, book{n}.c) AS c FROM book{n} LEFT JOIN mean{n} USING (p, e)),
+""" for n in range(3)) + """
+codes AS (SELECT vec_id, any_value(label) AS label, string_agg(printf('%02x', best.e), '' ORDER BY p) AS code, sum(best.apart)::BIGINT AS error FROM near2 GROUP BY vec_id)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) FROM book2) AS codebooks_sha256
+FROM codes
+"""
+
+
 @query
 def op13_sharding(spark, sf_dir):
     return sharding.assign(common.read(spark, sf_dir, "documents"))
