@@ -7,10 +7,13 @@ import random
 import zlib
 
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
+from tokenizers import Tokenizer
 
 from tests.llm.conftest import corpus
-from tributary.llm import sharding, vector_codes
+from tributary.llm import alignment, sharding, vector_codes
 
 
 def plain_shards(docs: list[tuple], n: int) -> dict:
@@ -147,3 +150,87 @@ def test_shortlists_lose_nothing():
         wanted = ((part.blocks[blocks][:, :, None] - entries) ** 2).sum(axis=3).argmin(axis=2)
         assert (wanted == entry.reshape(len(blocks), -1)).all()
     assert np.mean(sizes) < 16
+
+
+# ---- alignment ------------------------------------------------------------------------------------------------------
+
+PATHS = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def plain_alignment(docs: list[tuple]) -> list[tuple]:
+    a_model, b_model = Tokenizer.from_file(PATHS[0]), sentencepiece.SentencePieceProcessor(model_file=PATHS[1])
+    a_model.encode_special_tokens = True
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    letters = {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(sorted(set(range(256)) - set(plain)))}
+    held, counts = [], {}
+    for doc_id, text in docs:
+        wanted = (" " + (text or "")).encode()
+        a = [(k, bytes(letters[c] for c in a_model.id_to_token(k))) for k in a_model.encode(" " + text, add_special_tokens=False).ids] if text else []
+        b = []
+        for k in b_model.encode(text) if text else []:
+            piece = b_model.id_to_piece(k)
+            b.append((k, bytes([int(piece[3:5], 16)]) if len(piece) == 6 and piece.startswith("<0x") else piece.replace("\u2581", " ").encode()))
+        if not text or any(b"".join(x for _, x in side) != wanted for side in (a, b)):
+            held.append((doc_id, [], [], [], []))
+            continue
+        spans = []
+        for side in (a, b):
+            at, out = 0, []
+            for k, x in side:
+                out.append((k, at, at + len(x)))
+                at += len(x)
+            spans.append(out)
+        links = []
+        for k, s, e in spans[0]:
+            links += [(k, n) for n, v, w in spans[1] if v < e and s < w]
+        ends = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        groups = []
+        for s, e in zip([0, *ends], ends):
+            groups.append("|".join(",".join(str(k) for k, _, w in side if s < w <= e) for side in spans))
+        held.append((doc_id, a, b, groups, links))
+        for p in set(links):
+            counts[p] = counts.get(p, 0) + 1
+    best: dict = {}
+    for (k, _), n in counts.items():
+        best[k] = max(best.get(k, 0), n)
+    digest = lambda groups: hashlib.sha256(";".join(groups).encode()).hexdigest() if groups else ""
+    return [(i, len(a), len(b), len(g), len(x), sum(counts[p] == best[p[0]] for p in x), sum(counts[p] for p in x), digest(g)) for i, a, b, g, x in held]
+
+
+ODD = ["<|endoftext|> a <s> b </s>", "<0x41>", "x\u2581y", " lead", "tail \n", "  two  blanks   ", "\r\n\t\x0b", "日本語の文章。" * 9, "e\u0301 \u00e9 \u200b\ufeff", "\x00\x01", "a\u00a0b", "😀😀 👩‍👩‍👧"]
+
+
+@pytest.mark.parametrize(("seed", "long", "width", "head"), [(1, 1 << 16, 1 << 13, 1 << 18), (2, 40, 7, 50), (3, 5, 1, 1), (4, 100, 30, 0)])
+def test_alignment(spark, table, seed, long, width, head):
+    texts = corpus(seed, n=25, words=60) + ODD + [f"{ODD[7]} {' '.join(ODD)} {seed}", ODD[7] * 30]
+    docs = [(k if k % 5 else 5, t) for k, t in enumerate(texts)] + [(None, "an id of null"), (None, None)]
+    aligned = alignment.align(table(*docs, more=", pairs string, key string"), *PATHS, long=long, width=width)
+    counts = alignment.pair_counts(aligned, alignment.load(*PATHS).most_b)
+    found = [tuple(r) for r in alignment.with_counts(aligned, counts, head=head).collect()]
+    key = lambda r: (r[0] is None, *r[1:], r[0] or 0)
+    assert sorted(found, key=key) == sorted(plain_alignment(docs), key=key)
+
+
+def test_alignment_of_odd_tables(spark, table):
+    assert alignment.report(table(), *PATHS).count() == 0
+    assert sorted(tuple(r) for r in alignment.report(table(None, ""), *PATHS).collect()) == [(k, 0, 0, 0, 0, 0, 0, "") for k in range(2)]
+    long = "".join(random.Random(5).choice(["word ", "日本", "x1 ", "\n\n", "  ", "é"]) for _ in range(400_000))
+    whole, chunked = (alignment.align(table(long, long + "\u2581"), *PATHS, long=size).drop("key").orderBy("doc_id").collect() for size in (1 << 30, 1 << 16))
+    assert whole == chunked and whole[0].n_groups > 1000 and whole[1].n_groups == 0
+
+
+def test_fragments_compose_in_any_tree():
+    both = alignment.load(*PATHS)
+    (a, b), rnd = both.tokens([" ".join(ODD[:2] + ODD[3:] + [t for t in corpus(7, n=9) if t])])[0], random.Random(8)
+    sizes_a, sizes_b = both.spelt_a.sizes[a], both.spelt_b.sizes[b]
+    whole = alignment.fragments(a, sizes_a, b, sizes_b, 1 << 40, both.most_b)[0]
+    whole = alignment.start().then(whole, both.most_b)
+    for width in (1, 2, 5, 17, 64):
+        some = [alignment.start(), *alignment.fragments(a, sizes_a, b, sizes_b, width, both.most_b)]
+        assert any(not f.cut for f in some) or width > 2
+        while len(some) > 1:
+            k = rnd.randrange(len(some) - 1)
+            some[k : k + 2] = [some[k].then(some[k + 1], both.most_b)]
+        one = some[0].groups
+        assert one.text == whole.groups.text and one.n_links == whole.groups.n_links and (one.pairs == whole.groups.pairs).all() and (one.links == whole.groups.links).all()
+        assert not len(some[0].before.ids_a) and not len(some[0].after.ids_b)

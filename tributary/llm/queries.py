@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tributary.llm import bpe, classifier, common, decontaminate, jaccard, mixing_lm, quality_rules, sharding, suffix_dedup, token_counts, token_files, vector_codes, warc
+from tributary.llm import alignment, bpe, classifier, common, decontaminate, jaccard, mixing_lm, quality_rules, sharding, suffix_dedup, token_counts, token_files, vector_codes, warc
 from tributary.session import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -131,6 +131,11 @@ FROM codes
 """
 
 
+@query
+def op12_alignment(spark, sf_dir):
+    return alignment.report(common.read(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 @query
 def op13_sharding(spark, sf_dir):
     return sharding.assign(common.read(spark, sf_dir, "documents"))
