@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.bpe import byte_alphabet
+from tributary.llm.bpe import WHITE, byte_alphabet
 from tributary.llm.common import Staged, parts
 
 LONG = 1 << 16
@@ -44,6 +44,9 @@ _BATCH = 1 << 18  # characters tokenised at a time
 _COUNTED = 1 << 21  # pairs of a task that wait to be counted
 _SPACE = "▁"  # fixed value: the second tokenizer's sign for a space
 _CUT = re.compile(r"\S (?=[\s\S])")  # something must follow the blank
+_UNIT = re.compile(rf"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")  # the first tokenizer always cuts before white space
+KEPT_UNITS = 1 << 16
+KEPT_SIZE = 24
 _NONE = np.zeros(0, np.int64)
 
 
@@ -87,13 +90,26 @@ class Tokenizers:
         self.spelt_a = _Table(spelt)
         self.spelt_b = _Table([bytes([int(p[1:-1], 16)]) if self.b.is_byte(k) else p.replace(_SPACE, " ").encode() for k, p in enumerate(pieces)])
         self.most_b = len(pieces)
+        self.kept: dict[str, bytes] = {}
+
+    def _ids_a(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of the first tokenizer. It is asked for each unit once in a while; short ones are kept, at most ``KEPT_UNITS`` and a batch."""
+        cut = [_UNIT.findall(t) for t in texts]
+        own = set().union(*cut)
+        known = {u: self.kept[u] for u in own & self.kept.keys()}
+        new = list(own.difference(known))
+        known.update((u, np.array(e.ids, np.int64).tobytes()) for u, e in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False), strict=True))
+        if len(self.kept) > KEPT_UNITS:
+            self.kept = {}
+        self.kept.update((u, ids) for u, ids in known.items() if len(u) <= KEPT_SIZE)
+        return [np.frombuffer(b"".join([known[u] for u in units]), np.int64) for units in cut]
 
     def tokens(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
         """Ids of both for each text (which stands behind a space); None where they don't spell it."""
         spaced = [" " + t for t in texts]
         out = []
-        for text, a, b in zip(spaced, self.a.encode_batch_fast(spaced, add_special_tokens=False), self.b.encode(texts, num_threads=1), strict=True):
-            a, b, wanted = np.array(a.ids, np.int64), np.array(b, np.int64), text.encode()
+        for text, a, b in zip(spaced, self._ids_a(spaced), self.b.encode(texts, num_threads=1), strict=True):
+            b, wanted = np.array(b, np.int64), text.encode()
             same = all(table.sizes[ids].sum() == len(wanted) and table.spell(ids).tobytes() == wanted for table, ids in ((self.spelt_a, a), (self.spelt_b, b)))
             out.append((a, b) if same else None)
         return out
@@ -146,7 +162,8 @@ def closed(ids_a: np.ndarray, ends_a: np.ndarray, ids_b: np.ndarray, ends_b: np.
     in_a, in_b = ends_a > bottom[home_a], ends_b > bottom[home_b]
     ids_a, ends_a, home_a = ids_a[in_a], ends_a[in_a], home_a[in_a]
     ids_b, ends_b, home_b = ids_b[in_b], ends_b[in_b], home_b[in_b]
-    ends = np.union1d(ends_a, ends_b)
+    ends = np.sort(np.concatenate((ends_a, ends_b)), kind="stable")  # merges two runs
+    ends = ends[np.append(np.diff(ends) > 0, True)[: len(ends)]]
     at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
     home = np.searchsorted(high, ends)
     common = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
