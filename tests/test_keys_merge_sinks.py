@@ -328,3 +328,84 @@ def test_an_empty_batch_changes_nothing(spark, tmp_path):
     tables.write_upsert(spark.createDataFrame([("a", 2, 0, 0)], BATCH), path, SPEC)
     tables.write_upsert(spark.createDataFrame([], BATCH), path, SPEC)
     assert contents(spark, path) == {("a", 2)}
+
+
+# ---- loads of several tables, and loads that come again -------------------------------------------------
+
+
+def _failing(df):
+    return df.withColumn("v", F.raise_error(F.lit("the writer died")).cast("int"))
+
+
+@pytest.mark.parametrize("incremental", [False, True])
+def test_tables_are_committed_together(spark, tmp_path, incremental):
+    folder = str(tmp_path / "tables")
+
+    def both(v, child=lambda df: df):
+        df = spark.createDataFrame([("a", v), ("b", v)], "id string, v int")
+        return {n: Table(d, TableSpec(n, ("id",), incremental)) for n, d in (("p", df), ("p_lines", child(df)))}
+
+    def state():
+        return {n: {r.v for r in d.collect()} for n, d in tables.read_tables(spark, folder).items()}
+
+    with pytest.raises(Exception, match="the writer died"):
+        tables.write_tables(both(0, _failing), folder)
+    assert state() == {} and tables.current_commit(spark, f"{folder}/p") is None
+    with pytest.raises(ExtractError):
+        tables.read_table(spark, f"{folder}/p")
+    tables.write_tables(both(1), folder)
+    assert state() == {"p": {1}, "p_lines": {1}}
+    with pytest.raises(Exception, match="the writer died"):
+        tables.write_tables(both(2, _failing), folder)
+    assert state() == {"p": {1}, "p_lines": {1}} and contents(spark, f"{folder}/p") == {("a", 1), ("b", 1)}
+    tables.write_tables(both(3), folder, load_id="run#1")
+    tables.write_tables(both(4), folder, load_id="run#1")
+    assert state() == {"p": {3}, "p_lines": {3}}
+    # on its own, a table moves its own entry
+    tables.write_table(Table(spark.createDataFrame([("a", 5)], "id string, v int"), TableSpec("p", ("id",), True)), f"{folder}/p")
+    assert state() == {"p": {3, 5}, "p_lines": {3}}
+    tables.compact(spark, f"{folder}/p")
+    tables.expire_versions(spark, f"{folder}/p", keep=1)
+    assert state() == {"p": {3, 5}, "p_lines": {3}}
+
+
+def test_a_folder_takes_in_tables_that_were_there(spark, tmp_path):
+    folder, df = str(tmp_path), spark.createDataFrame([("a", 1)], "id string, v int")
+    tables.write_full(df, f"{folder}/old", TableSpec("old", ("id",)))
+    tables.write_tables({"new": Table(df, TableSpec("new", ("id",)))}, folder)
+    assert set(tables.read_tables(spark, folder)) == {"old", "new"} and contents(spark, f"{folder}/old") == {("a", 1)}
+    assert tables.write_tables({}, folder) == {}
+
+
+def test_a_load_meanwhile_stops_the_commit_of_the_folder(spark, tmp_path, monkeypatch):
+    folder, df = str(tmp_path / "t"), spark.createDataFrame([("a", 1)], "id string, v int")
+    two = {n: Table(df, TableSpec(n, ("id",))) for n in ("a", "b")}
+    tables.write_tables(two, folder)
+    write = tables.write_table
+
+    def meddling(table, path, **options):
+        if path.endswith("/b"):
+            monkeypatch.setattr(tables, "write_table", write)
+            write(Table(df.withColumn("v", F.lit(9)), TableSpec("a", ("id",), True)), f"{folder}/b")
+        return write(table, path, **options)
+
+    monkeypatch.setattr(tables, "write_table", meddling)
+    with pytest.raises(ExtractError, match="first"):
+        tables.write_tables(two, folder)
+    assert contents(spark, f"{folder}/a") == {("a", 1)} and contents(spark, f"{folder}/b") == {("a", 9)}
+
+
+def test_a_batch_that_comes_again_adds_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+
+    def load(v, load_id):
+        tables.write_upsert(spark.createDataFrame([("a", v, 0, 0)], BATCH), path, SPEC, load_id=load_id)
+        return dict(contents(spark, path))["a"]
+
+    assert [load(1, "A#0"), load(2, "B#0"), load(3, "A#0")] == [1, 2, 2]
+    assert [load(4, "A#1"), load(5, "A#0"), load(6, "B#0"), load(7, "B#12"), load(8, "B#9")] == [4, 4, 4, 7, 7]
+    tables.compact(spark, path)
+    assert [load(9, "A#1"), load(10, "odd"), load(11, "odd"), load(12, None)] == [7, 10, 10, 12]
+    assert tables.current_commit(spark, path)["loads"] == {"A": 1, "B": 12, "odd": 0}
+    tables.write_full(spark.createDataFrame([("a", 0)], "id string, v int"), path, SPEC)
+    assert load(13, "A#1") == 0

@@ -8,6 +8,7 @@ from datetime import date, datetime
 from functools import lru_cache, reduce
 
 from pyarrow import fs
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +19,7 @@ from tributary.plans import extract, landing, sqlmode
 from tributary.plans.landing import EVENT_PAGE, EVENT_SET, PAGE, land, table
 from tributary.session import prepare, staging_path
 from tributary.sinks import csvfiles, tables
+from tributary.sinks.files import delete
 from tributary.sources import catalog, pages, remote, search_xml
 from tributary.spec import Table, TableSpec
 from tributary.streaming.incremental import landed_stream, stream_upsert
@@ -502,6 +504,61 @@ def multi_table_write(spark, d):
     return parent.unionByName(child)
 
 
+@query("""
+    WITH loaded AS (
+        SELECT 'order' AS name, o_orderkey AS record, o_totalprice AS amount FROM orders UNION ALL SELECT 'order_line', l_orderkey, l_quantity FROM lineitem)
+    SELECT 'died' AS after, name, record, amount FROM loaded UNION ALL SELECT 'done', name, record, amount + 1 FROM loaded
+""")
+def multi_table_commit(spark, d):
+    """Tables loaded together: a load that dies at the second one shows nothing, the next one shows all."""
+    folder = staging_path(spark, "together")
+    sources = {
+        "order": table(spark, d, "orders").select(F.col("o_orderkey").alias("record"), F.col("o_totalprice").alias("amount")),
+        "order_line": table(spark, d, "lineitem").select(F.col("l_orderkey").alias("record"), F.col("l_quantity").alias("amount")),
+    }
+
+    def load(change: Callable[[str], Column]) -> None:
+        tables.write_tables({n: Table(df.withColumn("amount", change(n)), TableSpec(n)) for n, df in sources.items()}, folder)
+
+    def seen(after: str) -> DataFrame:
+        return reduce(DataFrame.unionByName, [df.select(F.lit(after).alias("after"), F.lit(n).alias("name"), "record", "amount") for n, df in tables.read_tables(spark, folder).items()])
+
+    load(lambda name: F.col("amount"))
+    died = F.raise_error(F.lit("this load dies here")).cast("double")
+    try:
+        load(lambda name: F.col("amount") + 1 if name == "order" else died)
+    except SparkRuntimeException as error:
+        if "this load dies here" not in str(error):
+            raise
+    before = seen("died")
+    load(lambda name: F.col("amount") + 1)
+    return before.unionByName(seen("done"))
+
+
+@query("SELECT CAST(o_orderkey AS VARCHAR) AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'B' ELSE 'A' END AS writer, o_totalprice AS total FROM orders")
+def stream_two_writers(spark, d):
+    """Two streams load one table. A batch of the first is run again after the second one's: it adds nothing."""
+    path, spec = staging_path(spark, "two-writers"), TableSpec("orders", ("id",), True)
+    folders = {w: staging_path(spark, f"landed-{w}") for w in "AB"}
+    checkpoints = {w: staging_path(spark, f"checkpoint-{w}") for w in "AB"}
+    orders = table(spark, d, "orders").select(F.col("o_orderkey").cast("string").alias("id"), F.col("o_totalprice").alias("total"), F.col("o_orderkey").alias("ordinal"))
+    orders.select(F.to_json(F.struct("*")).alias("value")).write.text(folders["A"])
+    orders.where("ordinal % 3 = 0").select(F.to_json(F.struct("*")).alias("value")).write.text(folders["B"])
+
+    def run(writer: str) -> None:
+        def rows(batch: DataFrame) -> DataFrame:
+            row = F.from_json("raw", "id string, total double, ordinal bigint").alias("row")
+            return batch.select(row).select("row.*", F.lit(writer).alias("writer"), F.lit(0).cast("bigint").alias("page_no"))
+
+        stream_upsert(landed_stream(spark, folders[writer]), rows, path, spec, checkpoints[writer], parts=4).awaitTermination()
+
+    run("A")
+    run("B")
+    delete(spark, f"{checkpoints['A']}/commits/0")  # as if the first stream had died before it could note its batch
+    run("A")
+    return tables.read_table(spark, path).select("id", "writer", "total")
+
+
 @query("SELECT CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status, o_totalprice AS total FROM orders", name="stream_upsert")
 def stream_upsert_pages(spark, d):
     """Landed pages loaded in micro-batches; two of the loads bring the same rows."""

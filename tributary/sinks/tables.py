@@ -6,6 +6,13 @@ readers merge over the base: its cost follows the batch, not the table. When the
 the base, or are many, the load that finds them so writes the merged table anew; so on the whole every
 row is rewritten a bounded number of times, however many loads there are.
 
+Tables that ``write_tables`` loads belong together: a commit of their folder names the version of each, and is written
+when all of them are. Readers and later loads go by it, so a load that dies between two tables is as if it had not begun.
+A table loaded on its own in such a folder moves its own entry only.
+
+A commit also carries the loads applied so far, per source the highest number, so that a batch that is run again adds
+nothing, whatever other sources have loaded since.
+
 A commit is made by renaming its file into place if none is there. On stores without such a rename (most object
 stores), let one writer at a time load a table.
 """
@@ -13,6 +20,7 @@ stores), let one writer at a time load a table.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -39,12 +47,72 @@ def _commit_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(n for n in list_names(spark, f"{path}/_commits") if n.endswith(".json") and not n.startswith("."))
 
 
-def current_commit(spark: SparkSession, path: str) -> dict | None:
-    """The latest commit of a table, or None before the first load."""
+def _latest(spark: SparkSession, path: str) -> dict | None:
     names = _commit_names(spark, path)
     return json.loads(read_text(spark, f"{path}/_commits/{names[-1]}")) if names else None
 
 
+def _version(spark: SparkSession, path: str, version: int) -> dict:
+    return json.loads(read_text(spark, f"{path}/_commits/{version:08d}.json"))
+
+
+def _next_version(spark: SparkSession, path: str) -> int:
+    names = _commit_names(spark, path)
+    return int(names[-1].split(".")[0]) + 1 if names else 1
+
+
+def _place(path: str) -> tuple[str, str]:
+    """Folder and name of a table."""
+    folder, _, name = path.rstrip("/").rpartition("/")
+    return folder, name
+
+
+def current_commit(spark: SparkSession, path: str) -> dict | None:
+    """The commit of a table that counts, or None before the first load: the one its folder names, else the latest."""
+    folder, name = _place(path)
+    together = _latest(spark, folder) if folder else None
+    if together is None:
+        return _latest(spark, path)
+    return _version(spark, path, together["tables"][name]) if name in together["tables"] else None
+
+
+def read_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """All tables that were loaded together, as of one commit of their folder."""
+    together = _latest(spark, folder)
+    if together is None:
+        raise ExtractError(f"no tables at {folder}")
+    return {n: _read_commit(spark, f"{folder}/{n}", _version(spark, f"{folder}/{n}", v)) for n, v in together["tables"].items()}
+
+
+# A load id of the form ``source#number``: numbers of a source only grow.
+_NUMBERED = re.compile(r"(?s)(.*)#(\d+)")
+
+
+def _load_of(load_id: str) -> tuple[str, int]:
+    numbered = _NUMBERED.fullmatch(load_id)
+    return (numbered[1], int(numbered[2])) if numbered else (load_id, 0)
+
+
+def _loads(commit: dict | None) -> dict[str, int]:
+    """Highest load number of each source in a commit; commits from before the ledger have their own load only."""
+    if commit is None:
+        return {}
+    if "loads" in commit:
+        return commit["loads"]
+    return dict([_load_of(commit["load_id"])]) if commit.get("load_id") else {}
+
+
+def _applied(commit: dict | None, load_id: str | None) -> bool:
+    if commit is None or load_id is None:
+        return False
+    source, number = _load_of(load_id)
+    return _loads(commit).get(source, -1) >= number
+
+
+def _loads_with(commit: dict | None, load_id: str | None) -> dict[str, int]:
+    return _loads(commit) | (dict([_load_of(load_id)]) if load_id is not None else {})
+
+
 def read_table(spark: SparkSession, path: str, parts: Sequence[int] | None = None) -> DataFrame:
     """The table as of its latest commit; ``parts`` restricts the read to some of its parts."""
     commit = current_commit(spark, path)
@@ -85,9 +153,10 @@ def _key_text(name: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("\u0000")), r"\.0$", "")
 
 
-def _commit(df: DataFrame, path: str, version: int, kept: Mapping[str, str], info: dict) -> dict:
+def _commit(df: DataFrame, path: str, kept: Mapping[str, str], info: dict, base: dict | None, publish: bool) -> dict:
     """Write the parts of ``df`` as files of a new version and record the commit."""
     spark = df.sparkSession
+    version = _next_version(spark, path)
     # The folder name carries a random part: a load that died half way never mixes with its rerun.
     folder = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
     # Rebalance brings the rows of a part together for few, large files and splits a part that is hot.
@@ -98,32 +167,73 @@ def _commit(df: DataFrame, path: str, version: int, kept: Mapping[str, str], inf
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name != PART])
     n_rows = spark.read.parquet(*[f"{path}/{f}" for f in parts.values()]).count() if parts else 0
     commit = {"version": version, "schema": schema.jsonValue(), "parts": parts, "base_rows": n_rows, "deltas": [], **info}
-    return _record(spark, path, commit)
+    return _record(spark, path, commit, base, publish)
 
 
-def _record(spark: SparkSession, path: str, commit: dict) -> dict:
+def _record(spark: SparkSession, path: str, commit: dict, base: dict | None, publish: bool) -> dict:
     version = commit["version"]
     if not write_text(spark, f"{path}/_commits/{version:08d}.json", json.dumps(commit)):
         raise ExtractError(f"another load committed version {version} of {path} first")
+    if publish:
+        _publish(spark, path, commit, base)
     return commit
 
 
-def write_full(df: DataFrame, path: str, spec: TableSpec, *, parts: int = 1, load_id: str | None = None) -> dict:
-    """Replace the whole table."""
+def _publish(spark: SparkSession, path: str, commit: dict, base: dict | None) -> None:
+    """Name a version in the commit of the table's folder, if it has one and nothing else was loaded on ``base``."""
+    folder, name = _place(path)
+    while True:
+        together = _latest(spark, folder) if folder else None
+        if together is None:
+            return
+        if together["tables"].get(name) != (base["version"] if base else None):
+            raise ExtractError(f"another load of {path} was committed first")
+        if _record_folder(spark, folder, together, {name: commit["version"]}):
+            return
+
+
+def _record_folder(spark: SparkSession, folder: str, together: dict, versions: Mapping[str, int]) -> bool:
+    """The next commit of a folder; False when another one came first."""
+    following = {"version": together["version"] + 1, "tables": together["tables"] | dict(versions)}
+    return write_text(spark, f"{folder}/_commits/{following['version']:08d}.json", json.dumps(following))
+
+
+def _open_folder(spark: SparkSession, folder: str) -> dict:
+    """The commit of a folder; its first one names the tables that are there already."""
+    while True:
+        together = _latest(spark, folder)
+        if together is not None:
+            return together
+        there = {n: _latest(spark, f"{folder}/{n}") for n in list_names(spark, folder) if not n.startswith((".", "_"))}
+        _record_folder(spark, folder, {"version": 0, "tables": {}}, {n: c["version"] for n, c in there.items() if c is not None})
+
+
+def write_full(df: DataFrame, path: str, spec: TableSpec, *, parts: int = 1, load_id: str | None = None, publish: bool = True) -> dict:
+    """Replace the whole table, unless this load is in it already. ``publish=False`` leaves naming the version to the caller."""
     require_table_name(spec.name)
     require_key_columns(df.columns, spec.primary_key, spec.name)
     previous = current_commit(df.sparkSession, path)
-    info = {"n_parts": parts if spec.primary_key else 1, "primary_key": list(spec.primary_key), "load_id": load_id}
+    if _applied(previous, load_id):
+        return previous
+    info = {"n_parts": parts if spec.primary_key else 1, "primary_key": list(spec.primary_key), "load_id": load_id, "loads": _loads_with(previous, load_id)}
     rows = df.withColumn(PART, _part_column(spec.primary_key, info["n_parts"]))
-    return _commit(rows, path, previous["version"] + 1 if previous else 1, {}, info)
+    return _commit(rows, path, {}, info, previous, publish)
 
 
 def write_upsert(
-    batch: DataFrame, path: str, spec: TableSpec, *, parts: int = 16, order: Sequence[str] = BATCH_ORDER, load_id: str | None = None
+    batch: DataFrame,
+    path: str,
+    spec: TableSpec,
+    *,
+    parts: int = 16,
+    order: Sequence[str] = BATCH_ORDER,
+    load_id: str | None = None,
+    publish: bool = True,
 ) -> dict:
     """Upsert a batch by primary key; in-batch copies of a key are settled by ``order``, last wins.
 
-    A ``load_id`` that the latest commit already carries is not loaded again. ``parts`` counts for the first load.
+    A ``load_id`` that the table already holds is not loaded again: the same one, or of ``source#number`` a number
+    up to the highest of that source. ``parts`` counts for the first load.
     """
     spark = batch.sparkSession
     require_key_for_incremental(True, spec.primary_key)
@@ -132,8 +242,8 @@ def write_upsert(
     latest = latest_rows(batch, spec.primary_key, order) if order else batch.dropDuplicates(list(spec.primary_key))
     commit = current_commit(spark, path)
     if commit is None:
-        return write_full(latest, path, spec, parts=parts, load_id=load_id)
-    if load_id is not None and commit.get("load_id") == load_id:
+        return write_full(latest, path, spec, parts=parts, load_id=load_id, publish=publish)
+    if _applied(commit, load_id):
         return commit
     if list(spec.primary_key) != commit["primary_key"]:
         raise ExtractError(f"table '{spec.name}' is keyed by {commit['primary_key']}, not by {list(spec.primary_key)}")
@@ -141,18 +251,19 @@ def write_upsert(
     types = common_types(base_schema, latest.schema)
     schema = T.StructType([T.StructField(n, t, True) for n, t in types.items()])
     with staging_scope(spark):
-        folder = f"v{commit['version'] + 1:08d}-{uuid.uuid4().hex[:8]}"
+        version = _next_version(spark, path)
+        folder = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
         conform(latest, types).write.parquet(f"{path}/{folder}")
         n_rows = spark.read.schema(schema).parquet(f"{path}/{folder}").count()
         deltas = [*commit.get("deltas", []), {"folder": folder, "schema": schema.jsonValue(), "rows": n_rows}]
         merged = commit | {
-            "version": commit["version"] + 1, "schema": schema.jsonValue(), "load_id": load_id, "deltas": deltas,
+            "version": version, "schema": schema.jsonValue(), "load_id": load_id, "loads": _loads_with(commit, load_id), "deltas": deltas,
             "base_schema": commit.get("base_schema", commit["schema"]),
         }
         if sum(d["rows"] for d in deltas) <= DELTA_SHARE * commit.get("base_rows", 0) and len(deltas) <= MOST_DELTAS:
-            return _record(spark, path, merged)
+            return _record(spark, path, merged, commit, publish)
         rows = _read_commit(spark, path, merged).withColumn(PART, _part_column(spec.primary_key, commit["n_parts"]))
-        done = _commit(rows, path, commit["version"] + 1, {}, {k: merged[k] for k in ("n_parts", "primary_key", "load_id")})
+        done = _commit(rows, path, {}, {k: merged[k] for k in ("n_parts", "primary_key", "load_id", "loads")}, commit, publish)
         delete(spark, f"{path}/{folder}")
         return done
 
@@ -165,7 +276,8 @@ def compact(spark: SparkSession, path: str) -> dict:
     if not commit.get("deltas"):
         return commit
     rows = _read_commit(spark, path, commit).withColumn(PART, _part_column(commit["primary_key"], commit["n_parts"]))
-    return _commit(rows, path, commit["version"] + 1, {}, {k: commit[k] for k in ("n_parts", "primary_key", "load_id")})
+    info = {k: commit[k] for k in ("n_parts", "primary_key", "load_id")} | {"loads": _loads(commit)}
+    return _commit(rows, path, {}, info, commit, True)
 
 
 def _folders(commit: dict) -> set[str]:
@@ -173,16 +285,18 @@ def _folders(commit: dict) -> set[str]:
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
-    """Drop all but the last ``keep`` commits, and the folders only the dropped ones name.
+    """Drop all but the last ``keep`` commits and the one that counts, and the folders only the dropped ones name.
 
     Not for use while a load of the same table is running.
     """
     if keep < 1:
         raise ExtractError("at least the latest version is kept")
     names = _commit_names(spark, path)
-    used = {f for n in names[-keep:] for f in _folders(json.loads(read_text(spark, f"{path}/_commits/{n}")))}
+    counts = current_commit(spark, path)
+    kept = set(names[-keep:]) | ({f"{counts['version']:08d}.json"} if counts else set())
+    used = {f for n in kept for f in _folders(json.loads(read_text(spark, f"{path}/_commits/{n}")))}
     dropped = []
-    for name in names[:-keep]:
+    for name in sorted(set(names) - kept):
         old = _folders(json.loads(read_text(spark, f"{path}/_commits/{name}")))
         for folder in old - used - set(dropped):
             delete(spark, f"{path}/{folder}")
@@ -200,14 +314,26 @@ def write_table(table: Table, path: str, **options) -> dict:
 
 
 def write_tables(tables: Mapping[str, Table], folder: str, **options) -> dict[str, dict]:
-    """Load a parent and its children, all in the same mode, each under its own name."""
+    """Load a parent and its children, all in the same mode, each under its own name, with one commit of the folder.
+
+    Until that commit, readers and later loads see all tables as they were. It fails when anything else was committed
+    in the folder meanwhile.
+    """
     modes = {t.spec.incremental for t in tables.values()}
     if len(modes) > 1:
         raise ExtractError("all tables of one extraction are loaded in the same mode")
     for table in tables.values():
         require_key_for_incremental(table.spec.incremental, table.spec.primary_key)
         require_key_columns(table.df.columns, table.spec.primary_key, table.spec.name)
-    return {name: write_table(table, f"{folder}/{name}", **options) for name, table in tables.items()}
+    if not tables:
+        return {}
+    spark, folder = next(iter(tables.values())).df.sparkSession, folder.rstrip("/")
+    together = _open_folder(spark, folder)
+    done = {name: write_table(table, f"{folder}/{name}", publish=False, **options) for name, table in tables.items()}
+    versions = {name: commit["version"] for name, commit in done.items()}
+    if together["tables"] | versions != together["tables"] and not _record_folder(spark, folder, together, versions):
+        raise ExtractError(f"another load was committed in {folder} first")
+    return done
 
 
 def zero_row_table(spark: SparkSession, spec: TableSpec) -> DataFrame | None:
