@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tributary.functions.jsontext import get, is_falsy, path_of
+from tributary.operators.ranking import places
+from tributary.session import stage
 from tributary.sources.pages import value_at
 from tributary.sources.remote import MAX_PAGE_SIZE
 
@@ -61,6 +63,31 @@ def link_gaps(pages: DataFrame) -> DataFrame:
     return _gaps(pages, next_link_offset())
 
 
+def unreached_pages(pages: DataFrame) -> DataFrame:
+    """Pages the first page of their set never leads to: ``page_set, page_offset, problem, first_offset``.
+
+    ``loose``: the page follows one that no page links to, at ``first_offset``. ``ring``: it leads back to itself.
+    ``behind_ring``: it follows a ring. A ring is named by its least offset. A page that landed more than once is one
+    page; where several link to a page, the one with the least offset counts. Pages without an offset can't be
+    reached or followed and are left out.
+    """
+    page = F.struct("page_set", "page_offset")
+    present = pages.where(F.col("page_offset").isNotNull())
+    # One aggregation for both: a page is present at its own offset, and stands before the page it links to.
+    uses = F.array(
+        F.struct(page.alias("node"), F.lit(None).cast(pages.schema["page_offset"].dataType).alias("before"), F.lit(1).alias("here")),
+        F.struct(F.struct("page_set", F.col("next_offset").alias("page_offset")).alias("node"), F.col("page_offset").alias("before"), F.lit(0).alias("here")),
+    )
+    linked = present.select("page_set", "page_offset", next_link_offset().cast(pages.schema["page_offset"].dataType).alias("next_offset"))
+    seen = linked.select(F.inline(F.filter(uses, lambda u: u["node"]["page_offset"].isNotNull()))).groupBy("node").agg(F.min("before").alias("before"), F.sum("here").alias("here")).where("here > 0")
+    # The page at offset 0 is the first one, whatever links to it.
+    before = F.when(F.col("before").isNotNull() & (F.col("node.page_offset") != 0), F.struct(F.col("node.page_set").alias("page_set"), F.col("before").alias("page_offset")))
+    found = places(seen.select("node", before.alias("before")))
+    problem = F.when(F.col("kind") == "ring", "ring").when(F.col("kind") == "behind", "behind_ring").when(F.col("first.page_offset") > 0, "loose")
+    rows = found.select(F.col("node.page_set").alias("page_set"), F.col("node.page_offset").alias("page_offset"), problem.alias("problem"), F.col("first.page_offset").alias("first_offset"))
+    return rows.where(F.col("problem").isNotNull())
+
+
 def offset_gaps(pages: DataFrame, limit: int) -> DataFrame:
     """The same for pages that only say ``hasMore``: the next page starts one page size further."""
     size = min(limit, MAX_PAGE_SIZE)
@@ -146,3 +173,23 @@ def cursor_chain(cursors: DataFrame) -> DataFrame:
     )
     joined = cursors.withColumn("key", key).join(known, F.col("key") == F.col("cursor"), "left")
     return joined.select("page_no", "cursor_out", "next_page", status.alias("status"))
+
+
+def cursor_order(cursors: DataFrame) -> DataFrame:
+    """``page_no, first_page, place, segment`` per page: where it stands, by the cursors alone and not by its number.
+
+    ``chain``: it follows the page that was fetched without a cursor, ``place`` pages later. ``loose``: it follows
+    ``first_page``, whose cursor no page hands out. ``ring``: its cursors lead back to it (``first_page`` is the least page
+    number of the ring), and following them would never end. ``behind_ring``: it follows a ring. Where several pages
+    hand out a cursor, the one with the least number counts; a page that landed twice is one page.
+    """
+    nobody = F.lit(None).cast(cursors.schema["page_no"].dataType)
+    once = cursors.where(F.col("page_no").isNotNull()).groupBy("page_no").agg(F.min("cursor_in").alias("cursor_in"), F.min("cursor_out").alias("cursor_out"))
+    given = once.where(F.col("cursor_out").isNotNull()).groupBy(F.col("cursor_out").alias("cursor")).agg(F.min("page_no").alias("before"))
+    # Pages fetched without a cursor have nothing to look up, so they stay out of the join.
+    sent = once.where(F.col("cursor_in").isNotNull()).join(given, F.col("cursor_in") == F.col("cursor"), "left").select("page_no", "before", F.col("before").isNull().alias("lost"))
+    nodes = stage(sent.unionByName(once.where(F.col("cursor_in").isNull()).select("page_no", nobody.alias("before"), F.lit(False).alias("lost"))), "cursors")
+    found = places(nodes.select(F.col("page_no").alias("node"), "before"))
+    lost = nodes.where("lost").select(F.col("page_no").alias("lost_page"))
+    segment = F.when(F.col("kind") == "behind", "behind_ring").when(F.col("lost_page").isNotNull(), "loose").otherwise(F.col("kind"))
+    return found.join(lost, F.col("first") == F.col("lost_page"), "left").select(F.col("node").alias("page_no"), F.col("first").alias("first_page"), "place", segment.alias("segment"))

@@ -382,6 +382,57 @@ def cursor_chain(spark, d):
     return pagesets.cursor_chain(pagesets.with_cursor(parsed, "meta.next"))
 
 
+RINGS_OF_PAGES = 100_000  # offsets beyond any page's
+
+
+@query(f"""
+    WITH p AS (SELECT event_id // {EVENT_SET} AS s, (event_id % {EVENT_SET}) // {EVENT_PAGE} AS p FROM events GROUP BY 1, 2)
+    SELECT 'events-' || s AS page_set, CAST(p * {EVENT_PAGE} AS BIGINT) AS page_offset, 'loose' AS problem, CAST(8 * {EVENT_PAGE} AS BIGINT) AS first_offset
+    FROM p WHERE p >= 8
+    UNION ALL
+    SELECT DISTINCT 'events-' || s, CAST({RINGS_OF_PAGES} + k AS BIGINT), CASE WHEN k < 3 THEN 'ring' ELSE 'behind_ring' END, CAST({RINGS_OF_PAGES} AS BIGINT)
+    FROM p, range(5) AS ring(k)
+""")
+def page_reach(spark, d):
+    """Page sets without their eighth page, each with three pages that lead round and two that follow them."""
+    landed = event_envelopes(spark, d).select("page_set", "page_offset", "next_href")
+    hops = F.inline(F.array(*[F.struct(F.lit(RINGS_OF_PAGES + a).cast("bigint").alias("page_offset"), F.lit(f"?offset={RINGS_OF_PAGES + b}").alias("next_href")) for a, b in ((0, 1), (1, 2), (2, 0), (3, 4), (4, 999))]))
+    astray = landed.select("page_set").distinct().select("page_set", hops)
+    # a page of the ring is also linked from nowhere else; the fourth page hangs on the third through a second copy of it
+    again = landed.select("page_set").distinct().select("page_set", F.lit(RINGS_OF_PAGES + 2).cast("bigint").alias("page_offset"), F.lit(f"?offset={RINGS_OF_PAGES + 3}").alias("next_href"))
+    return pagesets.unreached_pages(landed.unionByName(astray).unionByName(again))
+
+
+ORDER_PAGE, ORDER_BLOCK = 10, 1000  # orders a page, and pages with one ring and one loose segment
+
+
+@query(f"""
+    WITH p AS (SELECT DISTINCT o_orderkey // {ORDER_PAGE} AS i FROM orders), top AS (SELECT MAX(i) AS last FROM p),
+    q AS (SELECT i, i // {ORDER_BLOCK} AS b, i % {ORDER_BLOCK} AS j, (i * 2654435761) % 4294967296 AS page_no FROM p)
+    SELECT page_no, CASE WHEN j < 900 THEN 0
+                         WHEN j < 950 THEN MIN(page_no) OVER (PARTITION BY b, j // 50)
+                         ELSE ((b * {ORDER_BLOCK} + 950) * 2654435761) % 4294967296 END AS first_page,
+           CASE WHEN j < 900 THEN b * 900 + j WHEN j >= 950 THEN j - 950 END AS place,
+           CASE WHEN j < 900 THEN 'chain' WHEN j < 950 THEN 'ring' ELSE 'loose' END AS segment
+    FROM q
+""")
+def cursor_order(spark, d):
+    """A page for every ten orders, numbered in no order: one long chain, and rings and loose segments beside it."""
+    i = F.floor(F.col("o_orderkey") / ORDER_PAGE)
+    listed = table(spark, d, "orders").select(i.alias("i")).distinct()
+    last = listed.agg(F.max("i")).first()[0]
+    at = F.col("i") % ORDER_BLOCK
+    after = (
+        F.when((at >= 900) & (at < 950), F.when((at == 949) | (F.col("i") == last), F.col("i") - at + 900).otherwise(F.col("i") + 1))
+        .when(at == 899, F.col("i") - at + ORDER_BLOCK)
+        .when(at < 950, F.col("i") + 1)
+        .when(at < ORDER_BLOCK - 1, F.col("i") + 1)
+    )
+    cursor = lambda number: F.concat(F.lit("c"), number.cast("string"))
+    sent = F.when(at == 950, F.concat(F.lit("lost "), F.col("i").cast("string"))).when(F.col("i") > 0, cursor(F.col("i")))
+    return pagesets.cursor_order(listed.select(((F.col("i") * 2654435761) % 4294967296).alias("page_no"), sent.alias("cursor_in"), cursor(after).alias("cursor_out")))
+
+
 @query("""
     SELECT event_id, event_id % 50 = 0 AS quarantined, CASE WHEN event_id % 50 = 0 THEN left(props, 4) ELSE props END AS raw FROM events
 """)
