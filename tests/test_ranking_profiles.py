@@ -1,12 +1,16 @@
 """Chains of pointers, profiles that are merged batch by batch, and pages deep in a sorted result."""
 
+import json
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from tributary.operators import pagesets
+from tributary.operators import infer, pagesets
 from tributary.operators.ranking import places
+from tributary.sinks import tables
+from tributary.spec import TableSpec
+from tributary.streaming.incremental import landed_stream, stream_documents
 
 
 def plain_places(before: dict) -> dict:
@@ -53,3 +57,44 @@ def test_unreached_pages(spark):
     rows = [page("a", 0, 100), page("a", 100, 0), page("a", 300, 400), page("a", 400, None), page("a", 700, 800), page("a", 800, 700), page("b", 0, 100), page("b", 100, 200), page("b", 100, 200), page("b", 200, None), page("c", 5, None), page("b", None, 7)]
     found = pagesets.unreached_pages(spark.createDataFrame(rows, "page_set string, page_offset long, next_href string")).collect()
     assert {tuple(r) for r in found} == {("a", 300, "loose", 300), ("a", 400, "loose", 300), ("a", 700, "ring", 700), ("a", 800, "ring", 700), ("c", 5, "loose", 5)}
+
+
+# ---- profiles ---------------------------------------------------------------------------------------------
+
+RAGGED = [
+    {"id": "a", "n": 1, "lines": {"items": []}}, {"id": "b", "x": None, "flag": True}, {"n": 2.5, "id": "c", "lines": [{"k": 1}]}, {},
+    {"late": 1, "id": "d", "n": 3, "flag": "no"}, {"id": "e", "lines": "text", "x": {"y": 1}}, {"id": "f", "x": 7, "zero": None},
+]
+
+
+@pytest.mark.parametrize("cuts", [(3,), (1, 2, 5), (0, 7), (2, 4)])
+def test_merged_profiles_are_that_of_all(spark, docs, cuts):
+    whole = docs(*RAGGED)
+    parts = [whole.where(F.col("ordinal").between(a, z - 1)) for a, z in zip((0, *cuts), (*cuts, len(RAGGED)))]
+    profiles = [infer.profile_of_text(spark, infer.profile_text(infer.profile(p))) for p in parts]
+    random.Random(len(cuts)).shuffle(profiles)
+    merged, wanted = infer.collect_profile(infer.merge_profiles(*profiles)), infer.collect_profile(infer.profile(whole))
+    assert merged == wanted and merged.names == ["id", "n", "lines", "x", "flag", "late", "zero"]
+
+
+def test_documents_in_batches(spark, tmp_path):
+    landed, path, spec = tmp_path / "landed", str(tmp_path / "t"), TableSpec("t", ("id",), True)
+    landed.mkdir()
+
+    def documents(batch):
+        rows = batch.select(F.lit(0).cast("long").alias("page_no"), F.from_json("raw", "o long").o.alias("ordinal"), F.from_json("raw", "d string").d.alias("raw"))
+        return rows.withColumn("doc", F.parse_json("raw"))
+
+    def run():
+        stream_documents(landed_stream(spark, str(landed), files_per_batch=1), documents, path, spec, str(tmp_path / "c"), parts=2).awaitTermination()
+        return infer.collect_profile(tables.table_profile(spark, path))
+
+    for k, d in enumerate(x for x in RAGGED if "id" in x):
+        (landed / f"{k}.jsonl").write_text(json.dumps({"o": k, "d": json.dumps(d)}) + "\n")
+        found = run()
+    assert found.types() == {"id": "string", "n": "numeric", "lines": "string", "x": "string", "flag": "string", "late": "integer", "zero": "string"}
+    assert found.n_rows == 6 and run() == found
+    rows = {r.id: r for r in tables.read_table(spark, path).collect()}
+    assert len(rows) == 6 and rows["a"].n == 1.0 and rows["c"].n == 2.5 and rows["b"].flag == "true" and rows["d"].late == 1
+    tables.compact(spark, path)
+    assert run() == found

@@ -7,11 +7,14 @@ a hash aggregate and what is shuffled is one small row per key and task, whateve
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tributary.errors import ExtractError
 from tributary.functions.jsontext import get, is_sublist, path_of
@@ -90,6 +93,42 @@ def profile(documents: DataFrame, *, sample: int | None = None) -> DataFrame:
     )
 
 
+def merge_profiles(*profiles: DataFrame) -> DataFrame:
+    """The profile of all documents from those of parts of them, in any order.
+
+    Ordinals must go on from part to part. A document that is in two parts is counted twice, but leads to the same
+    columns and types.
+    """
+    first = {"first_position": "first_seen", "inline_position": "first_inline"}
+    stacked = reduce(DataFrame.unionByName, profiles)
+
+    def merged(name: str) -> Column:
+        if name in first:
+            at = F.min_by(name, F.when(F.col(first[name]).isNotNull(), F.struct(first[name], name)))
+        elif name.startswith("n_"):
+            at = F.sum(name).cast("bigint")
+        else:
+            at = F.min(name)
+        return at.alias(name)
+
+    return stacked.groupBy("column").agg(*[merged(n) for n in stacked.columns if n != "column"])
+
+
+def profile_text(profiled: DataFrame, max_columns: int = MAX_COLUMNS) -> str:
+    """A profile as text to keep: one row per column, with the same bound as ``collect_profile``."""
+    rows = profiled.select(F.to_json(F.struct("*"))).limit(max_columns + 1).collect()
+    if len(rows) > max_columns:
+        raise ExtractError(f"more than {max_columns} distinct keys: the keys of these documents are data")
+    return json.dumps({"schema": profiled.schema.jsonValue(), "rows": [r[0] for r in rows]})
+
+
+def profile_of_text(spark: SparkSession, text: str) -> DataFrame:
+    """A profile that was kept as text."""
+    kept = json.loads(text)
+    rows = spark.createDataFrame([(r,) for r in kept["rows"]], "value string")
+    return rows.select(F.from_json("value", T.StructType.fromJson(kept["schema"])).alias("row")).select("row.*")
+
+
 @dataclass(frozen=True)
 class ColumnInfo:
     """What the documents say about one key. Rows are ordinals, positions are those of the key inside the row."""

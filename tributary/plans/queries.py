@@ -22,7 +22,7 @@ from tributary.sinks import csvfiles, tables
 from tributary.sinks.files import delete
 from tributary.sources import catalog, pages, remote, search_xml
 from tributary.spec import Table, TableSpec
-from tributary.streaming.incremental import landed_stream, stream_upsert
+from tributary.streaming.incremental import landed_stream, stream_documents, stream_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -285,6 +285,39 @@ def column_types_mixed(spark, d):
     return first.join(infer.column_types(profiled, "widen").withColumnRenamed("type", "widened"), "column")
 
 
+@query("""
+    SELECT 'id' AS column, 'string' AS type, COUNT(*) AS n_values, COUNT(*) AS n_filled FROM orders
+    UNION ALL SELECT 'status', 'string', COUNT(*), COUNT(*) FROM orders UNION ALL SELECT 'total', 'numeric', COUNT(*), COUNT(*) FROM orders
+    UNION ALL SELECT 'customer', 'string', COUNT(*), COUNT(*) FROM orders UNION ALL SELECT 'item', 'string', COUNT(*), COUNT(*) FROM orders
+    UNION ALL SELECT 'priority', 'string', COUNT(nullif(o_orderpriority, '5-LOW')), COUNT(nullif(o_orderpriority, '5-LOW')) FROM orders
+""")
+def profile_merged(spark, d):
+    """Documents loaded in micro-batches: the profile the table carries in the end, beside the values in its columns."""
+
+    def documents(batch: DataFrame) -> DataFrame:
+        rows = batch.select(F.lit(0).cast("bigint").alias("page_no"), F.from_json("raw", "id string")["id"].cast("bigint").alias("ordinal"), "raw")
+        return shape.parsed(rows)
+
+    path, spec = staging_path(spark, "profiled"), TableSpec("orders", ("id",), True)
+    landed = landed_stream(spark, land(spark, d, "documents"), files_per_batch=4)
+    stream_documents(landed, documents, path, spec, staging_path(spark, "profiled-stream"), parts=4).awaitTermination()
+    found, loaded = tables.table_profile(spark, path), tables.read_table(spark, path)
+    filled = loaded.select(*[F.count(F.col(f"`{n}`")).alias(n) for n in loaded.columns]).unpivot([], loaded.columns, "column", "n_filled")
+    return infer.column_types(found, "widen").join(found.select("column", "n_values"), "column").join(filled, "column")
+
+
+@query("""
+    WITH head AS (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 100),
+    sampled AS (SELECT COUNT(*) FILTER (o_orderpriority <> '5-LOW') AS n FROM orders JOIN head USING (o_orderkey))
+    SELECT o_orderkey AS record, o_orderstatus AS status, n > 0 AS has_priority FROM orders, sampled
+""")
+def sampled_columns(spark, d):
+    """Columns from the first hundred documents only; all rows come out."""
+    rows = landed_documents(spark, d).withColumn("page_no", F.lit(0).cast("bigint"))
+    found = extract.extract_pages(rows, table_name="sampled", sample=100)["sampled"].df
+    return found.select(F.col("id").cast("bigint").alias("record"), "status", F.lit("priority" in found.columns).alias("has_priority"))
+
+
 @query("SELECT event_id, 'integer' AS type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
 def props_types(spark, d):
     events = table(spark, d, "events").select("event_id", F.parse_json("props").alias("doc"))

@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import ExtractError
+from tributary.operators.infer import merge_profiles, profile_of_text, profile_text
 from tributary.operators.keys import require_key_columns, require_key_for_incremental, require_table_name
 from tributary.operators.merge import BATCH_ORDER, common_types, conform, latest_rows, without_keys
 from tributary.session import staging_scope
@@ -208,7 +209,7 @@ def _open_folder(spark: SparkSession, folder: str) -> dict:
         _record_folder(spark, folder, {"version": 0, "tables": {}}, {n: c["version"] for n, c in there.items() if c is not None})
 
 
-def write_full(df: DataFrame, path: str, spec: TableSpec, *, parts: int = 1, load_id: str | None = None, publish: bool = True) -> dict:
+def write_full(df: DataFrame, path: str, spec: TableSpec, *, parts: int = 1, load_id: str | None = None, publish: bool = True, profile: DataFrame | None = None) -> dict:
     """Replace the whole table, unless this load is in it already. ``publish=False`` leaves naming the version to the caller."""
     require_table_name(spec.name)
     require_key_columns(df.columns, spec.primary_key, spec.name)
@@ -216,6 +217,7 @@ def write_full(df: DataFrame, path: str, spec: TableSpec, *, parts: int = 1, loa
     if _applied(previous, load_id):
         return previous
     info = {"n_parts": parts if spec.primary_key else 1, "primary_key": list(spec.primary_key), "load_id": load_id, "loads": _loads_with(previous, load_id)}
+    info["profile"] = None if profile is None else profile_text(profile)
     rows = df.withColumn(PART, _part_column(spec.primary_key, info["n_parts"]))
     return _commit(rows, path, {}, info, previous, publish)
 
@@ -229,11 +231,13 @@ def write_upsert(
     order: Sequence[str] = BATCH_ORDER,
     load_id: str | None = None,
     publish: bool = True,
+    profile: DataFrame | None = None,
 ) -> dict:
     """Upsert a batch by primary key; in-batch copies of a key are settled by ``order``, last wins.
 
     A ``load_id`` that the table already holds is not loaded again: the same one, or of ``source#number`` a number
-    up to the highest of that source. ``parts`` counts for the first load.
+    up to the highest of that source. ``parts`` counts for the first load. The ``profile`` of the documents behind the
+    batch is merged into the table's with the same commit, see ``table_profile``.
     """
     spark = batch.sparkSession
     require_key_for_incremental(True, spec.primary_key)
@@ -242,7 +246,7 @@ def write_upsert(
     latest = latest_rows(batch, spec.primary_key, order) if order else batch.dropDuplicates(list(spec.primary_key))
     commit = current_commit(spark, path)
     if commit is None:
-        return write_full(latest, path, spec, parts=parts, load_id=load_id, publish=publish)
+        return write_full(latest, path, spec, parts=parts, load_id=load_id, publish=publish, profile=profile)
     if _applied(commit, load_id):
         return commit
     if list(spec.primary_key) != commit["primary_key"]:
@@ -251,23 +255,32 @@ def write_upsert(
     types = common_types(base_schema, latest.schema)
     schema = T.StructType([T.StructField(n, t, True) for n, t in types.items()])
     with staging_scope(spark):
-        version = _next_version(spark, path)
+        version, known = _next_version(spark, path), commit.get("profile")
+        if profile is not None:
+            known = profile_text(profile if known is None else merge_profiles(profile_of_text(spark, known), profile))
         folder = f"v{version:08d}-{uuid.uuid4().hex[:8]}"
         conform(latest, types).write.parquet(f"{path}/{folder}")
         n_rows = spark.read.schema(schema).parquet(f"{path}/{folder}").count()
         deltas = [*commit.get("deltas", []), {"folder": folder, "schema": schema.jsonValue(), "rows": n_rows}]
         merged = commit | {
             "version": version, "schema": schema.jsonValue(), "load_id": load_id, "loads": _loads_with(commit, load_id), "deltas": deltas,
-            "base_schema": commit.get("base_schema", commit["schema"]),
+            "base_schema": commit.get("base_schema", commit["schema"]), "profile": known,
         }
         if sum(d["rows"] for d in deltas) <= DELTA_SHARE * commit.get("base_rows", 0) and len(deltas) <= MOST_DELTAS:
             return _record(spark, path, merged, commit, publish)
         rows = _read_commit(spark, path, merged).withColumn(PART, _part_column(spec.primary_key, commit["n_parts"]))
-        done = _commit(rows, path, {}, {k: merged[k] for k in ("n_parts", "primary_key", "load_id", "loads")}, commit, publish)
+        done = _commit(rows, path, {}, {k: merged[k] for k in ("n_parts", "primary_key", "load_id", "loads", "profile")}, commit, publish)
         delete(spark, f"{path}/{folder}")
         return done
 
 
+def table_profile(spark: SparkSession, path: str) -> DataFrame | None:
+    """The profile of all documents loaded into a table with one, or None."""
+    commit = current_commit(spark, path)
+    kept = commit.get("profile") if commit else None
+    return None if kept is None else profile_of_text(spark, kept)
+
+
 def compact(spark: SparkSession, path: str) -> dict:
     """Merge the deltas of a table into its base now, so that readers need not."""
     commit = current_commit(spark, path)
@@ -276,7 +289,7 @@ def compact(spark: SparkSession, path: str) -> dict:
     if not commit.get("deltas"):
         return commit
     rows = _read_commit(spark, path, commit).withColumn(PART, _part_column(commit["primary_key"], commit["n_parts"]))
-    info = {k: commit[k] for k in ("n_parts", "primary_key", "load_id")} | {"loads": _loads(commit)}
+    info = {k: commit[k] for k in ("n_parts", "primary_key", "load_id")} | {"loads": _loads(commit), "profile": commit.get("profile")}
     return _commit(rows, path, {}, info, commit, True)
 
 
