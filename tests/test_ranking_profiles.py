@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 
 from tributary.operators import infer, pagesets
 from tributary.operators.ranking import places
+from tributary.errors import ExtractError
+from tributary.operators.resolve import latest_details
+from tributary.plans.sqlmode import SortedPages
 from tributary.sinks import tables
 from tributary.spec import TableSpec
 from tributary.streaming.incremental import landed_stream, stream_documents
@@ -98,3 +101,27 @@ def test_documents_in_batches(spark, tmp_path):
     assert len(rows) == 6 and rows["a"].n == 1.0 and rows["c"].n == 2.5 and rows["b"].flag == "true" and rows["d"].late == 1
     tables.compact(spark, path)
     assert run() == found
+
+
+# ---- pages deep in a result, and the document that counts -----------------------------------------------------
+
+
+def test_any_page_of_a_result(spark):
+    rnd = random.Random(4)
+    rows = [(rnd.choice([None, 1, 1, 2, 3, 9]), rnd.randrange(40)) for _ in range(157)]
+    pages = SortedPages(spark.createDataFrame(rows, "a int, b int").repartition(5), [F.desc_nulls_last("a"), "b"], ranges=6)
+    wanted = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    assert pages.n_rows == 157 and len(pages.counts) > 2
+    for limit, offset in ((10, 0), (7, 50), (40, 117), (40, 140), (5, 157), (0, 3), (5, 900), (157, 0), (1, 156)):
+        assert [tuple(r) for r in pages.page(limit, offset).collect()] == wanted[offset : offset + limit]
+    with pytest.raises(ExtractError):
+        pages.page(1, -1)
+    assert SortedPages(spark.createDataFrame([], "a int"), ["a"]).page(5, 0).collect() == []
+
+
+def test_latest_details(spark):
+    rows = [("a", 1, "f", "x"), ("a", 2, "e", "y"), ("a", 2, "d", "z"), ("b", 1, "f", "p"), ("b", 1, "f", "q"), ("b", None, "z", "s"), ("c", None, None, "u"), (None, 5, "f", "v"), ("d", 3, None, "w"), ("d", 3, "a", "k")]
+    found = latest_details(spark.createDataFrame(rows, "id string, landed_at int, file string, raw string")).collect()
+    assert {tuple(r) for r in found} == {("a", "y"), ("b", "q"), ("c", "u"), ("d", "k")}
+    plain = latest_details(spark.createDataFrame(rows, "id string, landed_at int, f string, raw string").select("id", "raw")).collect()
+    assert {tuple(r) for r in plain} == {("a", "z"), ("b", "s"), ("c", "u"), ("d", "w")}

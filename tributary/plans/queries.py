@@ -101,6 +101,18 @@ def sql_page_after(spark, d):
     return sqlmode.page_after(orders, ["o_totalprice", "o_orderkey"], [100000.0, 500], 50)
 
 
+@query("""
+    SELECT l_extendedprice, l_orderkey, l_linenumber FROM (
+        SELECT l_extendedprice, l_orderkey, l_linenumber, COUNT(*) OVER () AS n, ROW_NUMBER() OVER (ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber) AS place FROM lineitem)
+    WHERE place > n * 3 // 4 AND place <= n * 3 // 4 + 500
+""")
+def sql_page_at(spark, d):
+    """A page three quarters into all lines, by price."""
+    lines = table(spark, d, "lineitem").select("l_extendedprice", "l_orderkey", "l_linenumber")
+    found = sqlmode.SortedPages(lines, [F.desc("l_extendedprice"), "l_orderkey", "l_linenumber"])
+    return found.page(500, found.n_rows * 3 // 4)
+
+
 @query("""
     SELECT l_returnflag, l_linestatus, CAST(SUM(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum_qty,
            CAST(SUM(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS sum_price, COUNT(*) AS n_lines

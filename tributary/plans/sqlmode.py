@@ -16,7 +16,10 @@ from pyspark.sql import functions as F
 
 from tributary.errors import ExtractError
 from tributary.functions.dates import resolve_range
+from tributary.session import staging_path
+from tributary.sinks.files import delete
 
+_RANGE = "_range"
 MARKERS = ("date_from", "date_to")
 
 # String literals, quoted names and comments, in which a marker is just text.
@@ -98,6 +101,47 @@ def page_after(df: DataFrame, order_by: Sequence[str], last: Sequence[object], l
 
 
 def page_of(df: DataFrame, order_by: Sequence[str | Column], limit: int, offset: int = 0) -> DataFrame:
-    """One page of a result. The order should be total, else pages may overlap. Deep pages: see ``page_after``."""
+    """One page of a result. The order should be total, else pages may overlap. Deep pages: see ``page_after`` and ``SortedPages``."""
     ordered = df.orderBy(*order_by)
     return (ordered.offset(offset) if offset else ordered).limit(limit)
+
+
+class SortedPages:
+    """A result in order, of which any page can be taken without sorting or counting what comes before it again.
+
+    Rows are dealt to ranges of the order and written sorted, one folder a range; the number of rows in each range gives
+    where it begins. A page reads the ranges it meets, usually one. ``order`` must be total, or rows that are equal in it
+    be equal. Only the counts, one a range, come to the driver.
+    """
+
+    def __init__(self, df: DataFrame, order: Sequence[Column | str], ranges: int | None = None):
+        self.order, self.columns = list(order), df.columns
+        dealt = df.repartitionByRange(*([ranges] if ranges else []), *self.order).sortWithinPartitions(*self.order)
+        self.path = staging_path(df.sparkSession, "sorted")
+        self.spark, kept = df.sparkSession, dealt.withColumn(_RANGE, F.spark_partition_id())
+        kept.write.partitionBy(_RANGE).parquet(self.path)
+        self.schema = kept.schema
+        self.counts = [(r[_RANGE], r["count"]) for r in self._read().groupBy(_RANGE).count().orderBy(_RANGE).collect()]
+
+    def _read(self) -> DataFrame:
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    @property
+    def n_rows(self) -> int:
+        return sum(n for _, n in self.counts)
+
+    def page(self, limit: int, offset: int) -> DataFrame:
+        """Rows ``offset`` to ``offset + limit`` of the result, in order."""
+        if limit < 0 or offset < 0:
+            raise ExtractError("limit and offset can't be negative")
+        met, skipped, begin = [], 0, 0
+        for number, n in self.counts:
+            if begin + n <= offset:
+                skipped = begin + n
+            elif begin < offset + limit:
+                met.append(number)
+            begin += n
+        return self._read().where(F.col(_RANGE).isin(met)).orderBy(*self.order).offset(offset - skipped if met else 0).limit(limit if met else 0).select(*[f"`{c}`" for c in self.columns])
+
+    def drop(self) -> None:
+        delete(self.spark, self.path)
