@@ -39,7 +39,7 @@ _ODD_SPACE = re.compile(rf" [{WHITE}]|[{WHITE}] |\A[{WHITE}]|[{WHITE}]\Z")
 _WHITE = re.compile(rf"[{WHITE}]")
 _ID_BITS = 20
 _NEVER = 1 << 60
-KEPT_UNITS = 1 << 18
+KEPT_UNITS = 1 << 17
 
 
 def byte_alphabet() -> list[str]:

@@ -35,8 +35,8 @@ from tributary.llm.bpe import byte_alphabet
 from tributary.llm.common import Staged, batch
 from tributary.session import staging_path
 
-KEPT_PIECES = 1 << 18
-KEPT_STEMS = 1 << 18
+KEPT_PIECES = 1 << 17
+KEPT_STEMS = 1 << 17
 FILE_TOKENS = 1 << 26
 GROUP_TOKENS = 1 << 21
 ROWS = 512
