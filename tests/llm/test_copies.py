@@ -92,6 +92,33 @@ def test_ties_that_are_too_weak_are_found_by_the_second_filter(table, monkeypatc
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes(table(*texts)).collect()} == plain_classes(list(enumerate(texts)))
 
 
+@pytest.mark.parametrize("n_shards, rows, tokens", [(1, 2048, 1 << 20), (7, 2, 1 << 20), (50, 3, 10)])
+def test_counts_of_shared_shingles_are_those_of_all_pairs(monkeypatch, n_shards, rows, tokens):
+    monkeypatch.setattr(jaccard, "_ROWS", rows)
+    monkeypatch.setattr(jaccard, "_BATCH_TOKENS", tokens)
+    rnd = random.Random(n_shards)
+    pool = [rnd.getrandbits(64) for _ in range(60)]
+    sets = {n: np.unique(np.array([rnd.choice(pool) if n % 3 else rnd.getrandbits(64) for _ in range(rnd.randint(1, 9))], np.uint64)) for n in range(-20, 20)}
+    sets[99] = np.unique(np.array([rnd.getrandbits(64) for _ in range(3000)], np.uint64))  # more than a byte can count
+    for labels in ({n: n for n in sets}, {n: n // 4 for n in sets}):
+        shards = collections.defaultdict(list)
+        for b in jaccard._batched(((n, labels[n], s) for n, s in sets.items()), n_shards):
+            for k in range(b.num_rows):
+                shards[b.column("shard")[k].as_py()].append(b.slice(k, 1))
+        homes = collections.defaultdict(list)
+        for blocks in shards.values():
+            for b in jaccard._count(n_shards)(iter(blocks)):
+                homes[b.column("shard")[0].as_py()].append(b)
+        found = {n for blocks in homes.values() for b in jaccard._enough(iter(blocks)) for n in b.column("node").to_pylist()}
+        others = lambda n: {t for m, s in sets.items() if labels[m] != labels[n] for t in s.tolist()}
+        assert found == {n for n, s in sets.items() if 100 * len(others(n) & set(s.tolist())) >= 75 * len(s)}
+
+
+def test_documents_that_share_nothing(table):
+    texts = ["one two three four five six", "seven eight nine ten eleven twelve", "", None]
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.classes(table(*texts)).collect()} == {0: (2, 0), 1: (2, 1), 2: (0, 2), 3: (0, 3)}
+
+
 def test_trie_links_are_those_of_all_pairs():
     rnd = random.Random(5)
     for _ in range(150):

@@ -4,11 +4,12 @@ Equal sets are one node from the start. Two filters that lose no pair keep the w
 holds at least ``PERCENT`` of its shingles, so
 
 1. only nodes of which that share of the shingles occurs in another node can have a partner. Shingles are counted where
-   they meet, in packed blocks by hash; of one that several nodes of a batch have, only one travels.
+   they meet, in packed blocks by hash, with the places of their nodes in a batch; of one that several nodes of a batch
+   have, only one travels. Counts may be too high (copies in other batches, hashes of 32 bits within a shard), never too low.
 2. The nodes left are put into clusters by strong ties (they share much of a fixed sample of their shingles with the
    least node of a shingle). Each cluster is joined exactly. Then shingles are counted again, now those that occur in
    another cluster: only nodes with that share of them can have a partner outside, and these are joined exactly among
-   themselves, clustered by any shared shingle.
+   themselves, clustered by the shingles that sets must meet in (a prefix of each, in an order common to all).
 
 The join of a cluster stores the sets, in one order of their shingles (most frequent first, then by hash), in a trie
 with compressed paths. A set is carried through it: the overlap with a path is counted once for all sets below; a subtree
@@ -40,13 +41,14 @@ TIE = 0.3
 SAMPLED = 8
 _SHARD_TOKENS = 1 << 20
 _ROWS = 2048
+_BATCH_TOKENS = 1 << 20
 _NODES = pa.schema([("doc_id", pa.int64()), ("doc_key", pa.int64()), ("n", pa.int64()), ("node", pa.int64())])
 _SETS = pa.schema([("node", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())])
-_PACKED = pa.schema([("shard", pa.int32()), *[(n, pa.binary()) for n in ("shingle", "runs", "nodes", "labels", "sizes", "counts")]])
-_PACKED_KIND = "shard int, shingle binary, runs binary, nodes binary, labels binary, sizes binary, counts binary"
-_COUNTS = pa.schema([("shard", pa.int32()), ("nodes", pa.binary()), ("sizes", pa.binary()), ("counts", pa.binary())])
+_PACKED = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), *[(n, pa.binary()) for n in ("shingle", "used", "counts", "nodes", "sizes")]])
+_PACKED_KIND = "shard int, batch long, shingle binary, used binary, counts binary, nodes binary, sizes binary"
+_COUNTS = pa.schema([("shard", pa.int32()), ("batch", pa.int64()), *[(n, pa.binary()) for n in ("used", "counts", "nodes", "sizes")]])
 _CHOSEN = pa.schema([("node", pa.int64()), ("n", pa.int64())])
-_NOBODY = np.uint32(0xFFFFFFFF)
+_NOBODY = np.uint16(0xFFFF)
 
 
 def sets_of(data: np.ndarray, at: np.ndarray, size: int = SHINGLE) -> Iterator[np.ndarray]:
@@ -96,142 +98,159 @@ def sets(texts: DataFrame) -> DataFrame:
 # ---- shingles that others have, too ---------------------------------------------------------------------------
 
 
-def _pack(found: list[tuple[int, int, int, np.ndarray]], n_shards: int) -> Iterator[pa.RecordBatch]:
-    """Blocks by shard of ``node, label, size, shingles``; shingles of several labels are counted here already."""
-    seen: set[int] = set()
-    own = [f for f in found if not (f[0] in seen or seen.add(f[0]))]
-    if not own:
-        return
-    node, label, size = (np.array([f[k] for f in own], np.int64) for k in range(3))
-    tokens = np.concatenate([f[3] for f in own])
-    ref = np.repeat(np.arange(len(own), dtype=np.uint32), [len(f[3]) for f in own])
+def _pack(own: dict[int, tuple[int, np.ndarray]], n_shards: int) -> Iterator[pa.RecordBatch]:
+    """A batch's blocks by shard: shingles, and whose they are by place in the batch. Its table of nodes goes to its home.
+
+    Shingles that several labels of the batch have are counted here already. ``own``: ``label, shingles`` by node. A
+    batch is named by what it holds, so that a task that runs again gives the same names.
+    """
+    node, label = np.array(list(own), np.int64), np.array([label for label, _ in own.values()], np.int64)
+    held = [s for _, s in own.values()]
+    size = np.array([len(s) for s in held], np.int64)
+    name = int(mix(np.bitwise_xor.accumulate(mix(node.view(np.uint64) + np.arange(len(node), dtype=np.uint64)))[-1:]).view(np.int64)[0])
+    tokens, ref = np.concatenate(held), np.repeat(np.arange(len(own), dtype=np.uint16), size)
     order = np.argsort(tokens, kind="stable")
     tokens, ref = tokens[order], ref[order]
     first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
-    group = np.cumsum(first) - 1
     begin = np.flatnonzero(first)
-    shared = np.logical_or.reduceat(label[ref] != label[ref[begin]][group], begin)
-    counted = shared[group]
+    counted = np.logical_or.reduceat(label[ref] != label[ref[begin]][np.cumsum(first) - 1], begin)[np.cumsum(first) - 1]
     counts = np.bincount(ref[counted], minlength=len(own))
     travels = ~counted | first
     tokens, ref = tokens[travels], np.where(counted, _NOBODY, ref)[travels]
     shard = ((tokens & np.uint64(0xFFFFFFFF)) % np.uint64(n_shards)).astype(np.int64)
     order = np.lexsort((ref, shard))  # shingles of nobody come last
     cuts = np.flatnonzero(np.diff(shard[order], prepend=-1))
-    rows: list[tuple] = []
+    labelled = bool((label != node).any())
+    rows: list[tuple] = [(name % n_shards, name, b"", b"", counts.astype(np.uint32).tobytes(), node.tobytes(), size.astype(np.uint32).tobytes())]
     for a, z in zip(cuts, [*cuts[1:], len(order)], strict=True):
         part = order[a:z]
         used, runs = np.unique(ref[part], return_counts=True)
-        real = used[used != _NOBODY]
-        rows.append((int(shard[part[0]]), (tokens[part] >> np.uint64(32)).astype(np.uint32).tobytes(), runs[: len(real)].astype(np.uint32).tobytes(), node[real].tobytes(), label[real].tobytes(), size[real].tobytes(), b""))
-    some = np.flatnonzero(counts)
-    to = (mix(node[some].view(np.uint64)) % np.uint64(n_shards)).astype(np.int64)
-    for k in np.unique(to):
-        part = some[to == k]
-        rows.append((int(k), b"", b"", node[part].tobytes(), label[part].tobytes(), size[part].tobytes(), counts[part].astype(np.int64).tobytes()))
+        real = used != _NOBODY
+        used, runs = used[real], runs[real]
+        rows.append((int(shard[part[0]]), name, (tokens[part] >> np.uint64(32)).astype(np.uint32).tobytes(), used.tobytes(), _narrow(runs), label[used].tobytes() if labelled else b"", b""))
     yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), _PACKED, strict=True)], schema=_PACKED)
 
 
+def _narrow(counts: np.ndarray) -> bytes:
+    """Counts in one byte each where all fit, else in four."""
+    return counts.astype(np.uint8 if counts.max(initial=0) < 256 else np.uint32).tobytes()
+
+
+def _wide(counts: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(counts, np.uint8 if len(counts) == n else np.uint32).astype(np.int64)
+
+
 def _count(n_shards: int):
-    """How many of each node's shingles in a shard are those of another label, too; packed by the node's own shard."""
+    """How many of the shingles in a shard of each place of a batch others have, too; for the batch's home."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = _shared_counts(batches)
-        if not found:
-            return
-        node, size, n = (np.concatenate(x) for x in zip(*found, strict=True))
-        if not len(node):  # nothing in this shard is shared
+        tokens, refs, labels, blocks = [], [], [], []
+        base = 0
+        for b in batches:
+            for shard, name, shingle, used, runs, label, size in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if size:  # the table of a batch: on to where its counts come together
+                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((shard, name, b"", runs, label, size), _COUNTS, strict=True)], schema=_COUNTS)
+                    continue
+                used, shingle = np.frombuffer(used, np.uint16), np.frombuffer(shingle, np.uint32)
+                runs = _wide(runs, len(used))
+                tokens.append(shingle)
+                refs.append(np.repeat(np.append(np.arange(base, base + len(used)), -1), np.append(runs, len(shingle) - runs.sum())))
+                labels.append(np.frombuffer(label, np.int64) if label else np.zeros(len(used), np.int64))
+                blocks.append((name, used, bool(label)))
+                base += len(used)
+        if not base:
             return
-        to = (mix(node.view(np.uint64)) % np.uint64(n_shards)).astype(np.int64)
-        order = np.argsort(to, kind="stable")
-        cuts = np.flatnonzero(np.diff(to[order], prepend=-1))
-        rows = []
-        for a, z in zip(cuts, [*cuts[1:], len(order)], strict=True):
-            part = order[a:z]
-            rows.append((int(to[part[0]]), node[part].tobytes(), size[part].tobytes(), n[part].astype(np.int64).tobytes()))
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), _COUNTS, strict=True)], schema=_COUNTS)
+        token, ref, label = np.concatenate(tokens), np.concatenate(refs), np.concatenate([*labels, [0]])
+        plain = np.append(np.repeat([not named for _, _, named in blocks], [len(used) for _, used, _ in blocks]), True)  # each its own label
+        order = np.argsort(token, kind="stable")
+        token, ref = token[order], ref[order]
+        first = np.concatenate(([True], token[1:] != token[:-1]))
+        begin, group = np.flatnonzero(first), np.cumsum(first) - 1
+        several = np.diff(np.append(begin, len(token)))[group] > 1
+        unlike = np.logical_or.reduceat((ref < 0) | plain[ref] | (label[ref] != label[ref[begin]][group]), begin)[group]
+        found = np.bincount(ref[several & unlike & (ref >= 0)], minlength=base)
+        at = 0
+        for name, used, _ in blocks:
+            own = found[at : at + len(used)]
+            at += len(used)
+            if own.any():
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip((name % n_shards, name, used[own > 0].tobytes(), _narrow(own[own > 0]), b"", b""), _COUNTS, strict=True)], schema=_COUNTS)
 
     return counted
 
 
 def _enough(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Nodes of which enough shingles are shared, from all shards' counts of them."""
-    found = [tuple(np.frombuffer(x, np.int64) for x in row) for b in batches for row in zip(*(b.column(c).to_pylist() for c in ("nodes", "sizes", "counts")), strict=True)]
-    if not found:
-        return
-    node, size, n = (np.concatenate(x) for x in zip(*found, strict=True))
-    own, at, dense = np.unique(node, return_index=True, return_inverse=True)
-    shared = np.zeros(len(own), np.int64)
-    np.add.at(shared, dense, n)
-    keep = 100 * shared >= PERCENT * size[at]
-    yield pa.RecordBatch.from_arrays([pa.array(own[keep]), pa.array(size[at[keep]])], schema=_CHOSEN)
-
-
-def _shared_counts(batches: Iterator[pa.RecordBatch]) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """Nodes, their sizes and how many of their shingles are shared, as found in a shard."""
-    tokens, refs, nodes_, labels, sizes, known = [], [], [], [], [], []
-    base = 0
+    """Nodes of which enough shingles are shared, from all shards' counts of each batch."""
+    tables: dict[int, list[np.ndarray]] = {}
+    waiting: dict[int, list[tuple[bytes, bytes]]] = {}
     for b in batches:
-        for shingle, runs, node, label, size, counts in zip(*(b.column(k).to_pylist() for k in range(1, 7)), strict=True):
-            node = np.frombuffer(node, np.int64)
-            if counts:
-                known.append((node, np.frombuffer(size, np.int64), np.frombuffer(counts, np.int64)))
-                continue
-            runs, shingle = np.frombuffer(runs, np.uint32), np.frombuffer(shingle, np.uint32)
-            tokens.append(shingle)
-            refs.append(np.repeat(np.append(np.arange(base, base + len(node)), -1), np.append(runs, len(shingle) - runs.sum(dtype=np.int64)).astype(np.int64)))
-            nodes_.append(node)
-            labels.append(np.frombuffer(label, np.int64))
-            sizes.append(np.frombuffer(size, np.int64))
-            base += len(node)
-    out = list(known)
-    if tokens:
-        token, ref = np.concatenate(tokens), np.concatenate(refs)
-        node, label, size = np.concatenate([*nodes_, [0]]).astype(np.int64), np.concatenate([*labels, [0]]).astype(np.int64), np.concatenate([*sizes, [0]]).astype(np.int64)
-        order = np.argsort(token, kind="stable")
-        token, ref = token[order], ref[order]
-        first = np.concatenate(([True], token[1:] != token[:-1]))
-        group, begin = np.cumsum(first) - 1, np.flatnonzero(first)
-        shared = np.logical_or.reduceat((ref < 0) | (label[ref] != label[ref[begin]][group]), begin)[group] & (ref >= 0)
-        own, at, dense = np.unique(node[:-1], return_index=True, return_inverse=True)
-        pairs = np.unique(dense[ref[shared]].astype(np.uint64) << np.uint64(32) | token[shared])
-        n = np.bincount((pairs >> np.uint64(32)).astype(np.int64), minlength=len(own))
-        out.append((own[n > 0], size[at[n > 0]], n[n > 0]))
-    return out
+        for name, used, counts, nodes_, sizes in zip(*(b.column(k).to_pylist() for k in range(1, 6)), strict=True):
+            if sizes:
+                tables[name] = [np.frombuffer(nodes_, np.int64), np.frombuffer(sizes, np.uint32), np.frombuffer(counts, np.uint32).astype(np.int64)]
+            else:
+                waiting.setdefault(name, []).append((used, counts))
+    for name, (node, size, shared) in tables.items():
+        for used, counts in waiting.get(name, ()):
+            at = np.frombuffer(used, np.uint16)
+            shared[at] += _wide(counts, len(at))
+        keep = 100 * shared >= PERCENT * size.astype(np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(node[keep]), pa.array(size[keep].astype(np.int64))], schema=_CHOSEN)
 
 
 def _sharing(packed: DataFrame, n_shards: int) -> DataFrame:
-    """``node, n`` of nodes that share enough of their shingles with other labels to have a partner there."""
-    counted = packed.repartition(n_shards, "shard").mapInArrow(_count(n_shards), "shard int, nodes binary, sizes binary, counts binary")
+    """``node, n`` of nodes that share enough of their shingles with other labels to have a partner there.
+
+    Never too few: shingles that only look alike are counted, and so are those of the node's own copy in another batch.
+    """
+    counted = packed.repartition(n_shards, "shard").mapInArrow(_count(n_shards), "shard int, batch long, used binary, counts binary, nodes binary, sizes binary")
     return counted.repartition(n_shards, "shard").mapInArrow(_enough, "node long, n long")
 
 
+def _batched(sets_: Iterator[tuple[int, int, np.ndarray]], n_shards: int) -> Iterator[pa.RecordBatch]:
+    """``node, label, shingles`` in batches of a bounded number of shingles (or one set), copies once a batch."""
+    own: dict[int, tuple[int, np.ndarray]] = {}
+    held = 0
+    for node, label, s in sets_:
+        if len(s) and node not in own:
+            if own and (held + len(s) > _BATCH_TOKENS or len(own) == _ROWS):
+                yield from _pack(own, n_shards)
+                own, held = {}, 0
+            own[node] = (label, s)
+            held += len(s)
+    if own:
+        yield from _pack(own, n_shards)
+
+
 def _pack_texts(n_shards: int):
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
         for b in batches:
-            for k in range(0, b.num_rows, _ROWS):
-                found = [(node_of(s), len(s), s) for _, _, data, at in pieces(*as_bytes(b.column("text").slice(k, _ROWS))) for s in sets_of(data, at) if len(s)]
-                yield from _pack([(node, node, n, s) for node, n, s in found], n_shards)
+            for _, _, data, at in pieces(*as_bytes(b.column("text"))):
+                for s in sets_of(data, at):
+                    node = node_of(s)
+                    yield node, node, s
 
-    return emit
+    return lambda batches: _batched(found(batches), n_shards)
 
 
 def _pack_sets(n_shards: int):
-    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
         for b in batches:
             for k in range(0, b.num_rows, _ROWS):
-                rows = zip(*(b.column(c).slice(k, _ROWS).to_pylist() for c in ("node", "label", "n", "shingles")), strict=True)
-                yield from _pack([(node, label, n, np.frombuffer(s, np.uint64)) for node, label, n, s in rows], n_shards)
+                for node, label, s in zip(*(b.column(c).slice(k, _ROWS).to_pylist() for c in ("node", "label", "shingles")), strict=True):
+                    yield node, label, np.frombuffer(s, np.uint64)
 
-    return emit
+    return lambda batches: _batched(found(batches), n_shards)
 
 
 # ---- clusters -----------------------------------------------------------------------------------------------
 
 
 def _sampled(rate: int):
-    """``shingle, node, of``: of large sets one shingle in ``rate``; ``of`` is how many of the set's there are."""
+    """``shingle, node, of``: of large sets one shingle in ``rate``; ``of`` is how many of the set's there are.
+
+    At rate 1, those by which sets must meet: two sets that reach the share have one of their least
+    ``n - ceil(n * PERCENT / 100) + 1`` in common, whatever the order that all sets agree on (here, of the hashes).
+    """
     kind = pa.schema([("shingle", pa.int64()), ("node", pa.int64()), ("of", pa.int64())])
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -239,7 +258,9 @@ def _sampled(rate: int):
             tokens, node, of = [], [], []
             for own, s in zip(b.column("node").to_pylist(), b.column("shingles").to_pylist(), strict=True):
                 some = np.frombuffer(s, np.uint64)
-                if rate > 1 and len(some) >= 8 * rate:
+                if rate == 1:
+                    some = some[: len(some) + 1 + -PERCENT * len(some) // 100]
+                elif len(some) >= 8 * rate:
                     some = some[some % np.uint64(rate) == 0]
                 tokens.append(some.view(np.int64))
                 node.append(np.full(len(some), own))
@@ -252,9 +273,13 @@ def _sampled(rate: int):
 
 def _tied(found: DataFrame, rate: int, share: float) -> DataFrame:
     """Ties ``a, b`` of nodes to the least node of a shingle, where that holds for ``share`` of their sampled ones."""
-    rows = Staged(found.mapInArrow(_sampled(rate), "shingle long, node long, of long"), "sampled").df
-    hubs = Staged(rows.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("shingle", "hub"), "hubs").df
-    return rows.join(hubs, "shingle").where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("ties"), F.first("of").alias("of")).where(F.col("ties") >= share * F.col("of")).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    rows = Staged(found.mapInArrow(_sampled(rate), "shingle long, node long, of long"), "sampled")
+    hubs = Staged(rows.df.groupBy("shingle").agg(F.min("node").alias("hub"), F.max("node").alias("most")).where("hub < most").select("shingle", "hub"), "hubs")
+    met = rows.df.join(hubs.df, "shingle").where("node <> hub").groupBy("node", "hub").agg(F.count("*").alias("ties"), F.first("of").alias("of"))
+    ties = Staged(met.where(F.col("ties") >= share * F.col("of")).select(F.col("node").alias("a"), F.col("hub").alias("b")), "ties").df
+    rows.drop()
+    hubs.drop()
+    return ties
 
 
 # ---- the exact join of a cluster --------------------------------------------------------------------------------
@@ -393,16 +418,22 @@ def classes(docs: DataFrame) -> DataFrame:
     all_nodes = Staged(nodes(texts), "nodes").df
     total = all_nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     n = parts(spark, total, _SHARD_TOKENS)
-    alike = Staged(_sharing(texts.mapInArrow(_pack_texts(n), _PACKED_KIND), n), "alike").df
-    chosen = all_nodes.join(alike.select("node"), "node").groupBy("node").agg(F.min(F.struct("doc_id", "doc_key")).alias("one")).select("one.*")
+    alike = Staged(_sharing(texts.mapInArrow(_pack_texts(n), _PACKED_KIND), n), "alike")
+    chosen = all_nodes.join(alike.df.select("node"), "node").groupBy("node").agg(F.min(F.struct("doc_id", "doc_key")).alias("one")).select("one.*")
     same = F.col("t.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("t.doc_key") == F.col("c.doc_key"))
-    found = Staged(sets(texts.alias("t").join(chosen.alias("c").hint("merge"), same).select("t.text")), "sets").df
-    inner, marked = _joined(found, _tied(found, SAMPLED, TIE), n)
-    inner, marked = Staged(inner, "inner-links").df, Staged(marked, "marked").df
-    outside = Staged(_sharing(marked.mapInArrow(_pack_sets(n), _PACKED_KIND), n), "outside").df
-    rest = Staged(marked.drop("label").join(outside.select("node"), "node", "left_semi"), "rest").df
-    across, _ = _joined(rest, _tied(rest, 1, 0.0), n)
-    labels = components(inner.unionByName(across))
+    found = Staged(sets(texts.alias("t").join(chosen.alias("c").hint("merge"), same).select("t.text")), "sets")
+    alike.drop()
+    inner, marked = _joined(found.df, _tied(found.df, SAMPLED, TIE), n)
+    inner, marked = Staged(inner, "inner-links"), Staged(marked, "marked")
+    found.drop()
+    outside = Staged(_sharing(marked.df.mapInArrow(_pack_sets(n), _PACKED_KIND), n), "outside")
+    rest = Staged(marked.df.drop("label").join(outside.df.select("node"), "node", "left_semi"), "rest")
+    marked.drop()
+    outside.drop()
+    across, _ = _joined(rest.df, _tied(rest.df, 1, 0.0), n)
+    labels = components(inner.df.unionByName(across))
+    inner.drop()
+    rest.drop()
     named = all_nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = named.where("label IS NOT NULL").groupBy("label").agg(F.min("doc_id").alias("component_id"))
     out = named.join(least, "label", "left")
