@@ -16,20 +16,27 @@ from tributary.session import staging_path
 PAGE = 1000  # rows per landed page
 EVENT_PAGE, EVENT_SET = 100, 5000  # rows per page and per page set of events
 CURSOR_PAGE = 100
+BLOCK = 200  # ids per block of documents
+
+# Lines of documents that one task puts together and writes as one file.
+LINES_PER_TASK = 1_000_000
 
 HOST = "https://api.example.com"
 
 _landed: dict[tuple[str, str, str], str] = {}
 _builders: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_compressed: dict[str, str] = {}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _lands(name: str):
+def _lands(name: str, compression: str = "none"):
+    """Register a set. One with ``compression`` deals its rows out to its own files, for such files are read whole by a task."""
+
     def add(build: Callable[[SparkSession, str], DataFrame]):
-        _builders[name] = build
+        _builders[name], _compressed[name] = build, compression
         return build
 
     return add
@@ -42,7 +49,9 @@ def land(spark: SparkSession, sf_dir: str, name: str) -> str:
         path = staging_path(spark, f"landed-{name}")
         df = _builders[name](spark, sf_dir)
         folders = [c for c in df.columns if c != "value"]
-        (df.repartition(*folders) if folders else df).write.partitionBy(*folders).text(path)
+        dealt = df.repartition(*folders) if folders and _compressed[name] == "none" else df
+        written = dealt.write.partitionBy(*folders).option("zlib.compress.level", "BEST_SPEED")
+        written.text(path, compression=_compressed[name])
         _landed[key] = path
     return _landed[key]
 
@@ -86,6 +95,12 @@ def enveloped(pages: DataFrame, total: int, last_page: int, size: int, url: str)
     )
 
 
+def _tasks(spark: SparkSession, df: DataFrame, rows: int) -> int:
+    """Tasks of about ``rows`` rows each, in whole rounds of all cores."""
+    cores = spark.sparkContext.defaultParallelism
+    return cores * max(1, -(-df.count() // (rows * cores)))
+
+
 def _extent(df: DataFrame, key: str) -> tuple[int, int]:
     row = df.agg(F.count("*").alias("n"), F.max(key).alias("top")).first()
     return row["n"], row["top"] or 0
@@ -94,43 +109,53 @@ def _extent(df: DataFrame, key: str) -> tuple[int, int]:
 # ---- record documents -------------------------------------------------------------------------------
 
 
-@_lands("documents")
-def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One document per order with all its lines as a sublist."""
-    orders = table(spark, sf_dir, "orders")
-    line = F.struct(
-        F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"), "l_partkey", "l_suppkey"
-    )
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag", "l_partkey", "l_suppkey")
-    sublists = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
-    joined = orders.join(sublists, orders.o_orderkey == sublists.l_orderkey, "left")
+def _orders_with_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, int]:
+    """Orders, each with all its ``lines``, and the number of tasks they are dealt out to.
+
+    Lines are dealt out before they are collected, to as many tasks as their number asks for: what a task sorts is bounded
+    in rows, whatever they shrink to in a shuffle.
+    """
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_returnflag")
+    tasks = _tasks(spark, lines, LINES_PER_TASK)
+    line = F.struct(F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("qty"), F.col("l_returnflag").alias("flag"))
+    sublists = lines.repartition(tasks, "l_orderkey").groupBy("l_orderkey").agg(F.array_sort(F.collect_list(line)).alias("lines"))
     none = F.array().cast(sublists.schema["lines"].dataType)
+    orders = table(spark, sf_dir, "orders").repartition(tasks, "o_orderkey")
+    joined = orders.join(sublists, orders.o_orderkey == sublists.l_orderkey, "left").drop("l_orderkey")
+    return joined.withColumn("lines", F.coalesce("lines", none)), tasks
+
+
+def _document() -> Column:
+    """JSON text of an order with its lines."""
     items = F.transform(
-        F.coalesce("lines", none),
+        "lines",
         lambda x: F.struct(self_links("line", x["line"]).alias("links"), x["line"].alias("line"), x["qty"].alias("qty"), x["flag"].alias("flag")),
     )
     key = F.col("o_orderkey")
-    return joined.select(
-        F.to_json(
+    return F.to_json(
+        F.struct(
+            self_links("order", key).alias("links"),
+            key.cast("string").alias("id"),
+            F.col("o_orderstatus").alias("status"),
+            F.col("o_totalprice").alias("total"),
+            F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
             F.struct(
-                self_links("order", key).alias("links"),
-                key.cast("string").alias("id"),
-                F.col("o_orderstatus").alias("status"),
-                F.col("o_totalprice").alias("total"),
-                F.when(F.col("o_orderpriority") != "5-LOW", F.col("o_orderpriority")).alias("priority"),
-                F.struct(
-                    self_links("customer", F.col("o_custkey")).alias("links"),
-                    F.col("o_custkey").alias("id"),
-                    F.concat(F.lit("customer "), F.col("o_custkey")).alias("refName"),
-                ).alias("customer"),
-                F.struct(
-                    self_links("order", key).alias("links"), items.alias("items"), F.size(items).alias("totalResults")
-                ).alias("item"),
-            )
-        ).alias("value")
+                self_links("customer", F.col("o_custkey")).alias("links"),
+                F.col("o_custkey").alias("id"),
+                F.concat(F.lit("customer "), F.col("o_custkey")).alias("refName"),
+            ).alias("customer"),
+            F.struct(self_links("order", key).alias("links"), items.alias("items"), F.size("lines").alias("totalResults")).alias("item"),
+        )
     )
 
 
+@_lands("documents", compression="gzip")
+def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One document per order with all its lines as a sublist."""
+    orders, _ = _orders_with_lines(spark, sf_dir)
+    return orders.select(_document().alias("value"))
+
+
 @_lands("collection")
 def order_collection(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Id-only collection pages. Low-priority orders come without an id, as whole items."""
@@ -169,12 +194,15 @@ def sql_page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.select("value", F.from_json("value", "offset bigint")["offset"].alias("page_offset"))
 
 
-@_lands("document_blocks")
+@_lands("document_blocks", compression="gzip")
 def document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order documents in blocks of ids, as something a document can be fetched from."""
-    documents = spark.read.text(land(spark, sf_dir, "documents"))
-    number = F.from_json("value", "id string")["id"].cast("bigint")
-    return documents.select("value", F.floor(number / 200).alias("block"))
+    """Order documents in blocks of ids, as something a document can be fetched from.
+
+    Orders meet in their block before they are written as text, so no text is shuffled or sorted.
+    """
+    orders, tasks = _orders_with_lines(spark, sf_dir)
+    blocks = orders.withColumn("block", F.floor(F.col("o_orderkey") / BLOCK)).repartition(tasks, "block").sortWithinPartitions("block")
+    return blocks.select(_document().alias("value"), "block")
 
 
 # ---- faulty page sets -------------------------------------------------------------------------------
