@@ -4,7 +4,8 @@ A load never touches files readers may be using. It writes a new version folder,
 as one small file naming the folders that hold the table. An upsert writes its own rows only, as a delta that
 readers merge over the base: its cost follows the batch, not the table. When the deltas hold more than a share of
 the base, or are many, the load that finds them so writes the merged table anew; so on the whole every
-row is rewritten a bounded number of times, however many loads there are.
+row is rewritten a bounded number of times, however many loads there are. Deltas that bring new keys only are put beside the
+files of the base, which stay as they are.
 
 Tables that ``write_tables`` loads belong together: a commit of their folder names the version of each, and is written
 when all of them are. Readers and later loads go by it, so a load that dies between two tables is as if it had not begun.
@@ -123,14 +124,20 @@ def read_table(spark: SparkSession, path: str, parts: Sequence[int] | None = Non
 
 
 def _read_commit(spark: SparkSession, path: str, commit: dict, parts: Sequence[int] | None = None) -> DataFrame:
+    base, changed = _base_and_changes(spark, path, commit, parts)
+    return base if changed is None else without_keys(base, changed, commit["primary_key"]).unionByName(changed)
+
+
+def _base_and_changes(spark: SparkSession, path: str, commit: dict, parts: Sequence[int] | None = None) -> tuple[DataFrame, DataFrame | None]:
+    """Rows of the base, and the last row of each key in the deltas, both with the columns of the commit."""
     schema = T.StructType.fromJson(commit["schema"])
     types = {f.name: f.dataType for f in schema.fields}
     own = T.StructType.fromJson(commit.get("base_schema", commit["schema"]))
-    folders = [f for p, f in commit["parts"].items() if parts is None or int(p) in parts]
+    folders = [f for p in commit["parts"] if parts is None or int(p) in parts for f in _part_folders(commit["parts"], p)]
     base = spark.read.schema(own).parquet(*[f"{path}/{f}" for f in folders]) if folders else spark.createDataFrame([], own)
     base = conform(base, types)
     if not commit.get("deltas"):
-        return base
+        return base, None
     key = commit["primary_key"]
     rows = [
         conform(spark.read.schema(T.StructType.fromJson(d["schema"])).parquet(f"{path}/{d['folder']}"), types).withColumn(PART, F.lit(k))
@@ -140,7 +147,13 @@ def _read_commit(spark: SparkSession, path: str, commit: dict, parts: Sequence[i
     changed = changed.drop(PART) if len(rows) == 1 else latest_rows(changed, key, (PART,))
     if parts is not None:
         changed = changed.where(_part_column(key, commit["n_parts"]).isin(list(parts)))
-    return without_keys(base, changed, key).unionByName(changed)
+    return base, changed
+
+
+def _part_folders(parts: Mapping[str, str | list[str]], part: str) -> list[str]:
+    """Folders of a part: one, or several when deltas were put beside it."""
+    found = parts.get(part, [])
+    return [found] if isinstance(found, str) else found
 
 
 def _part_column(primary_key: Sequence[str], parts: int) -> Column:
@@ -154,8 +167,8 @@ def _key_text(name: str) -> Column:
     return F.regexp_replace(F.coalesce(F.col(f"`{name}`").cast("string"), F.lit("\u0000")), r"\.0$", "")
 
 
-def _commit(df: DataFrame, path: str, kept: Mapping[str, str], info: dict, base: dict | None, publish: bool) -> dict:
-    """Write the parts of ``df`` as files of a new version and record the commit."""
+def _commit(df: DataFrame, path: str, kept: Mapping[str, str | list[str]], info: dict, base: dict | None, publish: bool) -> dict:
+    """Write the parts of ``df`` as files of a new version, beside the parts that are ``kept``, and record the commit."""
     spark = df.sparkSession
     version = _next_version(spark, path)
     # The folder name carries a random part: a load that died half way never mixes with its rerun.
@@ -164,9 +177,13 @@ def _commit(df: DataFrame, path: str, kept: Mapping[str, str], info: dict, base:
     rows = df.hint("rebalance", PART) if info["n_parts"] > 1 else df
     rows.write.partitionBy(PART).parquet(f"{path}/{folder}")
     written = [n for n in list_names(spark, f"{path}/{folder}") if n.startswith(f"{PART}=")]
-    parts = dict(kept) | {n.split("=", 1)[1]: f"{folder}/{n}" for n in written}
+    parts = dict(kept)
+    for name in written:
+        part = name.split("=", 1)[1]
+        beside = _part_folders(kept, part)
+        parts[part] = [*beside, f"{folder}/{name}"] if beside else f"{folder}/{name}"
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in df.schema.fields if f.name != PART])
-    n_rows = spark.read.parquet(*[f"{path}/{f}" for f in parts.values()]).count() if parts else 0
+    n_rows = spark.read.parquet(*[f"{path}/{f}" for p in parts for f in _part_folders(parts, p)]).count() if parts else 0
     commit = {"version": version, "schema": schema.jsonValue(), "parts": parts, "base_rows": n_rows, "deltas": [], **info}
     return _record(spark, path, commit, base, publish)
 
@@ -268,8 +285,13 @@ def write_upsert(
         }
         if sum(d["rows"] for d in deltas) <= DELTA_SHARE * commit.get("base_rows", 0) and len(deltas) <= MOST_DELTAS:
             return _record(spark, path, merged, commit, publish)
-        rows = _read_commit(spark, path, merged).withColumn(PART, _part_column(spec.primary_key, commit["n_parts"]))
-        done = _commit(rows, path, {}, {k: merged[k] for k in ("n_parts", "primary_key", "load_id", "loads", "profile")}, commit, publish)
+        base, changed = _base_and_changes(spark, path, merged)
+        keys = [F.col(f"`{k}`") for k in spec.primary_key]
+        # Only keys travel here; where all of them are new, the base need not be written again.
+        added = merged["base_schema"] == merged["schema"] and base.select(*keys).intersect(changed.select(*keys)).isEmpty()
+        rows = changed if added else without_keys(base, changed, spec.primary_key).unionByName(changed)
+        rows = rows.withColumn(PART, _part_column(spec.primary_key, commit["n_parts"]))
+        done = _commit(rows, path, commit["parts"] if added else {}, {k: merged[k] for k in ("n_parts", "primary_key", "load_id", "loads", "profile")}, commit, publish)
         delete(spark, f"{path}/{folder}")
         return done
 
@@ -294,7 +316,7 @@ def compact(spark: SparkSession, path: str) -> dict:
 
 
 def _folders(commit: dict) -> set[str]:
-    return {*commit["parts"].values(), *(d["folder"] for d in commit.get("deltas", []))}
+    return {*(f for p in commit["parts"] for f in _part_folders(commit["parts"], p)), *(d["folder"] for d in commit.get("deltas", []))}
 
 
 def expire_versions(spark: SparkSession, path: str, keep: int = 2) -> list[str]:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tributary.operators.infer import collect_profile, merge_profiles, profile, to_columns
+from tributary.operators.infer import collect_profile, merge_profiles, profile, profile_of_text, profile_text, to_columns
 from tributary.operators.merge import BATCH_ORDER
 from tributary.session import stage, staging_scope
 from tributary.sinks.tables import table_profile, write_upsert
@@ -71,7 +71,8 @@ def stream_documents(
         spark = batch.sparkSession
         with staging_scope(spark):
             rows = stage(documents(batch).select("page_no", "ordinal", "raw"), "batch").withColumn("doc", F.parse_json("raw"))
-            own, known = profile(rows), table_profile(spark, table_path)
+            # Kept as text, so that the columns and the commit go by one pass over the batch.
+            own, known = profile_of_text(spark, profile_text(profile(rows))), table_profile(spark, table_path)
             found = collect_profile(own if known is None else merge_profiles(known, own))
             if not found.n_rows:
                 return
