@@ -30,6 +30,7 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 AS_OF = date(2000, 5, 17)
+LONG_DOCUMENT = 60_000  # lines of a long record in one document
 
 
 def query(oracle: str | None = None, name: str = ""):
@@ -834,14 +835,18 @@ def strip_links_deep(spark, d):
     FROM n GROUP BY record, place % 6000
 """)
 def child_upsert_long(spark, d):
-    """Records of many lines that repeat their keys: the last line of each key is kept."""
+    """Records of many lines that repeat their keys: the last line of each key is kept.
+
+    A record comes in documents of so many lines, as later documents of a record replace what earlier ones brought: a row
+    stays of one size, however many lines there are.
+    """
     at = F.row_number().over(Window.partitionBy("record").orderBy("l_orderkey", "l_linenumber")) - 1
     lines = table(spark, d, "lineitem").withColumn("record", F.col("l_partkey") % 50).withColumn("at", at)
     line = F.struct("at", (F.col("at") % 6000).alias("line"), F.col("at").alias("seen"))
     items = F.transform(F.array_sort(F.collect_list(line)), lambda x: F.struct(x["line"].alias("line"), x["seen"].alias("seen")))
-    docs = lines.groupBy("record").agg(items.alias("items"))
+    docs = lines.groupBy("record", F.floor(F.col("at") / LONG_DOCUMENT).alias("document")).agg(items.alias("items"))
     raw = F.to_json(F.struct(F.col("record").cast("string").alias("id"), F.struct("items").alias("item")))
-    landed = docs.select(F.col("record").alias("ordinal"), F.lit(0).alias("page_no"), raw.alias("raw"))
+    landed = docs.select((F.col("document") * 50 + F.col("record")).alias("ordinal"), F.lit(0).alias("page_no"), raw.alias("raw"))
     found = extract.extract_records(landed, record_type="long", primary_key=["id"], child_tables=True, incremental=True, keep_order=True)
     folder = staging_path(spark, "long")
     tables.write_tables(found, folder)
