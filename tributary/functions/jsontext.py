@@ -162,7 +162,8 @@ def is_object(value: Column, path: str = "$") -> Column:
 
 
 def is_array(value: Column, path: str = "$") -> Column:
-    return get(value, path, "array<variant>").isNotNull()
+    # Elements without members: nothing of them is copied.
+    return get(value, path, "array<struct<>>").isNotNull()
 
 
 def all_objects(array: Column) -> Column:
@@ -170,10 +171,15 @@ def all_objects(array: Column) -> Column:
     return F.forall(array, lambda item: is_object(item))
 
 
+def is_object_list(value: Column) -> Column:
+    """A non-empty array of objects only."""
+    # What is not an object is NULL among the elements and sorts first. No lambda, which would end code generation.
+    return F.get(F.sort_array(get(value, "$", "array<struct<>>")), F.lit(0)).isNotNull()
+
+
 def is_sublist(value: Column) -> Column:
     """An object whose ``items`` is an array, or a non-empty array of objects only."""
-    array = get(value, "$", "array<variant>")
-    return is_array(value, path_of("items")) | F.coalesce((F.size(array) > 0) & all_objects(array), F.lit(False))
+    return is_array(value, path_of("items")) | is_object_list(value)
 
 
 def is_falsy(value: Column) -> Column:

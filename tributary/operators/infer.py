@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import ExtractError
-from tributary.functions.jsontext import get, is_sublist, path_of
+from tributary.functions.jsontext import get, is_array, is_object, is_sublist, path_of
 from tributary.spec import SPARK_TYPE
 
 # Fixed value: rows looked at when a bounded sample is asked for.
@@ -64,19 +64,20 @@ def profile(documents: DataFrame, *, sample: int | None = None) -> DataFrame:
         (F.col("member.pos") == 0).alias("leads"),
         F.col("ordinal").alias("seen"),
         F.array_position("keys", F.col("member.key")).alias("position"),
-        F.schema_of_variant("member.value").alias("kind"),
         F.col("member.value").alias("value"),
+        (is_object(F.col("member.value")) | is_array(F.col("member.value"))).alias("container"),
     )
-    # The kind is a column of its own, so that it is computed once; only containers are looked into.
-    container = F.col("kind").startswith("OBJECT") | F.col("kind").startswith("ARRAY")
+    # Only containers are looked into, and only scalars are asked for their schema: that of a container is put together
+    # from all that is in it.
+    kind = F.when(F.col("container"), "OBJECT").otherwise(F.schema_of_variant("value"))
     members = described.select(
         "column",
         "leads",
         "seen",
         "position",
-        F.coalesce(F.when(container, is_sublist(F.col("value"))), F.lit(False)).alias("sublist"),
-        kind_type(F.col("kind")).alias("type"),
-    )
+        F.when(F.col("container"), is_sublist(F.col("value"))).otherwise(F.lit(False)).alias("sublist"),
+        kind.alias("kind"),
+    ).withColumn("type", kind_type(F.col("kind")))
     seen, kind, sublist = F.col("seen"), F.col("type"), F.col("sublist")
     firsts = [F.min(F.when(kind == t, seen)).alias(f"first_{t}") for t in _SCALARS]
     return members.groupBy("column").agg(

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tributary.errors import ExtractError
-from tributary.functions.jsontext import drop_followed_members, drop_last_members, get, is_array, is_object, is_sublist, path_of
+from tributary.functions.jsontext import drop_followed_members, drop_last_members, get, is_array, is_object, is_object_list, is_sublist, path_of
 from tributary.operators.infer import ColumnInfo, Profile, to_columns
 from tributary.spec import SPARK_TYPE
 
@@ -140,18 +140,30 @@ def sublist_items(documents: DataFrame, sublists: Sequence[str], keep: Sequence[
     One text parse serves all sublists. NULL where the value is not a sublist.
     """
     schema = T.StructType([T.StructField(name, T.StringType()) for name in sublists])
+    # Values are columns of their own, so that each is looked up once.
+    values = [get("doc", path_of(name)).alias(f"value_{i}") for i, name in enumerate(sublists)]
     texts = documents.select(
-        *keep, "ordinal", "doc", get("doc", "$.id", "string").alias("parent_id"), F.from_json("raw", schema).alias("texts")
+        *keep, "ordinal", get("doc", "$.id", "string").alias("parent_id"), F.from_json("raw", schema).alias("texts"), *values
     )
     columns = []
     for i, name in enumerate(sublists):
-        value, text = get("doc", path_of(name)), F.col("texts").getField(name)
+        value, text = F.col(f"value_{i}"), F.col("texts").getField(name)
         wrapped = F.from_json(text, "items array<string>")["items"]
-        items = F.when(is_array(value, path_of("items")), wrapped).otherwise(F.from_json(text, "array<string>"))
-        columns.append(F.when(is_sublist(value), items).alias(f"items_{i}"))
+        items = F.when(is_array(value, path_of("items")), wrapped).when(is_object_list(value), F.from_json(text, "array<string>"))
+        columns.append(items.alias(f"items_{i}"))
     return texts.select(*keep, "ordinal", "parent_id", *columns)
 
 
+def narrow_ordinals(items: DataFrame, lines: DataFrame) -> DataFrame:
+    """Lines of ``items`` with 64-bit ordinals, in the same order, where all of them fit. Smaller to compare than decimals."""
+    if items.schema["ordinal"].dataType != T.LongType():
+        return lines
+    low, high = items.agg(F.min("ordinal"), F.max("ordinal")).first()
+    if low is None or low < -MOST_LINES or high >= MOST_LINES:
+        return lines
+    return lines.withColumn("ordinal", F.col("ordinal").cast("bigint"))
+
+
 def child_documents(items: DataFrame, position: int) -> DataFrame:
     """One row per line of the sublist at that position: ``ordinal, line_no, parent_id, raw, doc``.
 

@@ -24,7 +24,7 @@ from tributary.operators.keys import (
     require_table_name,
 )
 from tributary.operators.resolve import resolve_details
-from tributary.operators.shape import child_documents, child_rows, flatten, parent_rows, parsed, split_keys, sublist_items
+from tributary.operators.shape import child_documents, child_rows, flatten, narrow_ordinals, parent_rows, parsed, split_keys, sublist_items
 from tributary.plans.sqlmode import run_query
 from tributary.session import stage
 from tributary.sinks.tables import zero_row_table
@@ -95,7 +95,7 @@ def extract_records(
     items = stage(sublist_items(documents, sublists), "sublists")
     for position, sublist in enumerate(sublists):
         lines = child_documents(items, position)
-        line_profile = collect_profile(profile(lines))
+        line_profile = collect_profile(profile(narrow_ordinals(items, lines)))
         if not line_profile.n_rows:
             continue
         key = child_primary_key(line_profile, sublist, incremental)
