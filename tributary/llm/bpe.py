@@ -31,6 +31,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tributary.llm.common import holds
+
 # White space of Unicode, the pattern that splits text before merging, and the bits of an id in a pair.
 WHITE = r"\t-\r \x85\xa0  -     　"
 SPLIT = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{WHITE}\p{{L}}\p{{N}}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
@@ -190,6 +192,7 @@ def encode(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: s
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = load(path)
+        holds(load.cache_clear)
         for b in batches:
             for k in range(0, b.num_rows, ROWS):
                 part = b.slice(k, ROWS)
@@ -204,6 +207,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, begins = load(path).table
+        holds(load.cache_clear)
         sizes = np.diff(begins)
         for b in batches:
             for k in range(0, b.num_rows, ROWS):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tributary.llm.common import LOWER, Rolling, Staged, as_bytes, mix, parts, pieces, windows, word_spans
+from tributary.llm.common import LOWER, Rolling, Staged, as_bytes, give_up, mix, parts, pieces, windows, word_spans
 from tributary.llm.components import components
 
 SHINGLE = 5
@@ -223,6 +223,7 @@ def _batched(sets_: Iterator[tuple[int, int, np.ndarray]], n_shards: int) -> Ite
 
 def _pack_texts(n_shards: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+        give_up()
         for b in batches:
             for _, _, data, at in pieces(*as_bytes(b.column("text"))):
                 for s in sets_of(data, at):
@@ -234,6 +235,7 @@ def _pack_texts(n_shards: int):
 
 def _pack_sets(n_shards: int):
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, np.ndarray]]:
+        give_up()
         for b in batches:
             for k in range(0, b.num_rows, _ROWS):
                 for node, label, s in zip(*(b.column(c).slice(k, _ROWS).to_pylist() for c in ("node", "label", "shingles")), strict=True):

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tributary.llm.common import BLANKS, Rolling, as_bytes, batch, mix, pieces, rows_of, windows, word_spans
+from tributary.llm.common import BLANKS, Rolling, as_bytes, batch, give_up, mix, pieces, rows_of, windows, word_spans
 
 BUCKETS = 1 << 14
 MIN_SCORE = -0.05
@@ -51,6 +51,7 @@ def gram_counts(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) ->
     marked = docs.select("doc_id", "text").where("length(text) > 0").join(marks.hint("merge"), "doc_id", "left").select("text", F.coalesce("is_trusted", F.lit(False)).alias("is_trusted"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_up()
         total = np.zeros((2, buckets), np.int64)
         for b in batches:
             trusts = b.column("is_trusted").to_numpy(zero_copy_only=False).astype(bool)
@@ -128,6 +129,7 @@ def _scored(docs: DataFrame, ratio: np.ndarray) -> DataFrame:
     kinds = StructType([*docs.select(*names).schema.fields, *StructType.fromDDL("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_grams long, score double").fields])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_up()
         for b in batches:
             for row, end, data, at in pieces(*as_bytes(b.column("text"))):
                 rolling = Rolling(data)

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tributary.llm.common import Rolling, Staged, as_bytes, mix, packed, parts, pieces, unpacked
+from tributary.llm.common import Rolling, Staged, as_bytes, give_up, mix, packed, parts, pieces, unpacked
 
 LENGTH = 200
 ANCHOR = 64
@@ -102,6 +102,7 @@ def _emit(n_shards: int):
     """Anchors of each batch of documents, packed by the shard of their hash."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_up()
         for b in batches:
             ids, keys = b.column("doc_id"), b.column("doc_key").to_numpy()
             parts_ = []
@@ -134,6 +135,7 @@ def _take_ids(ids: pa.Array, rows: bytes) -> list:
 
 def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Anchors that aren't alone: settled ones with all their strings' starts, and contexts whose bytes are wanted."""
+    give_up()
     columns: dict[str, list[np.ndarray]] = {n: [] for n in ("anchor", "context", "flag", "pos", "size", "key", "id")}
     kinds = {"anchor": np.uint64, "context": np.uint64, "flag": np.uint8, "pos": np.int64}
     for b in batches:
