@@ -24,6 +24,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field, fields
 from functools import lru_cache, reduce
@@ -90,6 +91,9 @@ class Tokenizers:
         self.spelt_a = _Table(spelt)
         self.spelt_b = _Table([bytes([int(p[1:-1], 16)]) if self.b.is_byte(k) else p.replace(_SPACE, " ").encode() for k, p in enumerate(pieces)])
         self.most_b = len(pieces)
+        # A space and ASCII letters are one piece of the first tokenizer's pattern, which its model may be asked for at once
+        # if no added token is part of such.
+        self.direct = not any(t.content.strip().isalpha() for t in self.a.get_added_tokens_decoder().values())
         self.kept: dict[str, bytes] = {}
 
     def _ids_a(self, texts: list[str]) -> list[np.ndarray]:
@@ -98,7 +102,11 @@ class Tokenizers:
         own = set().union(*cut)
         known = {u: self.kept[u] for u in own & self.kept.keys()}
         new = list(own.difference(known))
-        known.update((u, np.array(e.ids, np.int64).tobytes()) for u, e in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False), strict=True))
+        words = [u for u in new if self.direct and u[1:].isalpha() and u.isascii() and u[0] == " "]
+        tokenize = self.a.model.tokenize
+        known.update((u, array("q", [t.id for t in tokenize("\u0120" + u[1:])]).tobytes()) for u in words)
+        others = list(set(new).difference(words))
+        known.update((u, array("q", e.ids).tobytes()) for u, e in zip(others, self.a.encode_batch_fast(others, add_special_tokens=False), strict=True))
         if len(self.kept) > KEPT_UNITS:
             self.kept = {}
         self.kept.update((u, ids) for u, ids in known.items() if len(u) <= KEPT_SIZE)
