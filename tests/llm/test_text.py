@@ -220,6 +220,23 @@ def test_features_are_distinct_ngrams():
     assert found[: first[1]].tolist() == found[first[2] : first[3]].tolist()
 
 
+def test_features_are_told_apart_by_sorting(monkeypatch):
+    """numpy's hash table of a million numbers takes many times as long as sorting them, so features never go by it."""
+    plain, by_hash = np.unique, []
+
+    def unique(ar, *args, **kwargs):
+        if not (args or any(kwargs.values())):
+            by_hash.append(len(ar))
+        return plain(ar, *args, **kwargs)
+
+    monkeypatch.setattr(np, "unique", unique)
+    data, at = common.as_bytes(pa.array(["ab ab", "", "ab ab", "c"]))
+    classifier.features(data, at, 1 << 17)
+    assert not by_hash
+    values = np.random.default_rng(5).integers(0, 50, 1000)
+    assert common.distinct(values.copy()).tolist() == sorted(set(values.tolist())) and not len(common.distinct(np.zeros(0, np.int64)))
+
+
 def test_classifier_tells_classes_apart_and_never_sees_the_rest(table, spark):
     rnd = random.Random(8)
     texts = [" ".join(rnd.choice("gut fein klar".split() if k % 2 else "mies*** öde!! xx".split()) for _ in range(rnd.randint(1, 30))) for k in range(300)]

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tributary.llm.common import Rolling, as_bytes, batch, mix, pieces, rows_of, windows, word_spans
+from tributary.llm.common import Rolling, as_bytes, batch, distinct, mix, pieces, rows_of, windows, word_spans
 
 COLUMNS = 1 << 17
 SAMPLE = 12_000
@@ -55,12 +55,12 @@ def features(data: np.ndarray, at: np.ndarray, columns: int = COLUMNS) -> tuple[
     rows = [rows_of(first), rows_of(pair_first), row[inside]]
     n_words = np.diff(first)
     keyed = np.unique(mix(words + mix(rows[0].astype(np.uint64) + np.uint64(1))), return_index=True)[1]
-    distinct = np.bincount(rows[0][keyed], minlength=n_rows)
+    n_distinct = np.bincount(rows[0][keyed], minlength=n_rows)
     some = np.flatnonzero(n_words)
-    tenths = (10 * distinct[some] // n_words[some]).astype(np.uint64)
+    tenths = (10 * n_distinct[some] // n_words[some]).astype(np.uint64)
     hashes.append(mix(tenths ^ np.uint64(4 << 32)))
     rows.append(some)
-    keys = np.unique(np.concatenate(rows) * columns + (np.concatenate(hashes) % np.uint64(columns)).astype(np.int64))
+    keys = distinct(np.concatenate(rows) * columns + (np.concatenate(hashes) % np.uint64(columns)).astype(np.int64))
     return keys % columns, np.searchsorted(keys, np.arange(n_rows + 1) * columns)
 
 
