@@ -210,6 +210,22 @@ def test_token_files(table, spark, encoding):
     assert token_files.write(table().limit(0), WORD, 2, token_files.new_folder(spark)).count() == 0
 
 
+def test_token_files_look_up_distinct_pieces_only():
+    """Ids are the library's for words with marks behind them, letters of a newer Unicode among them, and a frequent piece is looked up once a chunk."""
+    texts = ["One, two; THREE!!! \u00c9t\u00e9... x\u0301### \u1c89### \u1c89 ***", "it's one. ONE ONE#$% <|endoftext|> a<|endoftext|>!! 3.5%% \u4e2d\u6587, \u1112\u1161.", "", None, " \n ", "A" * 300 + "??"] + ["word, " * 20_000]
+    pieces, asked, looked_up = token_files.Pieces(WORD), [], []
+    inner, ids_of = pieces._asked, pieces._ids
+    pieces._asked = lambda stems: asked.extend(stems) or inner(stems)
+    pieces._ids = lambda stems: looked_up.append(len(stems)) or ids_of(stems)
+    library = Tokenizer.from_file(WORD)
+    wanted = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        ids, sizes = pieces.encode(pa.array(["left out", *texts], kind).slice(1))
+        assert sizes.tolist() == [len(w) for w in wanted] and ids.tolist() == [i for w in wanted for i in w]
+    assert len(asked) == len(set(asked)) < 40 and max(looked_up) < 40
+    assert {"one", "word", "#$%", ""} <= set(asked) and not {"One,", "ONE#$%", "word,"} & set(asked)
+
+
 # ---- models --------------------------------------------------------------------------------------------------
 
 

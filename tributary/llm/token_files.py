@@ -10,7 +10,8 @@ the metadata alone, without reading ids.
 Null and empty texts have only the end id. Documents with equal ids stand together, ordered by their text; null ids come
 first. An empty table gives no files and no rows. Columns beside id and text are not read. Ids are those of the
 tokenizers library: its normaliser and pattern never join what a plain space parts, so it is asked once for each piece
-between spaces, and its answers are kept in a table of bounded size.
+between spaces, and its answers are kept in a table of bounded size. Texts are cut in chunks: Arrow names the distinct
+pieces of a chunk, only these are looked up, and array arithmetic puts the texts' ids together.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
 from pyspark import TaskContext
@@ -32,14 +33,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tributary.llm.bpe import byte_alphabet
-from tributary.llm.common import Staged, batch
+from tributary.llm.common import Staged, as_bytes, batch, pieces
 from tributary.session import staging_path
 
-KEPT_PIECES = 1 << 17
 KEPT_STEMS = 1 << 17
 FILE_TOKENS = 1 << 26
 GROUP_TOKENS = 1 << 21
 ROWS = 512
+CHUNK_BYTES = 4 << 20  # of text that is cut at once, or one row
+_MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"  # fixed value: ASCII's marks
 _ALPHABET = byte_alphabet()
 FILES = pa.schema([("part", pa.int32()), ("number", pa.int32()), ("path", pa.string()), ("first_id", pa.int64()), ("last_id", pa.int64()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
 ROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int32()), ("ids", pa.list_(pa.int32()))])
@@ -48,7 +50,7 @@ ROW = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.
 class Pieces:
     """Ids of the pieces between spaces and line ends, as the library gives them.
 
-    A word with a full stop or comma behind it is asked for without it, and ASCII in lower case, as the library's
+    A word with ASCII's marks behind it is asked for without them, and ASCII in lower case, as the library's
     normaliser and pattern would have it, so that fewer pieces are new.
     """
 
@@ -60,15 +62,13 @@ class Pieces:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.kept: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
-        self.tails = {"": b"", **self._asked([".", ","])}
 
     def _asked(self, stems: list[str]) -> dict[str, bytes]:
         """Ids of stems. A word of Latin letters is its normal form in lower case and isn't cut, so the model gets it at once."""
         tokenize, found, others = self.tokenizer.model.tokenize, {}, []
         for stem in stems:
-            if stem.isalpha() and max(stem) < "\u0100":
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0100"):
                 word = stem.lower()
                 found[stem] = array("i", [t.id for t in tokenize(word if word.isascii() else "".join([_ALPHABET[c] for c in word.encode()]))]).tobytes()
             else:
@@ -77,25 +77,52 @@ class Pieces:
             found[stem] = array("i", answer.ids).tobytes()
         return found
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.stems) > KEPT_STEMS:
-            self.old, self.stems = self.stems, {}
-        parts = []
-        own = set(chain.from_iterable(cut))
-        for piece in own.difference(self.kept):
-            stem, tail = (piece[:-1], piece[-1]) if piece[-1:] in (".", ",") and piece[:-1].isalpha() else (piece, "")
-            parts.append((piece, stem.lower() if stem.isascii() and stem.isalpha() else stem, tail))
-        stems, old = self.stems, self.old
-        new = {s for _, s, _ in parts}.difference(stems)
-        stems.update((s, old[s]) for s in new & old.keys())
-        stems.update(self._asked(list(new - old.keys())))
-        kept, tails = self.kept, self.tails
-        kept.update((piece, stems[stem] + tails[tail]) for piece, stem, tail in parts)
-        out = [b"".join([kept[p] for p in pieces]) for pieces in cut]
-        if len(kept) > KEPT_PIECES:  # frequent ones are among the last
-            self.kept = {p: kept[p] for p in own}
-        return out
+    def _ids(self, stems: list[str]) -> list[bytes]:
+        """Ids of distinct stems."""
+        if len(self.kept) > KEPT_STEMS:
+            self.old, self.kept = self.kept, {}
+        kept, old = self.kept, self.old
+        new = [s for s in stems if s not in kept]
+        kept.update((s, old[s]) for s in new if s in old)
+        kept.update(self._asked([s for s in new if s not in old]))
+        return [kept[s] for s in stems]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after another, and how many each has."""
+        cut = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+        named = cut.flatten().dictionary_encode()
+        stems = pa.concat_arrays(_stems_and_tails(named.dictionary)).dictionary_encode()
+        ids = self._ids(_strings(stems.dictionary))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        first = np.cumsum(size) - size
+        both = stems.indices.to_numpy().reshape(2, -1).T[named.indices.to_numpy()].ravel()
+        n = size[both]
+        ends = np.cumsum(n)
+        found = np.frombuffer(b"".join(ids), "<i4")[np.repeat(first[both] - (ends - n), n) + np.arange(ends[-1])]
+        bounds = cut.offsets.to_numpy()
+        return found, np.diff(np.concatenate(([0], ends))[2 * (bounds - bounds[0])])
+
+
+def _strings(pieces_: pa.Array) -> list[str]:
+    """Python's strings of pieces, which have no space: faster at once than one by one."""
+    if not len(pieces_):
+        return []
+    whole = pa.LargeListArray.from_arrays(pa.array([0, len(pieces_)], pa.int64()), pieces_)
+    return pc.binary_join(whole, pa.scalar(" ", pieces_.type))[0].as_py().split(" ")
+
+
+def _stems_and_tails(whole: pa.Array) -> list[pa.Array]:
+    """Words without ASCII's marks behind them, ASCII in lower case, and these marks. Other pieces are stems as they are."""
+    stem = pc.utf8_rtrim(whole, characters=_MARKS)
+    plain, is_word = pc.string_is_ascii(stem), pc.utf8_is_alpha(stem).to_numpy(zero_copy_only=False)
+    others = np.flatnonzero(is_word & ~plain.to_numpy(zero_copy_only=False))  # letters that only a newer Unicode has are none to the library
+    is_word[others] = [w.isalpha() for w in _strings(stem.take(pa.array(others)))]
+    data, at = as_bytes(whole)
+    size = np.where(is_word, np.diff(at) - pc.binary_length(stem).to_numpy(), 0)
+    ends = np.cumsum(size)
+    marks = data[np.repeat(at[1:] - ends, size) + np.arange(ends[-1])]
+    tail = pa.LargeStringArray.from_buffers(len(whole), pa.py_buffer(np.concatenate(([0], ends))), pa.py_buffer(marks)).cast(whole.type)
+    return [pc.if_else(pa.array(is_word), pc.if_else(plain, pc.ascii_lower(stem), stem), whole), tail]
 
 
 @lru_cache(maxsize=2)
@@ -120,14 +147,13 @@ class _Writer:
         self.part = TaskContext.get().partitionId()
         self.writer = None
 
-    def write(self, ids: pa.Array, tokens: list[bytes]) -> None:
-        sizes = np.array([len(t) // 4 for t in tokens], np.int64)
+    def write(self, ids: pa.Array, tokens: np.ndarray, sizes: np.ndarray) -> None:
         if self.writer is None:
             self.path = f"{self.folder}/{uuid.uuid4().hex}.parquet"
             self.writer = pq.ParquetWriter(self.path, ROW, filesystem=self.store, **self.options)
             self.first, self.total, self.docs, self.waiting, self.waits = ids[0].as_py(), 0, 0, [], 0
         starts = self.total + np.cumsum(sizes) - sizes
-        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(np.frombuffer(b"".join(tokens), "<i4")))
+        lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), pa.array(tokens, pa.int32()))
         self.waiting.append(batch(ROW, ids, starts, sizes.astype(np.int32), lists))
         self.total, self.docs, self.last = self.total + int(sizes.sum()), self.docs + len(ids), ids[-1].as_py()
         self.waits += int(sizes.sum())
@@ -152,15 +178,12 @@ class _Writer:
 
 def write(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str, encoding: str = "dictionary") -> DataFrame:
     """Write the files; their table: ``part, number, path, first_id, last_id, n_docs, n_tokens, before``."""
-    end = np.array([end_id], "<i4").tobytes()
-
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, writer = pieces_of(tokenizer_path), _Writer(folder, encoding)
         for b in batches:
-            for k in range(0, b.num_rows, ROWS):
-                some = b.slice(k, ROWS)
-                tokens = encoder.encode([t or "" for t in some.column(1).to_pylist()])
-                writer.write(some.column(0), [t + end for t in tokens])
+            for row, end, *_ in pieces(*as_bytes(b.column(1)), most=CHUNK_BYTES):
+                tokens, sizes = encoder.encode(b.column(1).slice(row, end - row))
+                writer.write(b.column(0).slice(row, end - row), np.insert(tokens, np.cumsum(sizes), end_id), sizes + 1)
         writer.close()
         yield pa.RecordBatch.from_pylist([dict(zip(FILES.names, f, strict=True)) for f in writer.files], schema=FILES)
 
