@@ -319,6 +319,39 @@ def test_context_counts_are_those_of_the_whole_corpus():
         assert counts[[0, *range(n, n + 500)], depth].tolist() == [(node == x).sum() for x in node]
 
 
+def test_what_is_kept_of_contexts_stays_near_the_texts(table, spark, monkeypatch):
+    """Answers to questions that blocks ask are small: a context that nobody else has costs next to nothing."""
+    import pathlib
+
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(2, 9))) for _ in range(6000)]
+    texts = [" ".join(words[int(len(words) ** rnd.random()) - 1] for _ in range(400)) for _ in range(300)]
+    monkeypatch.setattr(mixing_lm, "BLOCK_BYTES", 100_000)
+    monkeypatch.setattr(mixing_lm, "SHARD_BYTES", 400_000)
+    folder = pathlib.Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "tributary"
+
+    def kept():
+        return sum(x.stat().st_size for x in folder.rglob("*.parquet"))
+
+    before = kept()
+    assert mixing_lm.score(table(*texts), F.col("doc_id") % 7 != 2).where("score < 0").count() == len(texts)
+    share = (kept() - before) / sum(map(len, texts))
+    assert 0 < share < 2.4, share
+
+
+def test_counts_of_other_bundles_are_told_and_heard():
+    rnd = np.random.default_rng(4)
+    keys = np.unique((rnd.integers(0, 40, 3000).astype(np.uint64) << np.uint64(24)) | rnd.integers(0, 1 << 24, 3000).astype(np.uint64))
+    n = rnd.integers(0, 5, len(keys))
+    counts = mixing_lm.path_counts(keys, n, 24).T
+    first = np.array([0, 700, 700, 2000, len(keys)])
+    said = mixing_lm.told(keys, first, 24, counts)
+    assert len(said) == 4
+    heard = np.stack(list(mixing_lm.heard(keys, first, 24, said)))
+    assert (heard == counts).all()
+    assert sum(map(len, mixing_lm.told(keys, first, 24, np.zeros_like(counts)))) < 200
+
+
 def test_unseen_words_cost_what_their_bytes_do(table):
     """A long run without blanks is not the most fluent text of all, and letters that words have are cheaper than others."""
     rnd = random.Random(3)
