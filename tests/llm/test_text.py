@@ -352,6 +352,61 @@ def test_counts_of_other_bundles_are_told_and_heard():
     assert sum(map(len, mixing_lm.told(keys, first, 24, np.zeros_like(counts)))) < 200
 
 
+def test_odds_are_worked_out_only_where_something_is_lost(monkeypatch):
+    """Counts are those of the whole corpus, and a context that always went on alike, or that nobody else has, takes no logarithms."""
+    rnd = random.Random(12)
+    words = ["".join(rnd.choice("abcdefghijklm") for _ in range(rnd.randint(2, 9))) for _ in range(3000)]
+    texts = [" ".join(words[int(len(words) ** rnd.random()) - 1] for _ in range(300)) for _ in range(40)] + ["", "ab"]
+    n_shards, levels, learns = 3, 3, [k % 5 != 2 for k in range(len(texts))]
+    held, said = {}, collections.defaultdict(list)
+
+    def rows(tables):
+        return [tuple(r.values()) for t in tables for r in t.to_pylist()]
+
+    def answer(asked, work):
+        by_shard = collections.defaultdict(list)
+        for r in asked:
+            by_shard[r[2]].append(r)
+        for own in by_shard.values():
+            for r in rows(work(iter(mixing_lm._rows(own).to_batches()))):
+                said[r[0]].append(r)
+
+    def table(number):
+        return mixing_lm._rows([held[number], *said[number]])
+
+    for number in (0, 1):
+        own = [k for k in range(len(texts)) if k % 2 == number]
+        columns = {"doc_id": pa.array(own, pa.int64()), "text": pa.array([texts[k] for k in own]), "block": pa.array([number] * len(own), pa.int32()), "learns": pa.array([learns[k] for k in own])}
+        held[number] = mixing_lm._bundled(number, pa.table(columns))
+    answer(rows(mixing_lm._name(n_shards)(table(number)) for number in held), mixing_lm._named)
+    for unit in range(len(mixing_lm.UNITS)):
+        answer(rows(mixing_lm._ask(unit, levels, n_shards)(table(number)) for number in held), mixing_lm._count)
+
+    taken, plain = [], mixing_lm.path_logits
+    monkeypatch.setattr(mixing_lm, "path_logits", lambda keys, counts: taken.append(len(keys)) or plain(keys, counts))
+    learnt = [mixing_lm._learn(n_shards, levels)(table(number)) for number in held]
+    assert sum(sum(t.column("tokens").to_pylist()) for t in learnt) > 0
+    distinct = sum(len({(k, *x) for x in zip(own, own[1:], own[2:])}) for k, own in enumerate([["", "", *t.split(), ""] for t in texts]))
+    assert sum(taken) < 6 * distinct, (sum(taken), distinct)  # of four kinds of contexts at three levels, and spelling
+
+    pairs = collections.Counter(x for k, t in enumerate(texts) if learns[k] for x in zip(["", *t.split()], [*t.split(), None]))
+    for number in held:
+        k = mixing_lm._known(table(number), n_shards)
+        found = np.full(len(k.count), -1)
+        for unit, kinds in enumerate(mixing_lm.UNITS):
+            questions = mixing_lm._asked(k, unit, levels, n_shards)
+            answers = mixing_lm._answered(table(number), unit, questions)
+            for j, (kind, _) in enumerate(kinds):
+                if kind == 1:
+                    for q, counts in list(zip(questions, answers, strict=True))[j * (levels + 1) :: levels][:2]:
+                        if len(q.own):
+                            found[q.own] = counts[-1][q.place]
+        expected = [x for t in texts[number::2] for x in zip(["", *t.split()], [*t.split(), None])]
+        known = k.count > 0
+        assert found[known].tolist() == [pairs[x] for x, yes in zip(expected, known, strict=True) if yes]
+        assert known.tolist() == [any(b == x[1] for _, b in pairs) for x in expected]
+
+
 def test_unseen_words_cost_what_their_bytes_do(table):
     """A long run without blanks is not the most fluent text of all, and letters that words have are cheaper than others."""
     rnd = random.Random(3)
